@@ -170,12 +170,18 @@ FILE_ORDER = {"ad_stats": ["ad_id", "stats_date"], "ad_geo": ["ad_id", "dma"]}
 NO_MONTH = "all"
 
 
-def columns_of(table: str) -> list[str]:
-    return table_schema(table).names
+_TYPES = {"string": T.StringType(), "date": T.DateType(), "bigint": T.LongType(),
+          "float": T.FloatType(), "double": T.DoubleType()}
 
 
 def table_schema(table: str) -> T.StructType:
-    return T.StructType.fromDDL(TABLES[table])
+    """Spark schema of a table (buildable without a session)."""
+    pairs = [f.split() for f in TABLES[table].split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+def columns_of(table: str) -> list[str]:
+    return table_schema(table).names
 
 
 # Dimension columns a DAY load knows for a new ad squad (the full load knows all).
