@@ -1 +1,247 @@
-"""to come"""
+"""Landed responses: bodies are built as JSON text from table rows and parsed back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from adweave import schemas as S
+from adweave.sources import payloads as P
+from adweave.standin import frames as T
+from adweave.standin.catalog import query
+
+_HEAD = "cast(null as date) as window_start, 200 as status"
+
+
+# --- entities: a body holds the entity and a bare copy without optional keys ----------
+
+CAMPAIGN_LANDING = f"""
+select cast(n_regionkey as string) as account_id, cast(null as string) as ad_id, {_HEAD},
+       '{{"campaigns":[{{"campaign":{{"id":"' || cast(n_nationkey as string) || '","name":"'
+       || n_name || '","ad_account_id":"' || cast(n_regionkey as string)
+       || '","status":"ACTIVE","created_at":"2019-01-02T03:04:05.678Z"'
+       || case when n_regionkey = 2 then '' else ',"end_time":"2020-02-29T00:00:00.000Z"' end
+       || ',"daily_budget_micro":' || cast(n_nationkey * 1000 + 16777217 as string)
+       || ',"unknown_key":{{"a":1}}}}}},{{"campaign":{{"id":"bare ' || cast(n_nationkey as string)
+       || '","created_at":"2019-12-31T23:59:59.999Z"}}}}]}}' as body
+from nation
+"""
+
+
+@query("payload_campaigns", """
+select cast(n_regionkey as string) as account_id, cast(n_nationkey as string) as campaign_id,
+       n_name as campaign_name, cast(n_regionkey as string) as ad_account_id,
+       'ACTIVE' as campaign_status, date '2019-01-02' as campaign_created_at,
+       case when n_regionkey = 2 then null else date '2020-02-29' end as campaign_end_time,
+       cast(n_nationkey * 1000 + 16777217 as string) as campaign_daily_budget_micro
+from nation
+union all
+select cast(n_regionkey as string), 'bare ' || cast(n_nationkey as string), null, null, null,
+       date '2019-12-31', null, null
+from nation
+""")
+def payload_campaigns(spark, sf):
+    return P.read_entity(T.frame(spark, sf, CAMPAIGN_LANDING), "campaign").select(
+        "account_id", "campaign_id", "campaign_name", "ad_account_id", "campaign_status",
+        "campaign_created_at", "campaign_end_time", "campaign_daily_budget_micro")
+
+
+SQUAD_LANDING = f"""
+select cast(c_nationkey % 5 as string) as account_id, cast(null as string) as ad_id, {_HEAD},
+       '{{"adsquads":[{{"adsquad":{{"id":"' || cast(c_custkey as string) || '","campaign_id":"'
+       || cast(c_nationkey as string) || '","name":"' || c_name || '","type":"SNAP_ADS"'
+       || ',"status":"' || c_mktsegment || '","created_at":"2019-01-02T03:04:05.678Z"'
+       || ',"auto_bid":' || case when c_mktsegment = 'BUILDING' then 'true' else 'false' end
+       || ',"bid_micro":' || cast(cast(round(c_acctbal * 100) as bigint) as string)
+       || '}}}}]}}' as body
+from customer
+"""
+
+
+@query("payload_squads", """
+select cast(c_nationkey % 5 as string) as account_id, cast(c_custkey as string) as ad_squad_id,
+       cast(c_nationkey as string) as campaign_id, c_name as ad_squad_name,
+       'SNAP_ADS' as ad_squad_type, c_mktsegment as ad_squad_status,
+       '01/02/2019 0:00' as ad_squad_created_at, cast(null as string) as ad_squad_end_time,
+       case when c_mktsegment = 'BUILDING' then 'true' else 'false' end as auto_bid,
+       cast(cast(round(c_acctbal * 100) as bigint) as string) as bid_micro
+from customer
+""")
+def payload_squads(spark, sf):
+    return P.read_entity(T.frame(spark, sf, SQUAD_LANDING), "ad_squad", render_dates=True).select(
+        "account_id", "ad_squad_id", "campaign_id", "ad_squad_name", "ad_squad_type",
+        "ad_squad_status", "ad_squad_created_at", "ad_squad_end_time", "auto_bid", "bid_micro")
+
+
+AD_LANDING = f"""
+select cast(c_region as string) as account_id, cast(null as string) as ad_id, {_HEAD},
+       '{{"ads":[{{"ad":{{"id":"' || cast(o_orderkey as string) || '","ad_squad_id":"'
+       || cast(o_custkey as string) || '","name":"ad ' || cast(o_orderkey as string)
+       || '","creative_id":"creative ' || cast(o_custkey as string)
+       || '","status":"' || o_orderstatus || '","type":"' || o_orderpriority
+       || '","render_type":"STATIC","review_status":"APPROVED","created_at":"'
+       || cast(cast(o_orderdate as date) as string) || 'T00:00:00.000Z"'
+       || case when o_orderstatus = 'P' then '' else ',"updated_at":"'
+               || cast(cast(o_orderdate as date) + 7 as string) || 'T00:00:00.000Z"' end
+       || '}}}}]}}' as body
+from (select o.*, c_nationkey % 5 as c_region from orders o join customer on o_custkey = c_custkey)
+     o
+"""
+
+
+@query("payload_ads", f"""
+select a.ad_id, a.ad_squad_id, a.ad_name, a.creative_id, a.ad_status, a.ad_type, a.ad_created_at,
+       a.ad_updated_at, t.ad_account_timezone as timezone
+from ({T.AD}) a join customer on a.ad_squad_id = cast(c_custkey as string)
+join ({T.ACCOUNT}) t on t.ad_account_id = cast(c_nationkey % 5 as string)
+""")
+def payload_ads(spark, sf):
+    ads = P.read_ads(T.frame(spark, sf, AD_LANDING), T.frame(spark, sf, T.ACCOUNT))
+    return ads.select("ad_id", "ad_squad_id", "ad_name", "creative_id", "ad_status", "ad_type",
+                      "ad_created_at", "ad_updated_at", "timezone")
+
+
+# --- time series: three days per response. Day 2 lacks spend, day 3 has spend null ------
+# and no swipes; every other metric appears once.
+
+_LINE = "cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' " \
+        "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string)"
+
+
+def _day(n: int) -> str:
+    return f"cast(cast(l_shipdate as date) + {n} as string) || 'T00:00:00.000-05:00\",\"stats\":'"
+
+
+DAY_LANDING = f"""
+select cast(null as string) as account_id, {_LINE} as ad_id,
+       cast(l_shipdate as date) as window_start, 200 as status,
+       '{{"timeseries_stats":[{{"timeseries_stat":{{"timeseries":[{{"start_time":"' || {_day(0)}
+       || '{{"impressions":' || cast(l_linenumber as string)
+       || ',"spend":' || cast(cast(round(l_tax * 100) as bigint) as string)
+       || ',"swipes":' || cast(cast(floor(l_quantity) as bigint) as string)
+       || ',"frequency":' || cast(l_tax as string) || '}}}},{{"start_time":"' || {_day(1)}
+       || '{{"impressions":' || cast(l_linenumber + 1 as string)
+       || ',"swipes":' || cast(cast(floor(l_quantity) as bigint) + 1 as string)
+       || ',"shares":' || cast(l_partkey % 7 as string) || '}}}},{{"start_time":"' || {_day(2)}
+       || '{{"impressions":' || cast(l_linenumber + 2 as string)
+       || ',"spend":null}}}}]}}}},{{"timeseries_stat":{{"timeseries":[]}}}}]}}' as body
+from lineitem
+"""
+
+
+def _day_sql(n: int, spend: str, swipes: str, shares: str) -> str:
+    return f"""
+select {_LINE} as ad_id, cast(l_shipdate as date) + {n} as stats_date,
+       cast(l_linenumber + {n} as bigint) as impressions, {spend} as spend, {swipes} as swipes,
+       {shares} as shares, cast(l_tax as double) as frequency, cast(null as bigint) as saves
+from lineitem"""
+
+
+_SPEND, _SWIPES = "cast(round(l_tax * 100) as bigint)", "cast(floor(l_quantity) as bigint)"
+_SHARES, _NONE = "cast(l_partkey % 7 as bigint)", "cast(null as bigint)"
+CARRIED_SQL = " union all ".join([
+    _day_sql(0, _SPEND, _SWIPES, _NONE), _day_sql(1, _SPEND, f"{_SWIPES} + 1", _SHARES),
+    _day_sql(2, _NONE, f"{_SWIPES} + 1", _SHARES)])
+
+
+@query("payload_day_stats", CARRIED_SQL)
+def payload_day_stats(spark, sf):
+    from adweave.functions import scalars as X
+
+    rows = P.read_day_stats(T.frame(spark, sf, DAY_LANDING))
+    counts = ["impressions", "spend", "swipes", "shares", "saves"]
+    return rows.select("ad_id", X.iso_day(F.col("adstats_date")).alias("stats_date"),
+                       *[X.count_metric(F.col(m)).alias(m) for m in counts],
+                       F.col("frequency").cast("double").alias("frequency"))
+
+
+# --- lifetime: one row per response, also when its bag is empty -------------------------
+
+_BAG = f"""
+'"impressions":' || cast(l_linenumber as string) || ',"video_views":' ||
+cast(l_partkey % 100 as string) || ',"conversion_purchases":' || cast(l_suppkey % 5 as string)
+|| ',"conversion_add_cart":' || cast(l_partkey % 3 as string) || ',"extra":"x"'
+"""
+LIFETIME_LANDING = f"""
+select cast(null as string) as account_id, {_LINE} as ad_id, cast(null as date) as window_start,
+       case when l_linestatus = 'O' and l_returnflag = 'A' then 401 else 200 end as status,
+       '{{"lifetime_stats":[{{"lifetime_stat":{{"stats":{{'
+       || case when l_returnflag = 'R' then '' else {_BAG} end || '}}}}}}]}}' as body
+from lineitem
+"""
+
+
+@query("payload_lifetime", f"""
+select {_LINE} as ad_id,
+       case when l_returnflag <> 'R' then cast(l_linenumber as string) end as impressions,
+       case when l_returnflag <> 'R' then cast(l_partkey % 100 as string) end as video_views,
+       cast(null as string) as spend
+from lineitem where not (l_linestatus = 'O' and l_returnflag = 'A')
+""")
+def payload_lifetime(spark, sf):
+    return P.read_lifetime_stats(T.frame(spark, sf, LIFETIME_LANDING),
+                                 ["impressions", "video_views", "spend"])
+
+
+@query("payload_conversions", f"""
+select {_LINE} as ad_id, {', '.join(
+    ("case when l_returnflag <> 'R' then cast(l_suppkey % 5 as string) end"
+     if m == "conversion_purchases" else
+     "case when l_returnflag <> 'R' then cast(l_partkey % 3 as string) end"
+     if m == "conversion_add_cart" else "cast(null as string)") + f" as {m}"
+    for m in S.CONVERSION_METRICS)}
+from lineitem where not (l_linestatus = 'O' and l_returnflag = 'A')
+""")
+def payload_conversions(spark, sf):
+    return P.read_conversions(T.frame(spark, sf, LIFETIME_LANDING))
+
+
+# --- geo: three items per response (none for errors); keys carry over between items ------
+
+GEO_LANDING = """
+select cast(null as string) as account_id, cast(event_id as string) as ad_id,
+       cast(null as date) as window_start, 200 as status,
+       '{"lifetime_stats":[{"lifetime_stat":{"dimension_stats":[' ||
+       case when event_type = 'error' then '' else
+       '{"country":"us","region":"' || event_type || '","dma":"501","impressions":'
+       || cast(user_id as string) || ',"spend":' || cast(event_id % 100 as string) || '},'
+       || '{"dma":"502","impressions":' || cast(user_id + 1 as string) || ',"uniques":3},'
+       || '{"region":"other","dma":"503","spend":null,"impression_composition":0.5}' end
+       || ']}}]}' as body
+from events
+"""
+_GEO_ITEMS = """
+select *, 0 as pos, '501' as dma, event_type as region, user_id as geo_impressions,
+       event_id % 100 as geo_spend, null as geo_uniques, null as geo_impression_composition
+from events
+union all
+select *, 1, '502', event_type, user_id + 1, event_id % 100, '3', null from events
+union all
+select *, 2, '503', 'other', user_id + 1, null, '3', '0.5' from events
+"""
+
+
+@query("payload_geo", f"""
+select cast(event_id as string) as ad_id, dma, 'us' as country, region,
+       cast(geo_impressions as string) as geo_impressions, cast(geo_spend as string) as geo_spend,
+       cast(geo_uniques as string) as geo_uniques,
+       cast(geo_impression_composition as string) as geo_impression_composition
+from ({_GEO_ITEMS}) g where event_type <> 'error'
+""")
+def payload_geo(spark, sf):
+    return P.read_geo(T.frame(spark, sf, GEO_LANDING)).select(
+        "ad_id", "dma", "country", "region", "geo_impressions", "geo_spend", "geo_uniques",
+        "geo_impression_composition")
+
+
+@query("geo_carry_forward", f"""
+select cast(event_id as string) as ad_id, cast(pos as integer) as pos, dma,
+       last_value(given_region ignore nulls) over w as region,
+       last_value(given_impressions ignore nulls) over w as geo_impressions
+from (select event_id, event_type, pos, dma, case when pos <> 1 then region end as given_region,
+             case when pos <> 2 then cast(geo_impressions as string) end as given_impressions
+      from ({_GEO_ITEMS}) g where event_type <> 'error') i
+window w as (partition by event_id order by pos rows between unbounded preceding and current row)
+""")
+def geo_carry_forward(spark, sf):
+    return P.read_geo(T.frame(spark, sf, GEO_LANDING)).select(
+        "ad_id", "pos", "dma", "region", "geo_impressions")
