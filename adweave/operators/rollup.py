@@ -37,6 +37,17 @@ def month_rows(day: DataFrame, refreshed_on: Column | None = None) -> DataFrame:
         "stats_date", F.least(refreshed_on, F.last_day("stats_date"))))
 
 
+def split_new_months(months: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of months without any existing row, rows of all other months).
+
+    The known months are at most twelve rows per calendar year of data, whatever the
+    table holds; broadcasting them keeps a dominant month from gathering in one task.
+    """
+    known = F.broadcast(existing.select("stats_month").distinct())
+    return (months.join(known, "stats_month", "left_anti").select(*months.columns),
+            months.join(known, "stats_month", "left_semi").select(*months.columns))
+
+
 def in_range(facts: DataFrame, granularity: str, first: Column, last: Column) -> DataFrame:
     """Facts of one granularity with first <= stats_date <= last.
 

@@ -160,6 +160,12 @@ ACTIVE = ("(coalesce(impressions, 0) <> 0 or coalesce(spend, 0) <> 0 "
 DAY_GATED = f"select * from ({DAY}) g where {ACTIVE}"
 
 
+def doubles_sql(sql: str) -> str:
+    """Ratios of a stats query as doubles (see ``readable``)."""
+    casts = ", ".join(f"cast({m} as double) as {m}" for m in S.RATIO_METRICS)
+    return f"select * replace ({casts}) from ({sql}) d"
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Open the source tables of one folder (once per session)."""
     at = (spark.sparkContext.applicationId, sf_dir)

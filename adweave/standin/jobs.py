@@ -1 +1,371 @@
-"""to come"""
+"""Whole jobs: extracts, loads, roll-ups, files and the incremental stream.
+
+Every run works in fresh folders under the session's shared folder.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from adweave import schemas as S
+from adweave.functions import scalars as X
+from adweave.operators import attach as A
+from adweave.plans import extracts, loads
+from adweave.session import fresh_path
+from adweave.sources import extract as E
+from adweave.sources.warehouse import Warehouse
+from adweave.standin import frames as T
+from adweave.standin import payloads, upserts
+from adweave.standin.catalog import query
+from adweave.streaming.dayload import load_new_extracts
+
+RUN = upserts.RUN
+
+
+def _warehouse(spark) -> Warehouse:
+    return Warehouse(spark, fresh_path(spark, "warehouse")).create()
+
+
+def _wide_text(spark, sf, stats_text):
+    """Wide extract of the stand-in hierarchy around some DAY text rows."""
+    dims = [T.frame(spark, sf, text).drop("created_on", "updated_on")
+            for text in (T.CAMPAIGN, T.AD_SQUAD, T.AD)]
+    return A.wide_extract(*dims, stats_text)
+
+
+# --- files ----------------------------------------------------------------------------
+
+@query("csv_roundtrip", f"""
+select ad_id, strftime(ad_created_at, '%m/%d/%Y') || ' 0:00' as ad_created_at,
+       strftime(ad_updated_at, '%m/%d/%Y') || ' 0:00' as ad_updated_at, ad_name,
+       reserved_debug_message, impressions, video_views, reach_and_frequency_debug_message
+from (select a.*, s.reserved_debug_message, nullif(d.impressions, '') as impressions,
+             d.video_views, cast(null as string) as reach_and_frequency_debug_message
+      from ({T.AD}) a join ({T.AD_SQUAD}) s on a.ad_squad_id = s.ad_squad_id
+      join (select ad_id, case when l_linenumber = 3 then '' else
+                   cast(cast(round(l_discount * 100) as bigint) as string) end as impressions,
+                   cast(l_linenumber - 1 as string) as video_views
+            from (select *, cast(l_orderkey as string) as ad_id from lineitem) l) d
+        on a.ad_id = d.ad_id) w
+""")
+def csv_roundtrip(spark, sf):
+    """Wide extract written as CSV and read back: quotes, commas and blanks survive."""
+    path = fresh_path(spark, "extract")
+    stats = T.frame(spark, sf, T.DAY_TEXT).withColumn("impressions", F.when(
+        F.col("impressions") != "", F.col("impressions").try_cast("double").cast("bigint")
+        .cast("string")).otherwise(""))
+    E.write_extract(_wide_text(spark, sf, stats), path)
+    return E.read_extract(spark, path).where(F.col("video_views").isNotNull()).select(
+        "ad_id", "ad_created_at", "ad_updated_at", "ad_name", "reserved_debug_message",
+        "impressions", "video_views", "reach_and_frequency_debug_message")
+
+
+@query("window_files", f"""
+select ad_id, cast(date_trunc('month', stats_date) as date) as window_start,
+       strftime(stats_date, '%Y-%m-%d') || 'T00:00:00.000-05:00' as adstats_date,
+       cast(video_views as string) as video_views from ({T.DAY_RAW}) d
+""")
+def window_files(spark, sf):
+    """Backfill output: one CSV folder per window."""
+    path = fresh_path(spark, "windows")
+    rows = T.frame(spark, sf, T.DAY_TEXT)
+    rows = rows.withColumn("window_start", F.trunc(X.iso_day(F.col("adstats_date")), "month")
+                           .cast("string"))
+    E.write_extract(rows, path, by_window="window_start")
+    return E.read_extract(spark, path).select(
+        "ad_id", F.col("window_start").cast("date").alias("window_start"), "adstats_date",
+        "video_views")
+
+
+@query("partition_merge_write", upserts.DAY_SQL)
+def partition_merge_write(spark, sf):
+    """The DAY upsert against a stored, partitioned table."""
+    wh = _warehouse(spark)
+    old, new = upserts._day_tables(spark, sf)
+    wh.publish("ad_stats", old)
+    wh.upsert("day_stats", new)
+    return T.readable(wh.facts("ad_stats", S.DAY))
+
+
+# --- extracts ---------------------------------------------------------------------------
+
+_AD_ID = "cast(l_orderkey as string)"
+_KEPT = f"select ad_account_id, ad_account_timezone from ({T.ACCOUNT}) a " \
+        "where ad_account_include_ind = 'YES'"
+
+
+def _extract_sql(kept: str | None, zone: str, facts: str, shown: str) -> str:
+    """Campaigns, squads and ads of the landed bodies around some facts."""
+    only = f"where account_id in (select ad_account_id from ({kept}) k)" if kept else ""
+    return f"""
+with c as (select * from (
+    select cast(n_regionkey as string) as account_id, cast(n_nationkey as string) as campaign_id,
+           n_name as campaign_name from nation
+    union all
+    select cast(n_regionkey as string), 'bare ' || cast(n_nationkey as string), null from nation)
+    c0 {only}),
+s as (select * from (
+    select cast(c_nationkey % 5 as string) as account_id, cast(c_custkey as string) as ad_squad_id,
+           cast(c_nationkey as string) as campaign_id, c_name as ad_squad_name from customer)
+    s0 {only}),
+a as (select a0.*, {zone} from (
+    select cast(c_nationkey % 5 as string) as account_id, cast(o_orderkey as string) as ad_id,
+           cast(o_custkey as string) as ad_squad_id, cast(o_orderdate as date) as ad_created_at
+    from orders join customer on o_custkey = c_custkey) a0
+    left join ({T.ACCOUNT}) t on a0.account_id = t.ad_account_id {only}),
+f as ({facts}),
+j0 as (select coalesce(a.ad_id, f.ad_id) as ad_id, a.* exclude (ad_id, account_id),
+              f.* exclude (ad_id) from a full join f on a.ad_id = f.ad_id),
+j1 as (select coalesce(s.ad_squad_id, j0.ad_squad_id) as ad_squad_id,
+              s.* exclude (ad_squad_id, account_id), j0.* exclude (ad_squad_id)
+       from s full join j0 on s.ad_squad_id = j0.ad_squad_id),
+j2 as (select coalesce(c.campaign_id, j1.campaign_id) as campaign_id,
+              c.* exclude (campaign_id, account_id), j1.* exclude (campaign_id)
+       from c full join j1 on c.campaign_id = j1.campaign_id)
+select campaign_id, campaign_name, ad_squad_id, ad_squad_name, ad_id, ad_created_at, {shown}
+from j2"""
+
+
+_DIMENSIONS = ["campaign_id", "campaign_name", "ad_squad_id", "ad_squad_name", "ad_id",
+               "ad_created_at"]
+_DAY_FACTS = f"""
+select ad_id, window_start, stats_date, cast(impressions as string) as impressions,
+       cast(spend as string) as spend, cast(swipes as string) as swipes,
+       cast(shares as string) as shares from ({payloads.carried_sql(_AD_ID)}) x
+"""
+
+
+def _landing(spark, sf, *texts):
+    return [T.frame(spark, sf, t) for t in texts]
+
+
+_ENTITIES = (payloads.CAMPAIGN_LANDING, payloads.SQUAD_LANDING, payloads.AD_LANDING)
+
+
+@query("daily_extract", _extract_sql(
+    _KEPT, "t.ad_account_timezone as timezone", _DAY_FACTS,
+    "timezone, stats_date, impressions, spend, swipes, shares"))
+def daily_extract(spark, sf):
+    wide = extracts.daily_extract(
+        T.frame(spark, sf, T.ACCOUNT),
+        *_landing(spark, sf, *_ENTITIES, payloads.day_landing(_AD_ID)))
+    return wide.select(*_DIMENSIONS, "timezone",
+                       X.iso_day(F.col("adstats_date")).alias("stats_date"),
+                       "impressions", "spend", "swipes", "shares")
+
+
+@query("history_extract", _extract_sql(
+    _KEPT, "t.ad_account_timezone as timezone", _DAY_FACTS,
+    "window_start, stats_date, impressions, spend, swipes, shares"))
+def history_extract(spark, sf):
+    wide = extracts.history_extract(
+        T.frame(spark, sf, T.ACCOUNT),
+        *_landing(spark, sf, *_ENTITIES, payloads.day_landing(_AD_ID)))
+    return wide.select(*_DIMENSIONS, "window_start",
+                       X.iso_day(F.col("adstats_date")).alias("stats_date"),
+                       "impressions", "spend", "swipes", "shares")
+
+
+_LIFE_FACTS = f"""
+select ad_id, cast(user_id as string) as impressions, cast(event_id % 7 as string) as spend
+from (select *, cast(event_id as string) as ad_id from events) e
+"""
+_LIFE_LANDING = """
+select cast(null as string) as account_id, cast(event_id as string) as ad_id,
+       cast(null as date) as window_start, 200 as status,
+       '{"lifetime_stats":[{"lifetime_stat":{"stats":{"impressions":' || cast(user_id as string)
+       || ',"spend":' || cast(event_id % 7 as string) || ',"conversion_save":'
+       || cast(event_id % 3 as string) || '}}}]}' as body
+from events
+"""
+
+
+@query("lifetime_extract", _extract_sql(
+    f"select ad_account_id from ({T.ACCOUNT}) a", "1 as one", _LIFE_FACTS,
+    "impressions, spend"))
+def lifetime_extract(spark, sf):
+    wide = extracts.lifetime_extract(*_landing(spark, sf, *_ENTITIES, _LIFE_LANDING),
+                                     seed=T.frame(spark, sf, T.ACCOUNT))
+    return wide.select(*_DIMENSIONS, "impressions", "spend")
+
+
+_GEO_FACTS = f"""
+select coalesce(l.ad_id, g.ad_id) as ad_id, dma, region, geo_impressions, impressions, spend,
+       conversion_save
+from (select cast(event_id as string) as ad_id, dma, region,
+             cast(geo_impressions as string) as geo_impressions
+      from ({payloads._GEO_ITEMS}) i where event_type <> 'error') g
+full join (select *, cast(cast(ad_id as bigint) % 3 as string) as conversion_save
+           from ({_LIFE_FACTS}) f0) l on g.ad_id = l.ad_id
+"""
+
+
+@query("geo_extract", _extract_sql(
+    None, "1 as one", _GEO_FACTS,
+    "dma, region, geo_impressions, impressions, spend, conversion_save"))
+def geo_extract(spark, sf):
+    wide = extracts.geo_extract(*_landing(spark, sf, *_ENTITIES, _LIFE_LANDING,
+                                          payloads.GEO_LANDING))
+    return wide.select(*_DIMENSIONS, "dma", "region", "geo_impressions", "impressions", "spend",
+                       "conversion_save")
+
+
+# --- loads ------------------------------------------------------------------------------
+
+def _label_sql(table: str, key: str, label: str, sql: str) -> str:
+    return f"select '{table}' as table_name, {key} as id, cast({label} as string) as label, " \
+           f"created_on, updated_on from ({sql}) x"
+
+
+def _labels(wh: Warehouse, parts: list[tuple[str, str, str]]):
+    """(table, id, label, audit dates) of several tables, stacked."""
+    return A.stack_frames([wh.table(t).select(
+        F.lit(t).alias("table_name"), F.col(k).alias("id"),
+        F.col(v).cast("string").alias("label"), "created_on", "updated_on")
+        for t, k, v in parts], ordered=False)
+
+
+def _seen(entity: str, parent_key: str) -> str:
+    """The wide extract brings every entity once loaded through its children or alone."""
+    return f"select * replace (date '2020-05-17' as created_on, date '2020-05-17' as updated_on) " \
+           f"from ({upserts._BASE[entity]}) {parent_key}"
+
+
+_DIM_PARTS = [("campaign", "campaign_id", "campaign_name"),
+              ("ad_squad", "ad_squad_id", "ad_squad_name"), ("ad", "ad_id", "ad_name")]
+
+
+def _old_named(entity: str, label: str) -> str:
+    """Stored entities before the load, under an older name."""
+    return f"select * replace ('old ' || {label} as {label}) from ({upserts._old(entity)}) q"
+
+
+_DAILY_SQL = " union all ".join([
+    *[_label_sql(t, k, v, upserts.merge_sql(p, _old_named(t, v), _seen(t, "z")))
+      for (t, k, v), p in zip(_DIM_PARTS, ("campaign_name", "squad_name", "ad_name"))],
+    "select 'ad_stats', ad_id_date_granul, cast(spend as string), stats_date, null "
+    f"from ({T.DAY_GATED}) s"])
+
+
+@query("daily_load", _DAILY_SQL)
+def daily_load(spark, sf):
+    """Wide extract as CSV -> names and new rows of three dimensions, DAY facts."""
+    wh, path = _warehouse(spark), fresh_path(spark, "extract")
+    for t, _, label in _DIM_PARTS:
+        wh.publish(t, T.frame(spark, sf, upserts._old(t)).withColumn(
+            label, F.concat(F.lit("old "), label)))
+    E.write_extract(_wide_text(spark, sf, T.frame(spark, sf, T.DAY_TEXT)), path)
+    loads.daily_load(wh, E.read_extract(spark, path), RUN)
+    facts = wh.facts("ad_stats", S.DAY).select(
+        F.lit("ad_stats").alias("table_name"), F.col("ad_id_date_granul").alias("id"),
+        F.col("spend").cast("string").alias("label"), F.col("stats_date").alias("created_on"),
+        F.lit(None).cast("date").alias("updated_on"))
+    return _labels(wh, _DIM_PARTS).unionByName(facts)
+
+
+_LIFETIME_NEW = f"select * from ({upserts._lifetime_sql(upserts._RUN, S.STATS_METRICS)}) n " \
+                f"where {T.ACTIVE}"
+
+
+@query("lifetime_load", " union all ".join([
+    _label_sql("ad_account", "ad_account_id", "ad_account_name", upserts.merge_sql(
+        "account_seed", T.ACCOUNT, upserts._SEED_ROWS)),
+    *[_label_sql(t, k, v, upserts.merge_sql(p, _old_named(t, v), _seen(t, "z")))
+      for (t, k, v), p in zip(_DIM_PARTS, ("campaign_full", "squad_full", "ad_full"))],
+    "select 'ad_stats', ad_id_date_granul, cast(spend as string), stats_date, null "
+    f"from ({_LIFETIME_NEW}) s"]))
+def lifetime_load(spark, sf):
+    """Seed accounts, full dimensions and LIFETIME facts out of one wide extract."""
+    wh = _warehouse(spark)
+    wh.publish("ad_account", T.frame(spark, sf, T.ACCOUNT))
+    for t, _, label in _DIM_PARTS:
+        wh.publish(t, T.frame(spark, sf, upserts._old(t)).withColumn(
+            label, F.concat(F.lit("old "), label)))
+    wide = _wide_text(spark, sf, upserts._lifetime_text(spark, sf).drop("last_day"))
+    raw = E.as_extract(wide, S.WIDE_LIFETIME_COLUMNS)
+    loads.lifetime_load(wh, raw, RUN, T.frame(spark, sf, upserts._SEED), dimensions=True)
+    facts = wh.facts("ad_stats", S.LIFETIME).select(
+        F.lit("ad_stats").alias("table_name"), F.col("ad_id_date_granul").alias("id"),
+        F.col("spend").cast("string").alias("label"), F.col("stats_date").alias("created_on"),
+        F.lit(None).cast("date").alias("updated_on"))
+    return _labels(wh, [("ad_account", "ad_account_id", "ad_account_name"), *_DIM_PARTS]) \
+        .unionByName(facts)
+
+
+@query("geo_load", upserts.merge_sql("geo", upserts.geo_sql(upserts._OLD_GEO_RAW, "date '2020-04-01'"),
+                                     upserts.geo_sql(upserts._NEW_GEO_RAW, upserts._RUN)))
+def geo_load(spark, sf):
+    """Two geo loads into a stored table; the second restates and extends the first."""
+    wh = _warehouse(spark)
+    raw = T.frame(spark, sf, T.GEO_RAW)
+    loads.geo_load(wh, raw.where(F.col("dma").isin("click", "view")), dt.date(2020, 4, 1))
+    loads.geo_load(wh, raw.where(F.col("dma") != "click").withColumn(
+        "geo_spend", F.col("geo_spend") + 1), RUN)
+    return wh.table("ad_geo")
+
+
+# --- roll-ups -----------------------------------------------------------------------------
+
+_JULY = "stats_date between date '1999-07-01' and date '1999-07-31'"
+_JULY_OLD = f"select * exclude (refreshed_on) from ({upserts.month_sql(
+    f'select * from ({T.DAY_GATED}) e where day(stats_date) < 20 and {_JULY}')}) m where {T.ACTIVE}"
+_JULY_NEW = upserts.month_sql(f"select * from ({T.DAY_GATED}) e where {_JULY}",
+                              "date '1999-07-25'")
+
+
+@query("monthly_load", upserts.month_check(
+    upserts.merge_sql("month_refresh", _JULY_OLD, _JULY_NEW)))
+def monthly_load(spark, sf):
+    """The current month, first on the 19th and again on the 25th with all its days."""
+    wh = _warehouse(spark)
+    day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity())
+    wh.publish("ad_stats", day.where(F.dayofmonth("stats_date") < 20))
+    loads.monthly_load(wh, dt.date(1999, 7, 19))
+    wh.upsert("day_stats", day)
+    loads.monthly_load(wh, dt.date(1999, 7, 25))
+    return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
+
+
+@query("month_history_load", upserts.month_check(
+    f"select * exclude (refreshed_on) from ({upserts._ALL_MONTHS}) m where {T.ACTIVE}"))
+def month_history_load(spark, sf):
+    """All months of the table in one pass, loaded twice: the second run changes nothing."""
+    wh = _warehouse(spark)
+    wh.publish("ad_stats", E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity()))
+    for _ in range(2):
+        loads.month_history_load(wh, dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
+
+
+# --- incremental stream ---------------------------------------------------------------------
+
+@query("stream_day_load", T.doubles_sql(T.DAY_GATED))
+def stream_day_load(spark, sf):
+    """One drop of extract files, loaded by the stream and archived by its next run."""
+    wh = _warehouse(spark)
+    inbox, archive = fresh_path(spark, "inbox"), fresh_path(spark, "archive")
+    state = fresh_path(spark, "state")
+    E.write_extract(_wide_text(spark, sf, T.frame(spark, sf, T.DAY_TEXT)), f"{inbox}/drop=1")
+    for _ in range(2):
+        load_new_extracts(wh, inbox, state, RUN, archive=archive)
+    return T.readable(wh.facts("ad_stats", S.DAY))
+
+
+@query("stream_restatement", upserts.DAY_SQL)
+def stream_restatement(spark, sf):
+    """A second drop restates a month of days that the first one has loaded."""
+    wh = _warehouse(spark)
+    inbox, state = fresh_path(spark, "inbox"), fresh_path(spark, "state")
+    text = T.frame(spark, sf, T.DAY_TEXT)
+    day = X.iso_day(F.col("adstats_date"))
+    again = text.where(day >= dt.date(1998, 12, 1)).withColumns({
+        "swipes": F.lit(""), "impressions": F.when(
+            F.col("impressions") != "", (F.col("impressions").try_cast("double") + 100)
+            .cast("string")).otherwise("")})
+    drops = [text.where(day < dt.date(1999, 1, 1)), again]
+    for n, rows in enumerate(drops):
+        E.write_extract(rows, f"{inbox}/drop={n}")
+        load_new_extracts(wh, inbox, state, RUN)
+    return T.readable(wh.facts("ad_stats", S.DAY))

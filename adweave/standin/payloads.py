@@ -111,8 +111,9 @@ def _day(n: int) -> str:
     return f"cast(cast(l_shipdate as date) + {n} as string) || 'T00:00:00.000-05:00\",\"stats\":'"
 
 
-DAY_LANDING = f"""
-select cast(null as string) as account_id, {_LINE} as ad_id,
+def day_landing(ad_id: str) -> str:
+    return f"""
+select cast(null as string) as account_id, {ad_id} as ad_id,
        cast(l_shipdate as date) as window_start, 200 as status,
        '{{"timeseries_stats":[{{"timeseries_stat":{{"timeseries":[{{"start_time":"' || {_day(0)}
        || '{{"impressions":' || cast(l_linenumber as string)
@@ -128,9 +129,12 @@ from lineitem
 """
 
 
-def _day_sql(n: int, spend: str, swipes: str, shares: str) -> str:
+DAY_LANDING = day_landing(_LINE)
+
+
+def _day_sql(ad_id: str, n: int, spend: str, swipes: str, shares: str) -> str:
     return f"""
-select {_LINE} as ad_id, cast(l_shipdate as date) + {n} as stats_date,
+select {ad_id} as ad_id, cast(l_shipdate as date) as window_start, cast(l_shipdate as date) + {n} as stats_date,
        cast(l_linenumber + {n} as bigint) as impressions, {spend} as spend, {swipes} as swipes,
        {shares} as shares, cast(l_tax as double) as frequency, cast(null as bigint) as saves
 from lineitem"""
@@ -138,18 +142,22 @@ from lineitem"""
 
 _SPEND, _SWIPES = "cast(round(l_tax * 100) as bigint)", "cast(floor(l_quantity) as bigint)"
 _SHARES, _NONE = "cast(l_partkey % 7 as bigint)", "cast(null as bigint)"
-CARRIED_SQL = " union all ".join([
-    _day_sql(0, _SPEND, _SWIPES, _NONE), _day_sql(1, _SPEND, f"{_SWIPES} + 1", _SHARES),
-    _day_sql(2, _NONE, f"{_SWIPES} + 1", _SHARES)])
 
 
-@query("payload_day_stats", CARRIED_SQL)
+def carried_sql(ad_id: str) -> str:
+    return " union all ".join([
+        _day_sql(ad_id, 0, _SPEND, _SWIPES, _NONE),
+        _day_sql(ad_id, 1, _SPEND, f"{_SWIPES} + 1", _SHARES),
+        _day_sql(ad_id, 2, _NONE, f"{_SWIPES} + 1", _SHARES)])
+
+
+@query("payload_day_stats", carried_sql(_LINE))
 def payload_day_stats(spark, sf):
     from adweave.functions import scalars as X
 
     rows = P.read_day_stats(T.frame(spark, sf, DAY_LANDING))
     counts = ["impressions", "spend", "swipes", "shares", "saves"]
-    return rows.select("ad_id", X.iso_day(F.col("adstats_date")).alias("stats_date"),
+    return rows.select("ad_id", "window_start", X.iso_day(F.col("adstats_date")).alias("stats_date"),
                        *[X.count_metric(F.col(m)).alias(m) for m in counts],
                        F.col("frequency").cast("double").alias("frequency"))
 

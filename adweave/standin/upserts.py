@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adweave import schemas as S
 from adweave.functions import scalars as X
 from adweave.operators.merge import POLICIES, apply_policy
-from adweave.operators.rollup import month_rows
+from adweave.operators.rollup import in_range, month_rows, split_new_months
 from adweave.sources import extract as E
 from adweave.sources.warehouse import account_rows
 from adweave.standin import frames as T
@@ -173,19 +173,12 @@ def insert_account_absent(spark, sf):
 # The table holds days before 1999; the load restates December 1998 and brings the rest.
 # Incoming swipes become NULL, impressions grow, one status is restated to zero.
 
-_AS_DOUBLES = f"* replace ({', '.join(f'cast({m} as double) as {m}' for m in S.RATIO_METRICS)})"
-
-
-def doubles_sql(sql: str) -> str:
-    return f"select {_AS_DOUBLES} from ({sql}) d"
-
-
 _OLD_DAY = f"select * from ({T.DAY_GATED}) d where stats_date < date '1999-01-01'"
 _NEW_DAY = f"""
 select * from (select * replace (impressions + 100 as impressions, cast(null as bigint) as swipes)
                from ({T.DAY}) d where stats_date >= date '1998-12-01') n where {T.ACTIVE}
 """
-DAY_SQL = doubles_sql(merge_sql("day_stats", _OLD_DAY, _NEW_DAY))
+DAY_SQL = T.doubles_sql(merge_sql("day_stats", _OLD_DAY, _NEW_DAY))
 
 
 def _day_tables(spark, sf):
@@ -204,10 +197,9 @@ def upsert_day_stats(spark, sf):
 
 # --- LIFETIME facts ------------------------------------------------------------------
 
-_TOTALS = [m for m in S.COUNT_METRICS]
 _LIFETIME = f"""
 select ad_id, max(stats_date) as last_day,
-       {', '.join(f'cast(sum({m}) as bigint) as {m}' for m in _TOTALS)},
+       {', '.join(f'cast(sum({m}) as bigint) as {m}' for m in S.COUNT_METRICS)},
        max(frequency) as frequency, max(swipe_up_percent) as swipe_up_percent
 from ({T.DAY_RAW}) d group by ad_id
 """
@@ -234,7 +226,7 @@ def _lifetime_text(spark, sf, bump: int = 0):
         "impressions", F.concat((F.col("impressions") + bump).cast("string"), F.lit(".9")))
 
 
-@query("upsert_lifetime", doubles_sql(merge_sql("lifetime_stats", _OLD_LIFETIME, _NEW_LIFETIME)))
+@query("upsert_lifetime", T.doubles_sql(merge_sql("lifetime_stats", _OLD_LIFETIME, _NEW_LIFETIME)))
 def upsert_lifetime(spark, sf):
     first = _lifetime_text(spark, sf).where(F.col("last_day") < dt.date(2000, 1, 1))
     old = E.lifetime_rows(first, F.lit(dt.date(2020, 4, 1))).where(X.has_activity())
@@ -248,7 +240,7 @@ _NEW_TRIAL = f"""select * replace (impressions + 7 as impressions)
 
 
 @query("upsert_lifetime_trial",
-       doubles_sql(merge_sql("lifetime_trial", _OLD_TRIAL, _NEW_TRIAL)))
+       T.doubles_sql(merge_sql("lifetime_trial", _OLD_TRIAL, _NEW_TRIAL)))
 def upsert_lifetime_trial(spark, sf):
     first = _lifetime_text(spark, sf).where(F.col("last_day") < dt.date(2000, 1, 1))
     old = E.lifetime_rows(first, F.lit(dt.date(2020, 4, 1)), S.TRIAL_METRICS, guarded=False)
@@ -275,7 +267,7 @@ from (select ad_id, cast(date_trunc('month', stats_date) as date) as month_start
 
 
 def month_check(sql: str) -> str:
-    return f"select * replace (round(frequency, 4) as frequency) from ({doubles_sql(sql)}) r"
+    return f"select * replace (round(frequency, 4) as frequency) from ({T.doubles_sql(sql)}) r"
 
 
 _ALL_MONTHS = month_sql(T.DAY_GATED)
@@ -295,8 +287,6 @@ def month_first_load(spark, sf):
     "and stats_date between date '1998-01-01' and date '1999-04-30'"))
 def month_history(spark, sf):
     """16 listed months in one grouped pass."""
-    from adweave.operators.rollup import in_range
-
     day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity())
     day = in_range(day, S.DAY, F.lit(dt.date(1998, 1, 1)), F.lit(dt.date(1999, 4, 30)))
     empty = spark.createDataFrame([], S.table_schema("ad_stats"))
@@ -336,10 +326,9 @@ def month_dispatch(spark, sf):
     """Months without any row get the gated first load, all others a refresh."""
     old, new = _month_tables(spark, sf)
     old = old.where(F.col("stats_month") < "1999-01")
-    known = old.select("stats_month").distinct()
-    refreshed = apply_policy("month_refresh", old, new.join(known, "stats_month", "left_semi")
-                             .select(*new.columns))
-    first = new.join(known, "stats_month", "left_anti").where(X.has_activity())
+    first, again = split_new_months(new, old)
+    refreshed = apply_policy("month_refresh", old, again)
+    first = first.where(X.has_activity())
     return T.readable(refreshed.unionByName(first.select(*refreshed.columns)),
                       {"frequency": 4})
 
