@@ -13,6 +13,12 @@ from adweave.operators.rollup import date_bounds, in_range
 from adweave.session import staged
 
 
+def empty_table(spark: SparkSession, table: str) -> DataFrame:
+    """No rows, the table's columns."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in S.table_schema(table).fields])
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -24,8 +30,7 @@ class Warehouse:
     def create(self, *tables: str) -> "Warehouse":
         """Make the tables that do not exist yet, empty."""
         for t in tables or S.TABLES:
-            empty = self.spark.createDataFrame([], S.table_schema(t))
-            empty.write.mode("ignore").partitionBy(*S.PARTITIONS.get(t, [])).parquet(self.path(t))
+            empty_table(self.spark, t).write.mode("ignore").partitionBy(*S.PARTITIONS.get(t, [])).parquet(self.path(t))
         return self
 
     def table(self, table: str) -> DataFrame:

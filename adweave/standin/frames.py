@@ -166,11 +166,27 @@ def doubles_sql(sql: str) -> str:
     return f"select * replace ({casts}) from ({sql}) d"
 
 
+# Columns whose values spread rows evenly, whatever one ad, user or day holds.
+_SPREAD_BY = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey", "l_shipdate"],
+              "events": ["event_id"]}
+
+
+def _spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Use all cores for a table that arrives in fewer splits than there are cores.
+
+    The test tables are one row group each, which one task would read and then process
+    alone. A table of ordinary size has far more splits than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Open the source tables of one folder (once per session)."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _OPENED:
-        _OPENED[at] = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCES}
+        found = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCES}
+        _OPENED[at] = found | {t: _spread(found[t], by) for t, by in _SPREAD_BY.items()}
     return _OPENED[at]
 
 

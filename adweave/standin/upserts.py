@@ -11,7 +11,7 @@ from adweave.functions import scalars as X
 from adweave.operators.merge import POLICIES, apply_policy
 from adweave.operators.rollup import in_range, month_rows, split_new_months
 from adweave.sources import extract as E
-from adweave.sources.warehouse import account_rows
+from adweave.sources.warehouse import account_rows, empty_table
 from adweave.standin import frames as T
 from adweave.standin.catalog import query
 
@@ -278,8 +278,8 @@ _ALL_MONTHS = month_sql(T.DAY_GATED)
 def month_first_load(spark, sf):
     """First load of every month: gated inserts into an empty table."""
     day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity())
-    empty = spark.createDataFrame([], S.table_schema("ad_stats"))
-    return T.readable(apply_policy("month_first", empty, month_rows(day)), {"frequency": 4})
+    return T.readable(apply_policy("month_first", empty_table(spark, "ad_stats"),
+                                   month_rows(day)), {"frequency": 4})
 
 
 @query("month_history", month_check(
@@ -289,8 +289,8 @@ def month_history(spark, sf):
     """16 listed months in one grouped pass."""
     day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity())
     day = in_range(day, S.DAY, F.lit(dt.date(1998, 1, 1)), F.lit(dt.date(1999, 4, 30)))
-    empty = spark.createDataFrame([], S.table_schema("ad_stats"))
-    return T.readable(apply_policy("month_first", empty, month_rows(day)), {"frequency": 4})
+    return T.readable(apply_policy("month_first", empty_table(spark, "ad_stats"),
+                                   month_rows(day)), {"frequency": 4})
 
 
 # Later run: the table was loaded from days before the 20th, now every day is there.
