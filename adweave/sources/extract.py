@@ -58,7 +58,13 @@ def write_extract(wide: DataFrame, path: str, columns: list[str] | None = None,
     w.csv(path)
 
 
-def _typed(raw: DataFrame, table: str, columns: list[str]) -> list[Column]:
+def _require(raw: DataFrame, columns: list[str]) -> None:
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"extract lacks {missing}")
+
+
+def _typed(table: str, columns: list[str]) -> list[Column]:
     """Typed table columns out of text, by the table's own types."""
     types = {f.name: f.dataType.typeName() for f in S.table_schema(table).fields}
 
@@ -73,9 +79,6 @@ def _typed(raw: DataFrame, table: str, columns: list[str]) -> list[Column]:
             return X.money_micro(col).alias(c)
         return col.cast("string").alias(c)
 
-    missing = [c for c in columns if c not in raw.columns]
-    if missing:
-        raise ValueError(f"extract lacks {missing}")
     return [one(c) for c in columns]
 
 
@@ -96,14 +99,20 @@ def entity_rows(raw: DataFrame, entity: str, run_date: Column,
     """Dimension rows out of the wide extract: projected, typed, one per id, stamped.
 
     Of several rows with one id the latest version wins (``version`` columns, then
-    the entity's updated_at, then all columns).
+    the entity's updated_at, then all columns). An entity repeats on every row of its
+    descendants, so exact copies are dropped first: that hash-aggregates before the
+    shuffle, and only distinct rows are converted and compared.
     """
     own = [c for c in S.columns_of(entity) if c not in ("created_on", "updated_on")]
-    columns = columns or own
+    columns, version = columns or own, version or []
     key = f"{entity}_id"
-    typed = raw.where(X.nonblank(F.col(key))).select(
-        *_typed(raw, entity, columns), *(version or []))
-    best = latest_per_key(typed, [key], [*(version or []), _ENTITY_ORDER[entity]])
+    _require(raw, columns)
+    # The count keeps the optimizer from dropping this step: it would merge a plain
+    # distinct into the maximum below, which sorts every row.
+    seen = raw.where(X.nonblank(F.col(key))).groupBy(*columns, *version) \
+        .agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 0)
+    typed = seen.select(*_typed(entity, columns), *version)
+    best = latest_per_key(typed, [key], [*version, _ENTITY_ORDER[entity]])
     stamped = best.select(*columns).withColumns(
         {"created_on": run_date, "updated_on": run_date})
     return _pad(stamped, entity)
@@ -114,6 +123,11 @@ def _stats_values(raw: DataFrame, metrics: list[str]) -> list[Column]:
             .alias(m) for m in metrics]
 
 
+def days_of(raw: DataFrame) -> DataFrame:
+    """The days a DAY extract speaks of; one column to scan."""
+    return raw.select(X.iso_day(F.col("adstats_date")).alias("stats_date"))
+
+
 def day_rows(raw: DataFrame, version: list[str] | None = None) -> DataFrame:
     """DAY facts out of the wide extract: typed, one per (ad, day), table shape."""
     version = version or []

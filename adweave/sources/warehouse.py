@@ -62,31 +62,31 @@ class Warehouse:
             w = w.partitionBy(*parts)
         w.parquet(self.path(table))
 
-    def upsert(self, policy: str, incoming: DataFrame) -> None:
-        """Merge cleaned rows into their table, rewriting only what they can touch."""
+    def upsert(self, policy: str, incoming: DataFrame, days: DataFrame | None = None) -> None:
+        """Merge cleaned rows into their table, rewriting only what they can touch.
+
+        DAY and MONTH loads read and rewrite whole months. ``days`` (any frame with
+        ``stats_date`` that covers the incoming days) tells which; give it when it is
+        cheaper to scan than ``incoming`` itself.
+        """
         p = POLICIES[policy]
+        existing = self.table(p.table)
+        if p.granularity is not None:
+            existing = self.facts(p.table, p.granularity)
         if p.granularity in (S.DAY, S.MONTH):
-            # Incoming rows are read twice (bounds, merge).
-            incoming = staged(incoming, f"incoming-{policy}")
-        self.publish(p.table, apply_policy(p, self.slice_for(policy, incoming), incoming))
+            existing = in_months(existing, days if days is not None else incoming)
+        self.publish(p.table, apply_policy(p, existing, incoming))
 
-    def slice_for(self, policy: str, incoming: DataFrame) -> DataFrame:
-        """The existing rows ``incoming`` may match, in whole partitions.
 
-        DAY and MONTH loads read the months between their first and last date: one
-        aggregated row comes to the driver to become a partition filter.
-        """
-        p = POLICIES[policy]
-        if p.granularity is None:
-            return self.table(p.table)
-        facts = self.facts(p.table, p.granularity)
-        if p.granularity == S.LIFETIME:
-            return facts
-        bounds = incoming.agg(F.min("stats_month").alias("a"), F.max("stats_month").alias("b")) \
-            .first()
-        if bounds["a"] is None:
-            return facts.where(F.lit(False))
-        return facts.where(F.col("stats_month").between(bounds["a"], bounds["b"]))
+def in_months(facts: DataFrame, days: DataFrame) -> DataFrame:
+    """Facts in the months from the first to the last of ``days``, as a partition filter.
+
+    One aggregated row (two dates) comes to the driver.
+    """
+    first, last = date_bounds(days).first()
+    if first is None:
+        return facts.where(F.lit(False))
+    return facts.where(F.col("stats_month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
 
 
 def included_accounts(accounts: DataFrame) -> DataFrame:
