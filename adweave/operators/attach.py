@@ -88,8 +88,10 @@ def stack_frames(frames: list[DataFrame], ordered: bool = True) -> DataFrame:
 
 
 def already_loaded(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    return incoming.join(existing.select(*keys), keys, "left_semi")
+    """Incoming rows whose key exists. Existing keys shrink to one each before the shuffle."""
+    return incoming.join(existing.select(*keys).distinct(), keys, "left_semi")
 
 
 def not_yet_loaded(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    return incoming.join(existing.select(*keys), keys, "left_anti")
+    """Incoming rows whose key does not exist."""
+    return incoming.join(existing.select(*keys).distinct(), keys, "left_anti")
