@@ -68,7 +68,12 @@ def wide_extract(campaigns: DataFrame, squads: DataFrame, ads: DataFrame,
     same rows as joining them one by one onto the facts as long as dimension keys
     are never missing, which payload ids guarantee.
     """
-    return outer_attach(stats, attach_hierarchy(campaigns, squads, ads), "ad_id")
+    return attach_facts(stats, attach_hierarchy(campaigns, squads, ads))
+
+
+def attach_facts(facts: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """Facts around an already joined (and, if it was costly, written) hierarchy."""
+    return outer_attach(facts, hierarchy, "ad_id")
 
 
 def geo_with_lifetime(geo: DataFrame, lifetime: DataFrame) -> DataFrame:
@@ -76,11 +81,6 @@ def geo_with_lifetime(geo: DataFrame, lifetime: DataFrame) -> DataFrame:
     return outer_attach(geo, lifetime, "ad_id", suffixes=("_x", "_y"))
 
 
-def wide_geo_extract(campaigns: DataFrame, squads: DataFrame, ads: DataFrame,
-                     geo: DataFrame, lifetime: DataFrame) -> DataFrame:
-    return wide_extract(campaigns, squads, ads, geo_with_lifetime(geo, lifetime))
-
-
 def stack_frames(frames: list[DataFrame], ordered: bool = True) -> DataFrame:
     """Union by name, missing columns become NULL; columns alphabetical by default."""
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

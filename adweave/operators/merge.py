@@ -69,6 +69,12 @@ def _same(*columns: str) -> dict[str, str]:
 
 
 _STAMPED = {"updated_on": "updated_on"}
+_CAMPAIGN_UPDATE = [
+    "campaign_updated_at", "campaign_end_time", "campaign_status", "ad_account_id",
+    "lifetime_spend_cap_micro", "campaign_daily_budget_micro", "objective", "buy_model",
+    "campaign_name"]
+_AD_UPDATE = ["ad_updated_at", "ad_created_at", "ad_name", "ad_squad_id", "creative_id",
+              "ad_status", "ad_type", "render_type", "review_status"]
 _SQUAD_UPDATE = [c for c in S.columns_of("ad_squad")
                  if c not in ("ad_squad_id", "created_on", "updated_on")]
 
@@ -80,18 +86,16 @@ POLICIES: dict[str, UpsertPolicy] = {
                                guard=("ad_squad_id",)),
     "ad_name": UpsertPolicy("ad", ("ad_id",), _same("ad_name"), guard=("ad_id",)),
     # Full load. A campaign keeps its first created_at and start_time.
-    "campaign_full": UpsertPolicy(
-        "campaign", ("campaign_id",),
-        _same("campaign_updated_at", "campaign_end_time", "campaign_status", "ad_account_id",
-              "lifetime_spend_cap_micro", "campaign_daily_budget_micro", "objective",
-              "buy_model", "campaign_name") | _STAMPED, guard=("campaign_id",)),
+    "campaign_full": UpsertPolicy("campaign", ("campaign_id",),
+                                  _same(*_CAMPAIGN_UPDATE) | _STAMPED, guard=("campaign_id",)),
     "squad_full": UpsertPolicy("ad_squad", ("ad_squad_id",), _same(*_SQUAD_UPDATE) | _STAMPED,
                                guard=("ad_squad_id",)),
-    "ad_full": UpsertPolicy(
-        "ad", ("ad_id",),
-        _same("ad_updated_at", "ad_created_at", "ad_name", "ad_squad_id", "creative_id",
-              "ad_status", "ad_type", "render_type", "review_status") | _STAMPED,
-        guard=("ad_id",)),
+    "ad_full": UpsertPolicy("ad", ("ad_id",), _same(*_AD_UPDATE) | _STAMPED,
+                            guard=("ad_id",)),
+    # Trial load: the same columns, no guard, no audit dates.
+    "campaign_trial": UpsertPolicy("campaign", ("campaign_id",), _same(*_CAMPAIGN_UPDATE)),
+    "squad_trial": UpsertPolicy("ad_squad", ("ad_squad_id",), _same(*_SQUAD_UPDATE)),
+    "ad_trial": UpsertPolicy("ad", ("ad_id",), _same(*_AD_UPDATE)),
     # Accounts from the seed; the older form only adds what is missing.
     "account_seed": UpsertPolicy(
         "ad_account", ("ad_account_id",),

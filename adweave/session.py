@@ -44,8 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/adweave/{name}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder that nothing has used yet.
+
+    Paths of one application share a folder, so finished runs are easy to expire.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/adweave/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

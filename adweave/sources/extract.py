@@ -19,9 +19,13 @@ READ = {**CSV, "enforceSchema": "false", "mode": "FAILFAST"}
 
 
 def read_extract(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 glob: str | None = None) -> DataFrame:
-    """Every extract file under ``path`` (optionally matching ``glob``), all text."""
-    r = spark.read.schema(S.text_schema(columns or S.WIDE_DAY_COLUMNS)).options(**READ)
+                 glob: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Every extract file under ``path`` (optionally matching ``glob``), all text.
+
+    ``multi_line`` accepts line breaks inside quoted fields; a file is then one split.
+    """
+    r = spark.read.schema(S.text_schema(columns or S.WIDE_DAY_COLUMNS)) \
+        .options(**READ, multiLine=multi_line)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.csv(path)
@@ -95,9 +99,13 @@ _ENTITY_ORDER = {"campaign": "campaign_updated_at", "ad_squad": "ad_squad_update
 
 
 def entity_rows(raw: DataFrame, entity: str, run_date: Column,
-                columns: list[str] | None = None, version: list[str] | None = None) -> DataFrame:
+                columns: list[str] | None = None, version: list[str] | None = None,
+                trial: bool = False) -> DataFrame:
     """Dimension rows out of the wide extract: projected, typed, one per id, stamped.
 
+    The trial load neither guards the key (a missing id is then the blank id, as in the
+    file) nor keeps audit dates.
+
     Of several rows with one id the latest version wins (``version`` columns, then
     the entity's updated_at, then all columns). An entity repeats on every row of its
     descendants, so exact copies are dropped first: that hash-aggregates before the
@@ -109,13 +117,16 @@ def entity_rows(raw: DataFrame, entity: str, run_date: Column,
     _require(raw, columns)
     # The count keeps the optimizer from dropping this step: it would merge a plain
     # distinct into the maximum below, which sorts every row.
-    seen = raw.where(X.nonblank(F.col(key))).groupBy(*columns, *version) \
+    rows = raw.withColumn(key, F.coalesce(key, F.lit(""))) if trial \
+        else raw.where(X.nonblank(F.col(key)))
+    seen = rows.groupBy(*columns, *version) \
         .agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 0)
     typed = seen.select(*_typed(entity, columns), *version)
     best = latest_per_key(typed, [key], [*version, _ENTITY_ORDER[entity]])
-    stamped = best.select(*columns).withColumns(
-        {"created_on": run_date, "updated_on": run_date})
-    return _pad(stamped, entity)
+    best = best.select(*columns)
+    if not trial:
+        best = best.withColumns({"created_on": run_date, "updated_on": run_date})
+    return _pad(best, entity)
 
 
 def _stats_values(raw: DataFrame, metrics: list[str]) -> list[Column]:

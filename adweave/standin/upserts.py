@@ -108,9 +108,11 @@ def _extract_text(spark, sf, entity: str):
     return rows.withColumn(end, F.coalesce(end, F.lit(" "))) if end in own else rows
 
 
-def _dimension(policy: str, entity: str, columns: list[str] | None = None):
+def _dimension(policy: str, entity: str, columns: list[str] | None = None,
+               trial: bool = False):
     def run(spark, sf):
-        incoming = E.entity_rows(_extract_text(spark, sf, entity), entity, F.lit(RUN), columns)
+        incoming = E.entity_rows(_extract_text(spark, sf, entity), entity, F.lit(RUN), columns,
+                                 trial=trial)
         return apply_policy(policy, T.frame(spark, sf, _old(entity)), incoming)
 
     return run
@@ -142,6 +144,12 @@ query("upsert_squad_full", merge_sql("squad_full", _old("ad_squad"), _CHANGED["a
 query("upsert_ad_full", merge_sql("ad_full", _old("ad"), _CHANGED["ad"]))(
     _dimension("ad_full", "ad"))
 
+for _entity, _policy in (("campaign", "campaign_trial"), ("ad_squad", "squad_trial"),
+                         ("ad", "ad_trial")):
+    query(f"upsert_{_policy}", merge_sql(_policy, _old(_entity), f"""
+        select * replace (cast(null as date) as created_on, cast(null as date) as updated_on)
+        from ({_CHANGED[_entity]}) t"""))(_dimension(_policy, _entity, trial=True))
+
 
 # --- accounts -----------------------------------------------------------------------
 

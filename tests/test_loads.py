@@ -102,6 +102,8 @@ def test_trial_load_only_adds_absent_accounts(spark, wh):
     for name in ("one", "two"):
         loads.trial_load(wh, raw, RUN, account_seed(spark, {"1": name}))
     assert state(wh, "ad_account", "ad_account_id", "ad_account_name") == [("1", "one")]
+    # No guard: the blank ids of the file become one row each, without audit dates.
+    assert state(wh, "campaign", "campaign_id", "created_on") == [("", None)]
     # Neither the trial lifetime load nor the geo load is gated.
     assert state(wh, "ad_stats", "ad_id", "impressions", "uniques") == [("a", 0, None)]
     assert state(wh, "ad_geo", "ad_id_dma_granul_date", "geo_spend",
