@@ -147,14 +147,21 @@ from events
 
 # Checks: one row per (ad, day), and the rows that pass the gate.
 _RANKED = ", ".join(f"{m} desc nulls last" for m in S.STATS_METRICS)
-DAY = f"""
+
+
+def day_sql(raw: str) -> str:
+    """DAY rows in table shape out of uncleaned rows: one per (ad, day)."""
+    return f"""
 select ad_id || cast(stats_date as string) || 'DAY' as ad_id_date_granul, ad_id, stats_date,
        {', '.join(S.STATS_METRICS)}, 'DAY' as granularity,
        substr(cast(stats_date as string), 1, 7) as stats_month
 from (select *, row_number() over (partition by ad_id, stats_date order by {_RANKED}) as place
-      from ({DAY_RAW}) r) d
+      from ({raw}) r) d
 where place = 1
 """
+
+
+DAY = day_sql(DAY_RAW)
 ACTIVE = ("(coalesce(impressions, 0) <> 0 or coalesce(spend, 0) <> 0 "
           "or coalesce(video_views, 0) <> 0)")
 DAY_GATED = f"select * from ({DAY}) g where {ACTIVE}"

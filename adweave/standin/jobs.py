@@ -353,7 +353,16 @@ def stream_day_load(spark, sf):
     return T.readable(wh.facts("ad_stats", S.DAY))
 
 
-@query("stream_restatement", upserts.DAY_SQL)
+# The restated text is what gets deduplicated, so its check changes the rows first.
+_RESTATED = f"""
+select * replace (impressions + 100 as impressions, cast(null as bigint) as swipes)
+from ({T.DAY_RAW}) d where stats_date >= date '1998-12-01'
+"""
+
+
+@query("stream_restatement", T.doubles_sql(upserts.merge_sql(
+    "day_stats", upserts._OLD_DAY,
+    f"select * from ({T.day_sql(_RESTATED)}) n where {T.ACTIVE}")))
 def stream_restatement(spark, sf):
     """A second drop restates a month of days that the first one has loaded."""
     wh = _warehouse(spark)
