@@ -19,8 +19,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str] | None = Non
     if not ranked:
         return df.select(*keys).distinct()
     best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
-    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c)
-                         for c in df.columns])
+    return best.select(*[c if c in keys else f"_best.{c}" for c in df.columns])
 
 
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:

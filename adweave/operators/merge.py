@@ -31,19 +31,17 @@ def merge_upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
         .withColumn("_in_new", F.lit(True))
     joined = old.join(new, keys, "full_outer")
 
-    matched_old, matched_new = F.col("_in_old").isNotNull(), F.col("_in_new").isNotNull()
-
-    def value(c: str):
+    def value(c: str) -> str:
         if c in keys:
-            return F.col(c)
-        kept = F.col(f"_old_{c}")
-        added = F.col(f"_new_{c}") if c in wanted else F.lit(None).cast(existing.schema[c].dataType)
+            return c
+        added = f"_new_{c}" if c in wanted else "NULL"
         if c not in update:
-            return F.when(matched_old, kept).otherwise(added).alias(c)
-        assigned = F.col(f"_new_{update[c]}") if update[c] not in keys else F.col(update[c])
-        return F.when(~matched_old, added).when(matched_new, assigned).otherwise(kept).alias(c)
+            return f"if(_in_old is null, {added}, _old_{c}) as {c}"
+        source = update[c] if update[c] in keys else f"_new_{update[c]}"
+        return f"case when _in_old is null then {added} when _in_new is null then _old_{c} " \
+               f"else {source} end as {c}"
 
-    return joined.select(*[value(c) for c in columns])
+    return joined.selectExpr(*[value(c) for c in columns])
 
 
 @dataclass(frozen=True)
