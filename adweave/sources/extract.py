@@ -182,9 +182,3 @@ def geo_rows(raw: DataFrame, run_date: Column) -> DataFrame:
         "geo_date": run_date,
         "ad_id_dma_granul_date": X.geo_key(F.col("ad_id"), F.col("dma"), run_date),
         "granularity": F.lit(S.LIFETIME)}), "ad_geo")
-
-
-def conform(wide: DataFrame, columns: list[str]) -> DataFrame:
-    """Add typed NULLs for extract columns a frame lacks."""
-    return wide.select(*[
-        F.col(c) if c in wide.columns else F.lit(None).cast("string").alias(c) for c in columns])

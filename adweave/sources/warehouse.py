@@ -30,7 +30,8 @@ class Warehouse:
     def create(self, *tables: str) -> "Warehouse":
         """Make the tables that do not exist yet, empty."""
         for t in tables or S.TABLES:
-            empty_table(self.spark, t).write.mode("ignore").partitionBy(*S.PARTITIONS.get(t, [])).parquet(self.path(t))
+            empty_table(self.spark, t).write.mode("ignore") \
+                .partitionBy(*S.PARTITIONS.get(t, [])).parquet(self.path(t))
         return self
 
     def table(self, table: str) -> DataFrame:

@@ -49,7 +49,7 @@ from nation
 AD_SQUAD = """
 select cast(c_custkey as string) as ad_squad_id, cast(c_nationkey as string) as campaign_id,
        c_name as ad_squad_name, c_mktsegment as ad_squad_status,
-       case when c_acctbal < 0 then 'STORY' else 'SNAP' end as ad_squad_type,
+       case when c_acctbal < 0 then 'STORY' else 'SINGLE' end as ad_squad_type,
        'VALID' as targeting_reach_status, 'placement ' || c_mktsegment as placement,
        'IMPRESSION' as billing_event, 'SWIPES' as optimization_goal,
        case when c_acctbal > 9000 then null else 'DAILY_BUDGET' end as delivery_constraint,

@@ -294,8 +294,9 @@ def lifetime_load(spark, sf):
         .unionByName(facts)
 
 
-@query("geo_load", upserts.merge_sql("geo", upserts.geo_sql(upserts._OLD_GEO_RAW, "date '2020-04-01'"),
-                                     upserts.geo_sql(upserts._NEW_GEO_RAW, upserts._RUN)))
+@query("geo_load", upserts.merge_sql(
+    "geo", upserts.geo_sql(upserts._OLD_GEO_RAW, upserts._FIRST_RUN),
+    upserts.geo_sql(upserts._NEW_GEO_RAW, upserts._RUN)))
 def geo_load(spark, sf):
     """Two geo loads into a stored table; the second restates and extends the first."""
     wh = _warehouse(spark)

@@ -48,7 +48,7 @@ def payload_campaigns(spark, sf):
 SQUAD_LANDING = f"""
 select cast(c_nationkey % 5 as string) as account_id, cast(null as string) as ad_id, {_HEAD},
        '{{"adsquads":[{{"adsquad":{{"id":"' || cast(c_custkey as string) || '","campaign_id":"'
-       || cast(c_nationkey as string) || '","name":"' || c_name || '","type":"SNAP_ADS"'
+       || cast(c_nationkey as string) || '","name":"' || c_name || '","type":"SINGLE_ADS"'
        || ',"status":"' || c_mktsegment || '","created_at":"2019-01-02T03:04:05.678Z"'
        || ',"auto_bid":' || case when c_mktsegment = 'BUILDING' then 'true' else 'false' end
        || ',"bid_micro":' || cast(cast(round(c_acctbal * 100) as bigint) as string)
@@ -60,7 +60,7 @@ from customer
 @query("payload_squads", """
 select cast(c_nationkey % 5 as string) as account_id, cast(c_custkey as string) as ad_squad_id,
        cast(c_nationkey as string) as campaign_id, c_name as ad_squad_name,
-       'SNAP_ADS' as ad_squad_type, c_mktsegment as ad_squad_status,
+       'SINGLE_ADS' as ad_squad_type, c_mktsegment as ad_squad_status,
        '01/02/2019 0:00' as ad_squad_created_at, cast(null as string) as ad_squad_end_time,
        case when c_mktsegment = 'BUILDING' then 'true' else 'false' end as auto_bid,
        cast(cast(round(c_acctbal * 100) as bigint) as string) as bid_micro
@@ -134,7 +134,8 @@ DAY_LANDING = day_landing(_LINE)
 
 def _day_sql(ad_id: str, n: int, spend: str, swipes: str, shares: str) -> str:
     return f"""
-select {ad_id} as ad_id, cast(l_shipdate as date) as window_start, cast(l_shipdate as date) + {n} as stats_date,
+select {ad_id} as ad_id, cast(l_shipdate as date) as window_start,
+       cast(l_shipdate as date) + {n} as stats_date,
        cast(l_linenumber + {n} as bigint) as impressions, {spend} as spend, {swipes} as swipes,
        {shares} as shares, cast(l_tax as double) as frequency, cast(null as bigint) as saves
 from lineitem"""
