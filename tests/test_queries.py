@@ -8,9 +8,11 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from adweave.standin import catalog  # noqa: E402
 from tools.compare import compare, duck  # noqa: E402
 
-CHECKS = entry.oracle_sql()
+entry.oracle_sql()
+CHECKS = catalog.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, sf_dir, con, name):
     df = entry.queries()[name](spark, sf_dir)
     assert name in CHECKS, "every query has a check"
