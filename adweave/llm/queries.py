@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import checks, quality, registry  # noqa: F401
+from adweave.llm import bpe, checks, quality, registry  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -15,3 +15,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(rows, quality.V1).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), "kept", F.col("failed").alias("failed_bits"))
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.tokens(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
