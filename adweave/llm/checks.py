@@ -37,3 +37,60 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed_bits % 4 <> 0 as base_failed, failed_bits = 0 as kept, failed_bits
 from b
 """
+
+
+def _pii_kind(name: str, order: int, pattern: str, keeps: str) -> str:
+    """Spans of one kind: RE2 finds matches and gaps, window sums give positions."""
+    return f"""
+select rid, doc_id, {order} as ord, '{name}' as kind, s as start, s + length(m) as stop
+from (
+  select *, sum(length(gap) + length(m)) over (partition by rid order by i) - length(m) as s
+  from (
+    select rid, doc_id, unnest(range(1, len(ms) + 1)) as i, unnest(ms) as m,
+           unnest(gaps[1:len(ms)]) as gap
+    from (select rid, doc_id, regexp_extract_all(text, '{pattern}') as ms,
+                 string_split_regex(text, '{pattern}') as gaps from t) x) y) z
+where {keeps}"""
+
+
+_LUHN = """len(d) between 14 and 19 and list_sum(list_transform(range(1, len(d) + 1), lambda i:
+  case when (len(d) - i) % 2 = 0 then d[i]::int
+       else (2 * d[i]::int) // 10 + (2 * d[i]::int) % 10 end)) % 10 = 0"""
+_IBAN = """list_reduce(list_transform(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[:4], ''),
+  lambda c: case when c between '0' and '9' then ascii(c) - 48 else ascii(c) - 55 end),
+  lambda a, c: case when c < 10 then (a * 10 + c) % 97 else (a * 100 + c) % 97 end) = 1"""
+_NO_LETTER = "[^0-9]"
+PII = f"""
+with t as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+f as (
+{_pii_kind("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true")}
+union all
+{_pii_kind("ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+           "list_max(list_transform(string_split(m, '.'), lambda p: p::hugeint)) <= 255")}
+union all
+{_pii_kind("card", 2, r"[0-9](?:[\x20-]?[0-9])+",
+           _LUHN.replace("d[i]", "regexp_replace(m, '[^0-9]', '', 'g')[i]")
+           .replace("len(d)", "len(regexp_replace(m, '[^0-9]', '', 'g'))"))}
+union all
+{_pii_kind("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]",
+           "length(regexp_replace(m, '[^0-9]', '', 'g')) between 10 and 15")}
+union all
+{_pii_kind("iban", 4, r"\b[A-Z][A-Z][0-9][0-9](?: ?[A-Z0-9]){11,30}\b", _IBAN)}
+union all
+select s.rid, doc_id, ord, kind, start, stop
+from ({_pii_kind("ssn", 5, r"\b[0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9][0-9][0-9]\b",
+                 "m[1:3] not in ('000', '666') and m[1:1] <> '9' and m[5:6] <> '00' "
+                 "and m[8:] <> '0000'")}) s join (select rid, text from t) x on s.rid = x.rid
+where text[start:start] <> '-' and text[stop + 1:stop + 1] <> '-'
+  and regexp_matches(lower(text[greatest(1, start - 39):start]), '(^|[^a-z])(ssn|social|security)'))
+select t.doc_id, count(*) filter (kind = 'email') as n_email,
+       count(*) filter (kind = 'ip') as n_ip, count(*) filter (kind = 'card') as n_card,
+       count(*) filter (kind = 'phone') as n_phone, count(*) filter (kind = 'iban') as n_iban,
+       count(*) filter (kind = 'ssn') as n_ssn,
+       sha256(coalesce(string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ','
+              order by start, ord) filter (ord < 4), '')) as base_sha256,
+       coalesce(string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ','
+                order by start, ord), '') as spans
+from t left join f using (rid) group by t.rid, t.doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, quality, registry  # noqa: F401
+from adweave.llm import bpe, checks, pii, quality, registry  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -26,3 +26,12 @@ def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op9_pii", checks.PII)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k.name}')) as bigint)")
+              .alias(f"n_{k.name}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(True), 256).alias("base_sha256"),
+                        pii.listed(False).alias("spans"))
