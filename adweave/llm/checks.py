@@ -94,3 +94,28 @@ select t.doc_id, count(*) filter (kind = 'email') as n_email,
                 order by start, ord), '') as spans
 from t left join f using (rid) group by t.rid, t.doc_id
 """
+
+_WORDS2 = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+DECONTAM = f"""
+with i as (select item_id, {_WORDS2} as ws from benchmark),
+w as (
+  select distinct item_id, least(10, len(ws)) as n,
+         array_to_string(ws[s:s + least(10, len(ws)) - 1], ' ') as win
+  from (select *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as s from i where len(ws) > 0) u),
+d as (select row_number() over () as rid, doc_id, {_WORDS2} as ws from documents),
+lens as (select distinct n from w),
+p as (
+  select rid, s, n, array_to_string(ws[s:s + n - 1], ' ') as win
+  from (select rid, ws, n, unnest(range(1, len(ws) - n + 2)) as s from d, lens) u),
+o as (select rid, s, p.n, item_id from p join w on p.win = w.win and p.n = w.n),
+c as (
+  select rid, count(distinct x) as n_hit
+  from (select rid, unnest(range(s, s + n)) as x from o) u group by rid),
+t as (
+  select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct rid, item_id::varchar as item from o) u group by rid)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (rid) left join t using (rid)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, pii, quality, registry  # noqa: F401
+from adweave.llm import bpe, checks, decontam, pii, quality, registry  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -35,3 +35,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
               .alias(f"n_{k.name}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(True), 256).alias("base_sha256"),
                         pii.listed(False).alias("spans"))
+
+
+@query("op2_decontamination", checks.DECONTAM)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
