@@ -8,7 +8,7 @@ prefix alone. Length and positional bounds (does the window fit around the place
 prefix was found?) come next, then every word of the window is compared.
 
 Documents are read twice as whole record batches; neither pass shuffles a text. What leaves
-a pass is filtered by a bit table of ``BITS`` bits over the wanted shingles. Its size is
+a pass is filtered by a bit table over the wanted shingles (``bittable``). Its size is
 fixed, so it may be broadcast; false hits cost a row each and end in the join.
 
 Null and empty texts have no words; items without words have no window. Equal windows of
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from adweave.llm import textbatch as T
+from adweave.llm.bittable import Wanted, bit_table
 from adweave.session import staged
 
 WINDOW = 10
 SHINGLE = 3
-BITS = 1 << 24
 
 
 class Tokens:
@@ -85,29 +85,6 @@ def windows(items: DataFrame, text: str = "text") -> DataFrame:
         run, f"item_id {kind}, words array<string>, off int, size int, h bigint")
 
 
-def bit_table(names: DataFrame) -> bytes:
-    """A table of ``BITS`` bits over the column ``h``: at most BITS / 64 rows reach the driver."""
-    slot = F.expr(f"pmod(h, {BITS}L)")
-    rows = names.select((slot / 64).cast("int").alias("w"),
-                        F.expr(f"shiftleft(1L, cast(pmod(h, {BITS}L) % 64 as int))").alias("b")) \
-        .groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    table = np.zeros(BITS // 64, np.int64)
-    for r in rows:
-        table[r.w] = r.b
-    return table.tobytes()
-
-
-class Wanted:
-    """Membership of hashes in a bit table (some others pass as well)."""
-
-    def __init__(self, table: bytes):
-        self.table = np.frombuffer(table, np.uint64)
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        slot = (h % T.U64(BITS)).astype(np.int64)
-        return (self.table[slot >> 6] >> (slot & 63).astype(np.uint64)) & T.U64(1) != 0
-
-
 def _counts(docs: DataFrame, wanted: bytes, sizes: list[int]) -> DataFrame:
     """How often each wanted shingle occurs, summed per piece before the shuffle."""
     table = docs.sparkSession.sparkContext.broadcast(wanted)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, pii, quality, registry  # noqa: F401
+from adweave.llm import bpe, checks, decontam, neardup, pii, quality, registry  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -44,3 +44,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op10_near_duplicates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
