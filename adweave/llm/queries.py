@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, neardup, pii, quality, registry  # noqa: F401
+from adweave.llm import bpe, checks, decontam, neardup, pii, quality, registry, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -49,3 +49,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_duplicates")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
+
+
+def fold(parts: int) -> str:
+    """crc32 of a document's id as text, modulo ``parts``."""
+    return f"pmod(crc32(cast(cast(doc_id as string) as binary)), {parts})"
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), f"{fold(3)} <> 1")
+    return toxicity.scores(docs, model).select(
+        "doc_id", F.coalesce(F.expr(f"{fold(3)} = 1"), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "worst_start", "worst_end", "worst_score")
