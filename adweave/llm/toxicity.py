@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from adweave.llm import textbatch as T
 
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 2500
 SAMPLE_CHARS = 20_000
-SLOTS = 1 << 16
+SLOTS = 1 << 20
+LEAST_TEXTS = 4  # rarer words keep weight 0: they would only learn single texts by heart
 FLOOR = 1e-6  # probability of an empty bag
 THRESHOLD = 0.7
 
@@ -86,18 +87,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(b: Bags, labels: np.ndarray, steps: int = 300, rate: float = 0.1,
-        decay: float = 2e-4) -> Model:
+        decay: float = 5e-4, noise: float = 0.1) -> Model:
     """Full-batch Adam on the noisy-or likelihood; both labels weigh the same.
 
     A share ``noise`` of labels is taken as wrong, so that a bag whose words say the
     opposite of its label cannot bend the common words' weights.
     """
-    noise = 0.02
-    w, bias = np.zeros(SLOTS), -5.0
-    moments = [np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)]
+    pairs = np.unique(b.slot * b.n + b.text[b.sentence])
+    known = np.flatnonzero(np.bincount(pairs // max(b.n, 1), minlength=SLOTS) >= LEAST_TEXTS)
+    word = np.isin(b.slot, known)
+    slot, sentence = np.searchsorted(known, b.slot[word]), b.sentence[word]
+    k, n_sentences = len(known), len(b.text)
+    w, bias = np.zeros(k), -5.0
+    first, second = np.zeros(k + 1), np.zeros(k + 1)
     share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     for step in range(1, steps + 1):
-        s = np.minimum(_sigmoid(b.sums(w) + bias), 1 - 1e-9)
+        logit = np.bincount(sentence, w[slot], n_sentences) + bias
+        s = np.minimum(_sigmoid(logit), 1 - 1e-9)
         log_clean = np.bincount(b.text, np.log1p(-s), b.n)
         toxic = np.clip(-np.expm1(log_clean), 1e-9, 1 - 1e-9)
         seen = noise + (1 - 2 * noise) * toxic
@@ -105,17 +111,18 @@ def fit(b: Bags, labels: np.ndarray, steps: int = 300, rate: float = 0.1,
         slope = -share * np.where(labels == 1, 1 / seen, -1 / (1 - seen)) \
             * (1 - 2 * noise) * -(1 - toxic)
         on_sentence = slope[b.text] * -s
-        g = np.append(np.bincount(b.slot, on_sentence[b.sentence], SLOTS) + decay * np.sign(w),
+        g = np.append(np.bincount(slot, on_sentence[sentence], k) + decay * np.sign(w),
                       on_sentence.sum())
-        moments[0] = 0.9 * moments[0] + 0.1 * g
-        moments[1] = 0.999 * moments[1] + 0.001 * g * g
-        move = rate * (moments[0] / (1 - 0.9**step)) \
-            / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
+        first = 0.9 * first + 0.1 * g
+        second = 0.999 * second + 0.001 * g * g
+        move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         before = w
         w = w - move[:-1]
-        w[(before * w < 0)] = 0  # the penalty stops at zero
+        w[before * w < 0] = 0  # the penalty stops at zero
         bias -= move[-1]
-    return Model(w, float(bias))
+    weights = np.zeros(SLOTS)
+    weights[known] = w
+    return Model(weights, float(bias))
 
 
 def sample(docs: DataFrame, labels: DataFrame, train: str) -> DataFrame:
