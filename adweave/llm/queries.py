@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, neardup, pii, quality, registry, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, langid, neardup, pii, quality, registry, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -64,3 +64,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.expr(f"{fold(3)} = 1"), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "worst_start", "worst_end", "worst_score")
+
+
+@query("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.train(docs, f"{fold(5)} <> 0"))
+    return found.select("doc_id", F.coalesce(F.expr(f"{fold(5)} = 0"), F.lit(False))
+                        .alias("held_out"), "lang_pred", "score")
