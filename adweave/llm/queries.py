@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, langid, neardup, pii, quality, registry, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -72,3 +72,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.predict(docs, langid.train(docs, f"{fold(5)} <> 0"))
     return found.select("doc_id", F.coalesce(F.expr(f"{fold(5)} = 0"), F.lit(False))
                         .alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_html_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
