@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, substrings, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -77,3 +77,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_text")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_repeated_substrings")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(table(spark, sf_dir, "documents"))
