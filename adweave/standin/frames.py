@@ -8,13 +8,14 @@ same rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adweave import schemas as S
 
 SOURCES = ["region", "nation", "customer", "supplier", "orders", "lineitem", "events"]
-_OPENED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 ACCOUNT = """
 select cast(r_regionkey as string) as ad_account_id, r_name as ad_account_name,
@@ -173,35 +174,20 @@ def doubles_sql(sql: str) -> str:
     return f"select * replace ({casts}) from ({sql}) d"
 
 
-# Columns whose values spread rows evenly, whatever one ad, user or day holds.
-_SPREAD_BY = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey", "l_shipdate"],
-              "events": ["event_id"]}
-
-
-def _spread(df: DataFrame, by: list[str]) -> DataFrame:
-    """Use all cores for a table that arrives in fewer splits than there are cores.
-
-    The test tables are one row group each, which one task would read and then process
-    alone. A table of ordinary size has far more splits than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
-
-
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Open the source tables of one folder (once per session)."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _OPENED:
-        found = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCES}
-        _OPENED[at] = found | {t: _spread(found[t], by) for t, by in _SPREAD_BY.items()}
-    return _OPENED[at]
+    """The source tables of one folder."""
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCES}
 
 
 def frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run one of the texts above (or a query on top of them) over a folder's tables."""
-    for name, df in tables(spark, sf_dir).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """Run one of the texts above (or a query on top of them) over a folder's tables.
+
+    Tables are handed over as arguments, so nothing is registered in the session.
+    """
+    used = [t for t in SOURCES if re.search(rf"\b(from|join)\s+{t}\b", text)]
+    named = re.sub(rf"\b(from|join)(\s+)({'|'.join(SOURCES)})\b", r"\1\2{\3}",
+                   text.replace("{", "{{").replace("}", "}}"))
+    return spark.sql(named, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
 
 
 def readable(df: DataFrame, rounded: dict[str, int] | None = None) -> DataFrame:

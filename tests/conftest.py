@@ -11,9 +11,10 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
