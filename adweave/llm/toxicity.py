@@ -69,6 +69,17 @@ def bags(p: T.Piece) -> Bags:
     return Bags((h[first] % T.U64(SLOTS)).astype(np.int64), sentence, text, begin, ends[used], p.n)
 
 
+def joined(parts: list[Bags]) -> Bags:
+    """Bags of consecutive pieces as one (without byte places)."""
+    texts = np.cumsum([0] + [b.n for b in parts])
+    before = np.cumsum([0] + [len(b.text) for b in parts])
+    none = np.zeros(0, np.int64)
+    return Bags(np.concatenate([b.slot for b in parts]),
+                np.concatenate([b.sentence + k for b, k in zip(parts, before)]),
+                np.concatenate([b.text + k for b, k in zip(parts, texts)]), none, none,
+                int(texts[-1]))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -145,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: str = "true") -> Model:
     if not 0 < toxic.sum() < len(toxic):
         return Model(np.zeros(SLOTS), -40.0)
     batch = pa.RecordBatch.from_arrays([pa.array(got["text"], pa.string())], ["text"])
-    return fit(bags(next(T.pieces(iter([batch]), limit=1 << 40))), toxic)
+    return fit(joined([bags(p) for p in T.pieces(iter([batch]))]), toxic)
 
 
 def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
