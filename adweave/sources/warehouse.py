@@ -1,17 +1,26 @@
-"""Warehouse tables: Parquet folders, pruned reads and republished partitions."""
+"""Warehouse tables: versioned Parquet slices behind a manifest, pruned reads."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from adweave import schemas as S
-from adweave.operators.merge import POLICIES, apply_policy
+from adweave.functions.scalars import month_text
+from adweave.operators.merge import POLICIES, UpsertPolicy, apply_policy
 from adweave.operators.rollup import date_bounds, in_range
 from adweave.session import staged
 
+MANIFEST = "seq bigint, slices array<struct<slice: string, path: string>>"
+# Dimensions are cut by a hash of their key, so a load rewrites only what it changes.
+BUCKETS = 16
+
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """No rows, the table's columns."""
@@ -19,8 +28,22 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
                                    for f in S.table_schema(table).fields])
 
 
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class Warehouse:
+    """Tables under one folder.
+
+    A table is a set of slices: one month of a granularity for facts, one bucket of ids
+    for dimensions. A publish writes the new slices once, into a folder of its own, and
+    then switches by adding one small manifest file that lists every slice's folder.
+    Until that file exists readers see all old rows; a failed publish leaves a folder
+    nobody reads, and its re-run starts from the same rows. Old folders and manifests
+    are left to the storage's lifecycle rules. One writer at a time per table.
+    """
+
     spark: SparkSession
     root: str
 
@@ -30,64 +53,121 @@ class Warehouse:
     def create(self, *tables: str) -> "Warehouse":
         """Make the tables that do not exist yet, empty."""
         for t in tables or S.TABLES:
-            empty_table(self.spark, t).write.mode("ignore") \
-                .partitionBy(*S.PARTITIONS.get(t, [])).parquet(self.path(t))
+            self._switch(t, 0, {}, "ignore")
         return self
 
+    def _manifest(self, table: str) -> tuple[int, dict[str, str]]:
+        """Number and slices of the current version (a few hundred names at most)."""
+        try:
+            found = self.spark.read.schema(MANIFEST).json(f"{self.path(table)}/manifest")
+        except AnalysisException as e:
+            raise ValueError(f"no table {table}") from e
+        seq, slices = found.agg(F.max("seq"), F.max_by("slices", "seq")).first()
+        return seq, {x["slice"]: x["path"] for x in slices}
+
+    def _switch(self, table: str, seq: int, slices: dict[str, str], mode: str) -> None:
+        """One row in one file: it is there as a whole or not at all."""
+        row = [(seq, [(k, v) for k, v in sorted(slices.items())])]
+        self.spark.createDataFrame(row, MANIFEST).coalesce(1) \
+            .write.mode(mode).json(f"{self.path(table)}/manifest")
+
     def table(self, table: str) -> DataFrame:
-        return self.spark.read.schema(S.table_schema(table)).parquet(self.path(table)) \
-            .select(*S.columns_of(table))
+        return self._read(table, self._manifest(table)[1])
+
+    def _read(self, table: str, slices: dict[str, str], *more: str) -> DataFrame:
+        data = f"{self.path(table)}/data"
+        if not slices:
+            none = empty_table(self.spark, table)
+            return none.withColumns({c: F.lit(0) for c in more})
+        schema = S.table_schema(table)
+        for c in more:
+            schema = schema.add(c, IntegerType())
+        return self.spark.read.schema(schema).option("basePath", data) \
+            .parquet(*[f"{data}/{p}" for p in slices.values()]) \
+            .select(*S.columns_of(table), *more)
 
     def facts(self, table: str, granularity: str) -> DataFrame:
         """One granularity; the filter is on the partition column."""
         return self.table(table).where(F.col("granularity") == granularity)
 
-    def ids(self, table: str, key: str) -> DataFrame:
-        return self.table(table).select(key).distinct()
-
     def publish(self, table: str, rows: DataFrame) -> None:
-        """Replace the table (dimension) or the partitions present in ``rows`` (fact).
+        """Replace the slices present in ``rows`` by them, in one write.
 
-        ``rows`` may read the table itself: the result is written to the shared folder
-        first and published from there, so nothing is read while it is overwritten and
-        a run that dies half-way leaves the complete result behind. Publishing is
-        repeatable. Rebalancing gives even files, whatever one month or id holds.
+        ``rows`` may read the table itself. Rebalancing gives even files, whatever one
+        month or id holds.
         """
-        parts = S.PARTITIONS.get(table, [])
-        done = staged(rows, f"publish-{table}")
-        out = done.hint("rebalance", *parts) if parts else done.hint("rebalance")
-        if parts:
+        seq, slices = self._manifest(table)
+        parts = S.PARTITIONS.get(table)
+        if parts is None:
+            parts = ["bucket"]
+            rows = rows.withColumn("bucket", bucket_of(S.columns_of(table)[0]))
+        out = rows.hint("rebalance", *parts)
+        if table in S.FILE_ORDER:
             out = out.sortWithinPartitions(*parts, *S.FILE_ORDER[table])
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(self.path(table))
-
-    def upsert(self, policy: str, incoming: DataFrame, days: DataFrame | None = None) -> None:
-        """Merge cleaned rows into their table, rewriting only what they can touch.
-
-        DAY and MONTH loads read and rewrite whole months. ``days`` (any frame with
-        ``stats_date`` that covers the incoming days) tells which; give it when it is
-        cheaper to scan than ``incoming`` itself.
+        version = f"version={seq + 1:06d}-{uuid.uuid4().hex[:8]}"
+        out.write.partitionBy(*parts).parquet(f"{self.path(table)}/data/{version}")
+        new = self._written(table, version, len(parts))
+        if new:
+            self._switch(table, seq + 1, slices | new, "append")
+
+    def _written(self, table: str, version: str, depth: int) -> dict[str, str]:
+        """slice -> folder of a version, from the names of its files."""
+        data = f"{self.path(table)}/data/{version}"
+        try:
+            files = self.spark.read.schema(S.table_schema(table)).parquet(data).inputFiles()
+        except AnalysisException:
+            return {}
+        slices = {}
+        for f in files:
+            name = "/".join(f.split(f"/data/{version}/", 1)[1].split("/")[:depth])
+            slices[unquote(name)] = f"{version}/{unquote(name)}"
+        return slices
+
+    def upsert(self, policy: str, incoming: DataFrame, months: list[str] | None = None) -> None:
+        """Merge cleaned rows into their table, rewriting only the slices they touch.
+
+        DAY and MONTH loads read and rewrite the months that occur in ``incoming``;
+        ``months`` names them when the caller knows. Dimensions rewrite the buckets in
+        which a row is new or differs in a column the policy assigns.
         """
         p = POLICIES[policy]
-        existing = self.table(p.table)
-        if p.granularity is not None:
-            existing = self.facts(p.table, p.granularity)
+        if p.granularity is None:
+            self._upsert_dimension(p, incoming)
+            return
+        existing = self.facts(p.table, p.granularity)
         if p.granularity in (S.DAY, S.MONTH):
-            existing = in_months(existing, days if days is not None else incoming)
+            months = months_of(incoming) if months is None else months
+            existing = existing.where(F.col("stats_month").isin(months))
         self.publish(p.table, apply_policy(p, existing, incoming))
 
-
-def in_months(facts: DataFrame, days: DataFrame) -> DataFrame:
-    """Facts in the months from the first to the last of ``days``, as a partition filter.
-
-    One aggregated row (two dates) comes to the driver.
-    """
-    first, last = date_bounds(days).first()
-    if first is None:
-        return facts.where(F.lit(False))
-    return facts.where(F.col("stats_month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    def _upsert_dimension(self, p: UpsertPolicy, incoming: DataFrame) -> None:
+        incoming = staged(incoming, "incoming")
+        existing = self._read(p.table, self._manifest(p.table)[1], "bucket")
+        cut = bucket_of(S.columns_of(p.table)[0])
+        touched = [r.bucket for r in changed_rows(p, existing, incoming)
+                   .select(cut.alias("bucket")).distinct().collect()]
+        if touched:
+            self.publish(p.table, apply_policy(
+                p, existing.where(F.col("bucket").isin(touched)).drop("bucket"),
+                incoming.where(cut.isin(touched))))
+
+
+def changed_rows(p: UpsertPolicy, existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Keys of incoming rows that are new or would change what is stored."""
+    old = existing.select(*p.keys, F.struct(*[F.col(c) for c in p.update] or [F.lit(1)])
+                          .alias("_old"))
+    new = incoming.select(*p.keys, F.struct(*[F.col(s).alias(c) for c, s in p.update.items()]
+                                            or [F.lit(1)]).alias("_new"))
+    return new.join(old, list(p.keys), "left") \
+        .where(F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))) \
+        .select(*p.keys)
+
+
+def months_of(rows: DataFrame) -> list[str]:
+    """The months that occur in rows with a ``stats_date``: at most twelve for a year."""
+    month = month_text(F.col("stats_date"))
+    return [r.m for r in rows.where(F.col("stats_date").isNotNull())
+            .select(month.alias("m")).distinct().collect()]
 
 
 def included_accounts(accounts: DataFrame) -> DataFrame:

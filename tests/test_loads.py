@@ -140,14 +140,62 @@ def test_touched_months_and_empty_month(spark, wh):
     assert wh.facts("ad_stats", S.MONTH).count() == 2
 
 
-def test_publish_rewrites_only_its_partitions(spark, wh):
-    loads.daily_load(wh, wide(spark, [day("a", "2020-01-05", spend=1),
-                                      day("a", "2020-02-05", spend=1)]), RUN)
-    root = f"{wh.path('ad_stats')}/granularity=DAY"
-    january = sorted(os.listdir(f"{root}/stats_month=2020-01"))
-    loads.daily_load(wh, wide(spark, [day("a", "2020-02-05", spend=9)]), RUN)
-    assert sorted(os.listdir(f"{root}/stats_month=2020-01")) == january
-    assert state(wh, "ad_stats", "stats_month", "spend") == [("2020-01", 1), ("2020-02", 9)]
+def slices(wh, table):
+    return wh._manifest(table)[1]
+
+
+def test_load_of_far_apart_days_rewrites_only_their_months(spark, wh):
+    days = ["1970-01-05", "2019-12-05", "2020-01-05", "2020-02-05", "2020-03-05"]
+    loads.daily_load(wh, wide(spark, [day("a", d, spend=1) for d in days]), RUN)
+    before = slices(wh, "ad_stats")
+    loads.daily_load(wh, wide(spark, [day("a", "1970-01-05", spend=9),
+                                      day("a", "2020-03-05", spend=9)]), RUN)
+    after = slices(wh, "ad_stats")
+    same = {k for k in before if before[k] == after[k]}
+    assert same == {f"granularity=DAY/stats_month={m}" for m in ("2019-12", "2020-01", "2020-02")}
+    assert state(wh, "ad_stats", "stats_month", "spend") == [
+        ("1970-01", 9), ("2019-12", 1), ("2020-01", 1), ("2020-02", 1), ("2020-03", 9)]
+
+
+def test_dimensions_rewrite_only_changed_buckets(spark, wh):
+    rows = [{"ad_id": f"a{i}", "ad_name": f"n{i}"} for i in range(60)]
+    loads.daily_load(wh, wide(spark, rows), RUN)
+    before = slices(wh, "ad")
+    assert len(before) > 8
+    loads.daily_load(wh, wide(spark, rows), RUN)
+    assert slices(wh, "ad") == before
+    rows[7]["ad_name"] = "renamed"
+    loads.daily_load(wh, wide(spark, rows), RUN)
+    after = slices(wh, "ad")
+    assert sum(before[k] != after[k] for k in before) == 1
+    assert wh.table("ad").count() == 60
+    assert wh.table("ad").where("ad_name = 'renamed'").count() == 1
+
+
+def test_failed_publish_leaves_all_rows_and_its_rerun_is_complete(spark, wh):
+    raw = wide(spark, [day(f"a{i}", "2020-03-01", spend=i + 1) | {"ad_name": f"n{i}"}
+                       for i in range(3)])
+    loads.daily_load(wh, raw, RUN)
+    stored = {t: state(wh, t, *S.columns_of(t)) for t in ("ad", "ad_stats")}
+    broken = F.raise_error(F.lit("a write task fails"))
+    for table in ("ad", "ad_stats"):
+        column = "ad_name" if table == "ad" else "ad_id_date_granul"
+        rows = wh.table(table).withColumn(column, F.when(
+            F.col("ad_id") == "a2", broken.cast("string")).otherwise("lost"))
+        with pytest.raises(Exception, match="a write task fails"):
+            wh.publish(table, rows)
+        assert state(wh, table, *S.columns_of(table)) == stored[table]
+    loads.daily_load(wh, wide(spark, [day("a1", "2020-03-01", spend=50) | {"ad_name": "new"}]), RUN)
+    assert state(wh, "ad", "ad_id", "ad_name") == [("a0", "n0"), ("a1", "new"), ("a2", "n2")]
+    assert state(wh, "ad_stats", "ad_id", "spend") == [("a0", 1), ("a1", 50), ("a2", 3)]
+
+
+def test_a_publish_writes_once(spark, wh):
+    loads.daily_load(wh, wide(spark, [day("a", "2020-01-05", spend=1)]), RUN)
+    data = f"{wh.path('ad_stats')}/data"
+    assert len(os.listdir(data)) == 1
+    wh.upsert("day_stats", E.day_rows(wide(spark, [day("a", "2020-01-06", spend=1)])))
+    assert len(os.listdir(data)) == 2
 
 
 def test_missing_column_is_an_error(spark):
