@@ -106,6 +106,12 @@ WIDE_GEO_COLUMNS = sorted(
 )
 
 
+# Columns of the extract that can hold any text; the others are numbers, dates and flags.
+TEXT_COLUMNS = sorted(
+    set(entity_columns("campaign")) | set(entity_columns("ad_squad")) | set(entity_columns("ad"))
+    | {"timezone", *GEO_DIMENSIONS})
+
+
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 

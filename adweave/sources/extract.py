@@ -14,21 +14,45 @@ CSV = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 WRITE = {**CSV, "nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
          "ignoreTrailingWhiteSpace": "false"}
 # Column names are checked against each file's header, so a missing or misplaced
-# column is an error, not a silent shift.
-READ = {**CSV, "enforceSchema": "false", "mode": "FAILFAST"}
+# column is an error, not a silent shift. Whole rows are parsed even when few columns are
+# selected, so a torn row is an error too.
+READ = {**CSV, "enforceSchema": "false", "mode": "FAILFAST", "columnPruning": "false"}
+
+
+def escaped(c: Column) -> Column:
+    """Line breaks as ``\\n`` and ``\\r``, backslashes doubled: one row stays one line."""
+    out = F.regexp_replace(c, r"\\", r"\\\\")
+    return F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescaped(c: Column) -> Column:
+    """What ``escaped`` was given."""
+    piece = lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")),
+                                F.lit("\\r"), F.lit("\r"))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(
+        F.transform(F.split(c, r"\\\\"), piece), "\\")).otherwise(c)
+
+
+def plain_text(raw: DataFrame, foreign: bool = False) -> DataFrame:
+    """Text columns as they were written; files of other writers are taken literally."""
+    return raw if foreign else raw.withColumns(
+        {f.name: unescaped(F.col(f.name)) for f in raw.schema.fields
+         if f.dataType.typeName() == "string" and f.name in S.TEXT_COLUMNS})
 
 
 def read_extract(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 glob: str | None = None, multi_line: bool = False) -> DataFrame:
+                 glob: str | None = None, foreign: bool = False) -> DataFrame:
     """Every extract file under ``path`` (optionally matching ``glob``), all text.
 
-    ``multi_line`` accepts line breaks inside quoted fields; a file is then one split.
+    ``write_extract`` escapes line breaks, so its files are split freely. ``foreign`` reads
+    files of other writers: backslashes are text and quoted fields may hold line breaks; a
+    file is then one split.
     """
     r = spark.read.schema(S.text_schema(columns or S.WIDE_DAY_COLUMNS)) \
-        .options(**READ, multiLine=multi_line)
+        .options(**READ, multiLine=foreign)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.csv(path)
+    return plain_text(r.csv(path), foreign)
 
 
 def as_extract(wide: DataFrame, columns: list[str]) -> DataFrame:
@@ -51,9 +75,10 @@ def write_extract(wide: DataFrame, path: str, columns: list[str] | None = None,
 
     ``by_window`` names a column (the window start) to write one folder per window.
     """
-    out = as_extract(wide, columns or S.WIDE_DAY_COLUMNS)
+    columns = [*(columns or S.WIDE_DAY_COLUMNS), *([by_window] if by_window else [])]
+    out = as_extract(wide, columns)
+    out = out.withColumns({c: escaped(F.col(c)) for c in columns if c in S.TEXT_COLUMNS})
     if by_window:
-        out = as_extract(wide, [*(columns or S.WIDE_DAY_COLUMNS), by_window])
         # One folder per window without one task per window: AQE splits large windows.
         out = out.hint("rebalance", by_window)
     w = out.write.mode("overwrite").options(**WRITE)

@@ -19,7 +19,7 @@ from adweave.sources.warehouse import Warehouse
 from adweave.standin import frames as T
 from adweave.standin import payloads, upserts
 from adweave.standin.catalog import query
-from adweave.streaming.dayload import load_new_extracts
+from adweave.streaming.dayload import archived, load_new_extracts
 
 RUN = upserts.RUN
 
@@ -37,29 +37,43 @@ def _wide_text(spark, sf, stats_text):
 
 # --- files ----------------------------------------------------------------------------
 
+# Names with line breaks, quotes, commas, edge blanks and backslashes.
+_ODD_NAME = """case cast(ad_id as bigint) % 6 when 0 then 'two' || chr(10) || 'lines'
+when 1 then '"quoted", ' || ad_name when 2 then ' edge ' when 3 then 'a' || chr(92) || 'n' || chr(92)
+when 4 then chr(13) || chr(10) || chr(92) || chr(92) else ad_name end"""
+
+
 @query("csv_roundtrip", f"""
-select ad_id, strftime(ad_created_at, '%m/%d/%Y') || ' 0:00' as ad_created_at,
+with a as (select * replace ({_ODD_NAME} as ad_name) from ({T.AD}) a0),
+d as (select cast(l_orderkey as string) as ad_id, case when l_linenumber = 3 then null else
+             cast(cast(round(l_discount * 100) as bigint) as string) end as impressions,
+             cast(l_linenumber - 1 as string) as video_views from lineitem),
+j as (select coalesce(a.ad_id, d.ad_id) as ad_id, a.* exclude (ad_id), d.* exclude (ad_id)
+      from a full join d on a.ad_id = d.ad_id),
+k as (select coalesce(s.ad_squad_id, j.ad_squad_id) as ad_squad_id, s.campaign_id,
+             s.reserved_debug_message, j.* exclude (ad_squad_id)
+      from ({T.AD_SQUAD}) s full join j on s.ad_squad_id = j.ad_squad_id)
+select coalesce(c.campaign_id, k.campaign_id) as campaign_id, campaign_name, ad_squad_id, ad_id,
+       strftime(ad_created_at, '%m/%d/%Y') || ' 0:00' as ad_created_at,
        strftime(ad_updated_at, '%m/%d/%Y') || ' 0:00' as ad_updated_at, ad_name,
-       reserved_debug_message, impressions, video_views, reach_and_frequency_debug_message
-from (select a.*, s.reserved_debug_message, nullif(d.impressions, '') as impressions,
-             d.video_views, cast(null as string) as reach_and_frequency_debug_message
-      from ({T.AD}) a join ({T.AD_SQUAD}) s on a.ad_squad_id = s.ad_squad_id
-      join (select ad_id, case when l_linenumber = 3 then '' else
-                   cast(cast(round(l_discount * 100) as bigint) as string) end as impressions,
-                   cast(l_linenumber - 1 as string) as video_views
-            from (select *, cast(l_orderkey as string) as ad_id from lineitem) l) d
-        on a.ad_id = d.ad_id) w
+       reserved_debug_message, impressions, video_views,
+       cast(null as string) as reach_and_frequency_debug_message
+from ({T.CAMPAIGN}) c full join k on c.campaign_id = k.campaign_id
 """)
 def csv_roundtrip(spark, sf):
-    """Wide extract written as CSV and read back: quotes, commas and blanks survive."""
+    """Wide extract written as CSV and read back: every row, whatever its texts hold."""
     path = fresh_path(spark, "extract")
     stats = T.frame(spark, sf, T.DAY_TEXT).withColumn("impressions", F.when(
         F.col("impressions") != "", F.col("impressions").try_cast("double").cast("bigint")
         .cast("string")).otherwise(""))
-    E.write_extract(_wide_text(spark, sf, stats), path)
-    return E.read_extract(spark, path).where(F.col("video_views").isNotNull()).select(
-        "ad_id", "ad_created_at", "ad_updated_at", "ad_name", "reserved_debug_message",
-        "impressions", "video_views", "reach_and_frequency_debug_message")
+    dims = [T.frame(spark, sf, text).drop("created_on", "updated_on")
+            for text in (T.CAMPAIGN, T.AD_SQUAD, T.AD)]
+    dims[2] = dims[2].withColumn("ad_name", F.expr(_ODD_NAME))
+    E.write_extract(A.wide_extract(*dims, stats), path)
+    return E.read_extract(spark, path).select(
+        "campaign_id", "campaign_name", "ad_squad_id", "ad_id", "ad_created_at", "ad_updated_at",
+        "ad_name", "reserved_debug_message", "impressions", "video_views",
+        "reach_and_frequency_debug_message")
 
 
 @query("window_files", f"""
@@ -342,16 +356,32 @@ def month_history_load(spark, sf):
 
 # --- incremental stream ---------------------------------------------------------------------
 
-@query("stream_day_load", T.doubles_sql(T.DAY_GATED))
+@query("stream_day_load", T.doubles_sql(f"""
+select *, 'fact' as kind, cast(null as date) as loaded, cast(null as string) as name_start
+from ({T.DAY_GATED}) g
+union all by name
+select 'archive' as kind, date '2020-05-17' as loaded, 'drop=1/part' as name_start
+union all by name
+select 'dimension' as kind, ad_id, ad_squad_id as name_start from ({T.AD}) a
+"""))
 def stream_day_load(spark, sf):
-    """One drop of extract files, loaded by the stream and archived by its next run."""
+    """One drop of extract files, loaded by the stream and archived under its run's date.
+
+    Facts, the ads with their squads, and what the archive holds after a single run.
+    """
     wh = _warehouse(spark)
     inbox, archive = fresh_path(spark, "inbox"), fresh_path(spark, "archive")
     state = fresh_path(spark, "state")
     E.write_extract(_wide_text(spark, sf, T.frame(spark, sf, T.DAY_TEXT)), f"{inbox}/drop=1")
-    for _ in range(2):
-        load_new_extracts(wh, inbox, state, RUN, archive=archive)
-    return T.readable(wh.facts("ad_stats", S.DAY))
+    load_new_extracts(wh, inbox, state, RUN, archive=archive)
+    facts = T.readable(wh.facts("ad_stats", S.DAY)).withColumn("kind", F.lit("fact"))
+    moved = archived(spark, archive).select(
+        F.lit("archive").alias("kind"), "loaded",
+        F.regexp_extract("name", "^(.*part)-", 1).alias("name_start")).distinct()
+    ads = wh.table("ad").select(F.lit("dimension").alias("kind"), "ad_id",
+                                F.col("ad_squad_id").alias("name_start"))
+    return facts.unionByName(moved, allowMissingColumns=True) \
+        .unionByName(ads, allowMissingColumns=True)
 
 
 # The restated text is what gets deduplicated, so its check changes the rows first.

@@ -9,7 +9,7 @@ from adweave.plans import loads
 from adweave.session import fresh_path
 from adweave.sources import extract as E
 from adweave.sources.warehouse import Warehouse, account_seed
-from adweave.streaming.dayload import load_new_extracts
+from adweave.streaming.dayload import archived, load_new_extracts
 
 
 def wide(spark, rows, columns=S.WIDE_DAY_COLUMNS):
@@ -228,12 +228,46 @@ def test_stream_newest_file_wins_and_files_are_archived(spark, wh):
     _drop_file(inbox, "notes.txt", 1, 1_600_000_900)
     load_new_extracts(wh, inbox, checkpoint, RUN, glob="day_*.csv", archive=archive)
     assert state(wh, "ad_stats", "spend") == [(4,)]
-    # A later drop restates; loaded files leave the inbox once the next batch ran.
+    # Loaded files have left the inbox, stamped with the run that loaded them.
+    assert os.listdir(inbox) == ["notes.txt"]
+    assert sorted(os.listdir(f"{archive}/loaded={RUN}")) == ["day_a.csv", "day_b.csv"]
     _drop_file(inbox, "day_c.csv", 2, 1_600_001_000)
-    load_new_extracts(wh, inbox, checkpoint, RUN, glob="day_*.csv", archive=archive)
+    later = dt.date(2020, 4, 1)
+    load_new_extracts(wh, inbox, checkpoint, later, glob="day_*.csv", archive=archive)
     assert state(wh, "ad_stats", "spend") == [(2,)]
-    _drop_file(inbox, "day_d.csv", 3, 1_600_002_000)
-    load_new_extracts(wh, inbox, checkpoint, RUN, glob="day_*.csv", archive=archive)
-    archived = [f for _, _, fs in os.walk(archive) for f in fs]
-    assert {"day_a.csv", "day_b.csv"} <= set(archived)
-    assert "notes.txt" in os.listdir(inbox)
+    assert os.listdir(f"{archive}/loaded={later}") == ["day_c.csv"]
+    assert sorted(map(tuple, archived(spark, archive).collect())) == [
+        (RUN, "day_a.csv"), (RUN, "day_b.csv"), (later, "day_c.csv")]
+    load_new_extracts(wh, inbox, checkpoint, later, glob="day_*.csv", archive=archive)
+    assert os.listdir(inbox) == ["notes.txt"]
+
+
+TEXTS = ["l1\nl2", "a\r\nb", 'say "hi"', "x, y", " edge ", "back\\slash", "literal \\n", "\\", "\\\\n",
+         '"', "\n", "tab\tend", "ünï"]
+
+
+def test_extract_texts_survive_files_and_loads(spark, wh):
+    rows = [{"ad_id": f"a{i}", "ad_name": t, "impressions": "5", "campaign_id": "c",
+             "campaign_name": t} for i, t in enumerate(TEXTS)]
+    path = fresh_path(spark, "texts")
+    E.write_extract(wide(spark, rows, S.WIDE_LIFETIME_COLUMNS), path, S.WIDE_LIFETIME_COLUMNS)
+    raw = E.read_extract(spark, path, S.WIDE_LIFETIME_COLUMNS)
+    want = sorted((r["ad_id"], r["ad_name"]) for r in rows)
+    assert sorted(map(tuple, raw.select("ad_id", "ad_name").collect())) == want
+    loads.lifetime_load(wh, raw, RUN, dimensions=True)
+    assert state(wh, "ad", "ad_id", "ad_name") == sorted(want, key=repr)
+    assert wh.facts("ad_stats", S.LIFETIME).count() == len(TEXTS)
+
+
+def test_torn_rows_raise_whatever_is_selected(spark):
+    folder = fresh_path(spark, "torn")
+    os.makedirs(folder)
+    head = S.WIDE_DAY_COLUMNS
+    row = day("a", "2020-03-01", spend=1) | {"ad_name": '"one\ntwo"'}
+    with open(f"{folder}/x.csv", "w", encoding="utf-8") as f:
+        f.write(",".join(head) + "\n" + ",".join(row.get(c, "") for c in head) + "\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        E.read_extract(spark, folder).select("ad_id").collect()
+    # Files of other writers are read with their line breaks.
+    got = E.read_extract(spark, folder, foreign=True).select("ad_id", "ad_name", "spend").collect()
+    assert [tuple(r) for r in got] == [("a", "one\ntwo", "1")]
