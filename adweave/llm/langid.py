@@ -109,22 +109,28 @@ def features(p: T.Piece) -> Features:
                     count[first[1:]] - count[first[:-1]])
 
 
-def fit(p: T.Piece, language: np.ndarray, names: list[str]) -> Model:
-    f = features(p)
-    n = len(names)
-    of_word = language[f.words.row]
-    of_byte = np.repeat(of_word, np.diff(f.first))
-
-    def table(slot: np.ndarray, lang: np.ndarray, add: float) -> np.ndarray:
-        counts = np.bincount(slot * n + lang, minlength=SLOTS * n).reshape(SLOTS, n) + add
+def fit(pieces: Iterator[T.Piece], language: np.ndarray, names: list[str]) -> Model:
+    n, at = len(names), 0
+    grams, whole = (np.full(SLOTS * n, 0.5) for _ in range(2))
+    used = np.zeros(len(SCRIPTS) * n)
+    for p in pieces:
+        f = features(p)
+        of_word = language[at:at + p.n][f.words.row]
+        at += p.n
+        of_byte = np.repeat(of_word, np.diff(f.first))
+        grams += np.bincount(f.gram * n + of_byte, minlength=SLOTS * n)
+        whole += np.bincount(f.slot * n + of_word, minlength=SLOTS * n)
+        used += np.bincount(f.script.astype(np.int64) * n + of_word, minlength=len(SCRIPTS) * n)
+
+    def table(counts: np.ndarray) -> np.ndarray:
+        counts = counts.reshape(SLOTS, n)
         log = np.log(counts / counts.sum(axis=0))
         return (log - log.mean(axis=1, keepdims=True)).astype(np.float32)
 
-    used = np.bincount(f.script.astype(np.int64) * n + of_word,
-                       minlength=len(SCRIPTS) * n).reshape(len(SCRIPTS), n)
+    used = used.reshape(len(SCRIPTS), n)
     allowed = used > 0.01 * np.maximum(used.sum(axis=0), 1)
     allowed[0] = False
-    return Model(names, table(f.gram, of_byte, 0.5), table(f.slot, of_word, 0.5), allowed,
+    return Model(names, table(grams), table(whole), allowed,
                  np.bincount(language, minlength=n) / max(len(language), 1))
 
 
@@ -227,8 +233,7 @@ def train(docs: DataFrame, rows: str = "true") -> Model | None:
         return None
     names = sorted(got["lang"].unique().tolist())
     batch = pa.RecordBatch.from_arrays([pa.array(got["text"], pa.string())], ["text"])
-    piece = next(T.pieces(iter([batch]), limit=1 << 40))
-    return fit(piece, np.searchsorted(names, got["lang"].to_numpy(str)), names)
+    return fit(T.pieces(iter([batch])), np.searchsorted(names, got["lang"].to_numpy(str)), names)
 
 
 def _scan(docs: DataFrame, model: Model | None, keep: list[str], made: dict[str, str], build):
