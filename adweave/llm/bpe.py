@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a segment tree over adjacent pair ranks.
 
 A text is cut at added tokens, then by the vocabulary's word pattern. Each distinct word is
-merged once per task: leaves of a segment tree hold the rank of each adjacent pair, inner
+merged once per task (and its ids decoded): leaves of a segment tree hold the rank of each adjacent pair, inner
 nodes the smaller of their children, so the root names the leftmost pair of lowest rank. A
 merge updates at most three leaves, each in logarithmic time, until no pair has a rank. One
 very long word (a text without spaces) therefore costs n log n steps.
@@ -16,14 +16,18 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-NONE = 1 << 60
-CACHE_WORDS = 400_000  # distinct words whose ids a task remembers; then it starts anew
+NONE = (1 << 31) - 1
+SHORT = 33  # bytes; words up to this length are merged many at a time
+BATCH_CHARS = 1_000_000  # characters of texts (or one text) that are split at a time
+CACHE_WORDS = 500_000  # distinct words that a task remembers (or those of one group of texts)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -45,133 +49,226 @@ class Codec:
         letters = byte_letters()
         back = {c: b for b, c in letters.items()}
         self.first = [vocab[letters[b]] for b in range(256)]
-        # (left id, right id) -> (rank, merged id)
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # the merged id of each rank
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.rank[vocab[a], vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.piece = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
         self.piece |= {i: t.encode() for t, i in self.added.items()}
         self.split = regex.compile(PATTERN).findall
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") \
             if self.added else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, Entry] = {}
+        # Sorted pairs for lookups of whole arrays.
+        keys = np.array([a << 32 | b for a, b in self.rank], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.key_rank = keys[order], order.astype(np.int32)
+        self.made_array = np.array(self.made, np.int64)
+        self.first_array = np.array(self.first, np.int64)
 
-    def word(self, data: bytes) -> tuple[int, ...]:
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_rank[at], NONE)
+
+    def word(self, data: bytes) -> list[int]:
         """Token ids of one word by repeated merging of the tree's leftmost best pair."""
-        ids = [self.first[b] for b in data]
+        first, get, made = self.first, self.rank.get, self.made
+        ids = [first[b] for b in data]
         n = len(ids)
-        if n < 2:
-            return tuple(ids)
-        merge = self.merge
-        size = 1
-        while size < n - 1:
-            size *= 2
-        tree = [NONE] * (2 * size)
-        for i in range(n - 1):
-            found = merge.get((ids[i], ids[i + 1]))
-            if found is not None:
-                tree[size + i] = found[0]
+        size = 1 << max(n - 2, 0).bit_length()
+        tree = [NONE] * size
+        tree += [get(pair, NONE) for pair in zip(ids, ids[1:])]
+        tree += [NONE] * (2 * size - len(tree))
         for i in range(size - 1, 0, -1):
             a, b = tree[2 * i], tree[2 * i + 1]
             tree[i] = a if a <= b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(leaf: int, rank: int) -> None:
-            node = size + leaf
-            tree[node] = rank
-            node >>= 1
-            while node:
-                a, b = tree[2 * node], tree[2 * node + 1]
-                low = a if a <= b else b
-                if tree[node] == low:
-                    return
-                tree[node] = low
-                node >>= 1
-
-        def rank_at(i: int) -> int:
-            j = after[i]
-            found = merge.get((ids[i], ids[j])) if j < n else None
-            return NONE if found is None else found[0]
-
         while tree[1] != NONE:
-            node, low = 1, tree[1]
+            low = tree[1]
+            node = 1
             while node < size:
                 node *= 2
                 if tree[node] != low:
                     node += 1
             i = node - size
             j = after[i]
-            ids[i] = merge[ids[i], ids[j]][1]
-            ids[j] = -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            if j < n - 1:
-                put(j, NONE)
-            put(i, rank_at(i))
-            if before[i] >= 0:
-                put(before[i], rank_at(before[i]))
-        return tuple([t for t in ids if t >= 0])
+            k = after[j]
+            ids[i], ids[j] = made[low], -1
+            after[i] = k
+            # The pair at i changes, the one at j is gone, the one before i changes.
+            leaves = [(i, NONE)]
+            if k < n:
+                before[k] = i
+                leaves = [(i, get((ids[i], ids[k]), NONE)), (j, NONE)]
+            h = before[i]
+            if h >= 0:
+                leaves.append((h, get((ids[h], ids[i]), NONE)))
+            for leaf, rank in leaves:
+                node = size + leaf
+                if tree[node] == rank:
+                    continue
+                tree[node] = rank
+                while node > 1:
+                    a, b = tree[node], tree[node ^ 1]
+                    if b < a:
+                        a = b
+                    node >>= 1
+                    if tree[node] == a:
+                        break
+                    tree[node] = a
+        return [t for t in ids if t >= 0]
+
+    def short_words(self, words: list[bytes], size: int) -> list[list[int]]:
+        """``word`` for many words of 2 to ``size`` + 1 bytes at once, each with its own tree."""
+        n, depth = len(words), size.bit_length() - 1
+        length = np.array([len(w) for w in words])
+        data = np.frombuffer(b"".join(w.ljust(size + 1, b"\0") for w in words), np.uint8)
+        place = np.arange(size + 1)
+        inside = place < length[:, None]
+        # One more column each takes what is written for a neighbour that is not there.
+        ids = np.full((n, size + 2), -1, np.int64)
+        ids[:, :-1] = np.where(inside, self.first_array[data.reshape(n, size + 1)], -1)
+        after = np.tile(np.arange(1, size + 3), (n, 1))
+        before = np.tile(np.arange(-1, size + 1), (n, 1))
+        tree = np.full((n, 2 * size + 1), NONE, np.int32)
+        tree[:, size:2 * size] = self.ranks(ids[:, :size], ids[:, 1:size + 1])
+        for level in range(depth - 1, -1, -1):
+            lo = 1 << level
+            below = tree[:, 2 * lo:4 * lo]
+            tree[:, lo:2 * lo] = np.minimum(below[:, ::2], below[:, 1::2])
+        live = np.flatnonzero(tree[:, 1] != NONE)
+        while len(live):
+            low = tree[live, 1]
+            node = np.ones(len(live), np.int64)
+            for _ in range(depth):
+                node *= 2
+                node += tree[live, node] != low
+            i = node - size
+            j = after[live, i]
+            k = np.minimum(after[live, j], size + 1)
+            h = before[live, i]
+            new = self.made_array[low]
+            ids[live, i], ids[live, j] = new, -1
+            after[live, i], before[live, k] = k, i
+            right = ids[live, k]
+            tree[live, size + i] = np.where(right >= 0, self.ranks(new, right), NONE)
+            tree[live, size + j] = NONE
+            prior = np.where(h >= 0, self.ranks(ids[live, h], new), NONE)
+            tree[live, np.where(h >= 0, size + h, 2 * size)] = prior
+            for leaf in (i, np.minimum(j, size - 1), np.maximum(h, 0)):
+                node = (size + leaf) >> 1
+                for _ in range(depth):
+                    tree[live, node] = np.minimum(tree[live, 2 * node], tree[live, 2 * node + 1])
+                    node >>= 1
+            live = live[tree[live, 1] != NONE]
+        kept = ids >= 0
+        flat = ids[kept].tolist()
+        ends = np.cumsum(kept.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Make the words known, those of like length together."""
+        by_size: dict[int, list[str]] = {}
+        piece, known = self.piece, self.known
+        for w in words:
+            n = len(w.encode())
+            if 1 < n <= SHORT:
+                by_size.setdefault(1 << max(n - 2, 1).bit_length(), []).append(w)
+            else:
+                known[w] = entry(self.word(w.encode()), piece)
+        for size, alike in by_size.items():
+            for at in range(0, len(alike), 20_000):
+                part = alike[at:at + 20_000]
+                for w, ids in zip(part, self.short_words([w.encode() for w in part], size)):
+                    known[w] = entry(ids, piece)
+
+    def parts(self, text: str) -> list[list[str]]:
+        """Words of a text, cut at added tokens: every other list is one added token."""
+        cut = self.cut.split(text) if self.cut else [text]
+        return [[x] if k % 2 else self.split(x) for k, x in enumerate(cut)]
+
+    def entries(self, texts: list[str]) -> Iterator[list[Entry]]:
+        """Entries of the words of each text."""
+        found = [self.parts(t) for t in texts]
+        words = {w for parts in found for part in parts[::2] for w in part}
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known.clear()
+            new = words
+        self.learn(new)
+        get = self.known.__getitem__
+        for parts in found:
+            out: list[Entry] = []
+            for k, part in enumerate(parts):
+                out.extend([entry([self.added[part[0]]], self.piece)] if k % 2 else map(get, part))
+            yield out
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        parts = self.cut.split(text) if self.cut else [text]
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append(self.added[part])
-                continue
-            for w in self.split(part):
-                ids = known.get(w)
-                if ids is None:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    ids = self.word(w.encode())
-                    if len(w) <= 64:
-                        known[w] = ids
-                out.extend(ids)
-        return out
+        return [i for ids, _, _ in next(self.entries([text])) for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.piece.__getitem__, ids)).decode("utf-8", "replace")
 
 
+# Of a word: its tokens, their ids as text, and the bytes they decode to.
+Entry = tuple[list[int], str, bytes]
+
+
+def entry(ids: list[int], piece: dict[int, bytes]) -> Entry:
+    return ids, ",".join(map(str, ids)), b"".join([piece[i] for i in ids])
+
+
+def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``BATCH_CHARS`` characters together."""
+    at, total = 0, 0
+    for i, t in enumerate(texts):
+        if i > at and total + len(t) > BATCH_CHARS:
+            yield at, i
+            at, total = i, 0
+        total += len(t)
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
 def tokens(docs: DataFrame, vocabulary: str, text: str = "text",
-           keep: list[str] | None = None, texts: bool = False) -> DataFrame:
+           keep: list[str] | None = None, ids: bool = False,
+           decoded: bool = False) -> DataFrame:
     """``keep`` columns, n_tokens and the digests of ids and decoded text.
 
-    ``texts`` adds ``ids`` (array of int) and ``decoded``.
+    ``ids`` adds the ids (array of int), ``decoded`` the decoded text.
     """
     made = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
-    made |= {"ids": "array<int>", "decoded": "string"} if texts else {}
+    made |= ({"ids": "array<int>"} if ids else {}) | ({"decoded": "string"} if decoded else {})
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in made]
     slim = docs.select(*keep, F.col(text).alias("__text"))
     schema = ", ".join([f"`{n}` {t}" for n, t in slim.drop("__text").dtypes]
                        + [f"{n} {t}" for n, t in made.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, name = Codec(vocabulary), {}
+        codec = Codec(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            values = [v or "" for v in batch.column(batch.num_columns - 1).to_pylist()]
+            for lo, hi in groups(values):
+                part = batch.slice(lo, hi - lo)
                 rows = {m: [] for m in made}
-                for value in part.column(part.num_columns - 1):
-                    ids = codec.encode(value.as_py() or "")
-                    decoded = codec.decode(ids)
-                    for t in set(ids).difference(name):
-                        name[t] = str(t)
-                    rows["n_tokens"].append(len(ids))
-                    rows["ids_sha256"].append(sha(",".join(map(name.__getitem__, ids))))
-                    rows["decoded_sha256"].append(sha(decoded))
-                    if texts:
-                        rows["ids"].append(ids)
-                        rows["decoded"].append(decoded)
+                for found in codec.entries(values[lo:hi]):
+                    own, names, data = zip(*found) if found else ((), (), ())
+                    back = b"".join(data).decode("utf-8", "replace")
+                    rows["n_tokens"].append(sum(map(len, own)))
+                    rows["ids_sha256"].append(sha(",".join(names)))
+                    rows["decoded_sha256"].append(sha(back))
+                    if ids:
+                        rows["ids"].append(np.fromiter(chain.from_iterable(own), np.int32))
+                    if decoded:
+                        rows["decoded"].append(back)
                 kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(keep))]
