@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adweave.session import staged
+
 
 def _same(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
     pair = [(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys]
@@ -56,8 +58,14 @@ def inherit(ads: DataFrame, accounts: DataFrame, key: str = "ad_account_id",
 
 
 def attach_hierarchy(campaigns: DataFrame, squads: DataFrame, ads: DataFrame) -> DataFrame:
-    """Dimensions joined bottom-up: every ad, plus childless squads and campaigns."""
-    return outer_attach(outer_attach(ads, squads, "ad_squad_id"), campaigns, "campaign_id")
+    """Dimensions joined: every ad, plus childless squads and campaigns.
+
+    Both joins read their inputs twice, so each level is written once and read back.
+    """
+    parents = staged(outer_attach(squads, campaigns, "campaign_id"), "parents")
+    return staged(outer_attach(ads, parents, "ad_squad_id").select(
+        "ad_squad_id", *[c for c in ads.columns if c != "ad_squad_id"],
+        *[c for c in parents.columns if c != "ad_squad_id"]), "hierarchy")
 
 
 def wide_extract(campaigns: DataFrame, squads: DataFrame, ads: DataFrame,
@@ -65,14 +73,14 @@ def wide_extract(campaigns: DataFrame, squads: DataFrame, ads: DataFrame,
     """Grain (ad, day) plus childless campaigns, squads and ads, plus orphan stats.
 
     The facts take part in a single join. Joining the dimensions first gives the
-    same rows as joining them one by one onto the facts as long as dimension keys
-    are never missing, which payload ids guarantee.
+    same rows as joining them one by one onto the facts as long as dimension ids are
+    never missing and come once; readers of payloads see to both, others must.
     """
     return attach_facts(stats, attach_hierarchy(campaigns, squads, ads))
 
 
 def attach_facts(facts: DataFrame, hierarchy: DataFrame) -> DataFrame:
-    """Facts around an already joined (and, if it was costly, written) hierarchy."""
+    """Facts around an already joined and written hierarchy."""
     return outer_attach(facts, hierarchy, "ad_id")
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from adweave import schemas as S
 from adweave.functions import scalars as X
-from adweave.operators.carry import carry_maps
+from adweave.operators.carry import carry_maps, last_wins
+from adweave.operators.dedupe import latest_per_key
 
 _KINDS = {**{e: S.entity_body(e) for e in S.ENTITY_FIELDS},
           "day": S.DAY_BODY, "lifetime": S.LIFETIME_BODY, "geo": S.GEO_BODY}
@@ -28,13 +29,18 @@ def payload_outer(kind: str) -> str:
     return _KINDS[kind].split(" ", 1)[0]
 
 
+def _body(kind: str) -> Column:
+    return F.from_json("body", _KINDS[kind])
+
+
 def triage(landing: DataFrame, kind: str) -> DataFrame:
     """Tag each response: NULL ``reject_reason`` means usable.
 
     A response that did not return 200, is not JSON or lacks the payload's array is
-    kept with its reason instead of aborting the run or vanishing.
+    kept with its reason instead of aborting the run or vanishing. The body is parsed the
+    way the readers parse it, so what is usable here is what they read.
     """
-    has_array = F.get_json_object("body", f"$.{payload_outer(kind)}").isNotNull()
+    has_array = _body(kind)[payload_outer(kind)].isNotNull()
     return landing.withColumn(
         "reject_reason",
         F.when(F.coalesce(F.col("status"), F.lit(0)) != 200, F.concat(
@@ -43,33 +49,44 @@ def triage(landing: DataFrame, kind: str) -> DataFrame:
 
 
 def accepted(landing: DataFrame) -> DataFrame:
+    """Responses worth parsing. An unusable body then yields no row in any reader."""
     return landing.where(F.col("status") == 200)
 
 
 def rejects(landing: DataFrame, kind: str) -> DataFrame:
-    return triage(landing, kind).where(F.col("reject_reason").isNotNull())
-
-
-def _body(kind: str) -> Column:
-    return F.from_json("body", _KINDS[kind])
+    """What no reader of this kind returns: unusable responses, and entities without an id."""
+    lost = triage(landing, kind).where(F.col("reject_reason").isNotNull())
+    if kind not in S.ENTITY_WRAPPERS:
+        return lost
+    outer, inner = S.ENTITY_WRAPPERS[kind]
+    item = accepted(landing).withColumn("e", F.explode(_body(kind)[outer]))
+    nameless = item.where(F.col(f"e.{inner}.id").isNull()) \
+        .withColumns({"body": F.to_json("e"), "reject_reason": F.lit("no id")}).drop("e")
+    return lost.unionByName(nameless)
 
 
 def read_entity(landing: DataFrame, entity: str, render_dates: bool = False) -> DataFrame:
     """Campaign, ad-squad or ad payloads -> one row per entity, prefix-renamed.
 
-    Optional keys become nullable columns, unknown keys are ignored. Dates are cut
-    to the day; ``render_dates`` gives the extract's ``MM/DD/YYYY 0:00`` text. The
-    account the response was requested for travels along as ``account_id``.
+    Optional keys become nullable columns, unknown keys are ignored, an entity without an
+    id is a reject. Dates are cut to the day; ``render_dates`` gives the extract's
+    ``MM/DD/YYYY 0:00`` text. The account the response was requested for travels along as
+    ``account_id``.
     """
     outer, inner = S.ENTITY_WRAPPERS[entity]
     items = accepted(landing).select("account_id", F.explode(_body(entity)[outer]).alias("e"))
-    flat = items.select("account_id", f"e.{inner}.*")
+    flat = items.select("account_id", f"e.{inner}.*").where(F.col("id").isNotNull())
     dates = {c: X.entity_day(F.col(c)) for c in S.ENTITY_DATES if c in flat.columns}
     if render_dates:
         dates = {c: X.extract_day_text(d) for c, d in dates.items()}
     return flat.withColumns(dates).withColumnsRenamed(S.entity_renames(entity))
 
 
+def one_version(rows: DataFrame, entity: str) -> DataFrame:
+    """One row per id: retries land an entity again, the latest version stays."""
+    return latest_per_key(rows, [f"{entity}_id"], [f"{entity}_updated_at"])
+
+
 def read_ads(landing: DataFrame, accounts: DataFrame | None = None,
              render_dates: bool = False) -> DataFrame:
     """Ads, tagged with their account's timezone when accounts are given."""
@@ -96,8 +113,7 @@ def read_day_stats(landing: DataFrame, metrics: list[str] | None = None,
     series = F.get(_body("day")["timeseries_stats"], F.lit(0))["timeseries_stat"]["timeseries"]
     days = accepted(landing).select("ad_id", "window_start", series.alias("days"))
     bags = F.transform("days", lambda d: d["stats"])
-    if carry_forward:
-        bags = carry_maps(bags)
+    bags = carry_maps(bags) if carry_forward else F.transform(bags, last_wins)
     starts = F.transform("days", lambda d: d["start_time"])
     rows = days.select("ad_id", "window_start", F.posexplode(
         F.arrays_zip(starts.alias("adstats_date"), bags.alias("stats"))))
@@ -107,9 +123,11 @@ def read_day_stats(landing: DataFrame, metrics: list[str] | None = None,
 
 
 def read_lifetime_stats(landing: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """Lifetime totals: exactly one row per response, also when it has no metric."""
-    stats = F.get(_body("lifetime")["lifetime_stats"], F.lit(0))["lifetime_stat"]["stats"]
-    return accepted(landing).select("ad_id", stats.alias("stats")).select(
+    """Lifetime totals: exactly one row per usable response, also when it has no metric."""
+    found = accepted(landing).select("ad_id", _body("lifetime")["lifetime_stats"].alias("found"))
+    stats = F.get("found", F.lit(0))["lifetime_stat"]["stats"]
+    one = F.when(F.col("found").isNotNull(), F.array(F.struct(last_wins(stats).alias("stats"))))
+    return found.select("ad_id", F.inline(one)).select(
         "ad_id", *_metrics("stats", metrics or S.STATS_METRICS))
 
 
@@ -121,7 +139,7 @@ def read_geo(landing: DataFrame, carry_forward: bool = True) -> DataFrame:
     """Geo breakdown: one row per (ad, item); no item, no row. Metrics become ``geo_*``."""
     items = F.get(_body("geo")["lifetime_stats"], F.lit(0))["lifetime_stat"]["dimension_stats"]
     found = accepted(landing).select("ad_id", items.alias("items"))
-    bags = carry_maps(F.col("items")) if carry_forward else F.col("items")
+    bags = carry_maps(F.col("items")) if carry_forward else F.transform("items", last_wins)
     rows = found.select("ad_id", F.posexplode(bags).alias("pos", "item"))
     return rows.select("ad_id", "pos", *_metrics("item", S.GEO_DIMENSIONS),
                        *_metrics("item", S.GEO_METRICS, {m: f"geo_{m}" for m in S.GEO_METRICS}))

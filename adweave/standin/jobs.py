@@ -144,10 +144,12 @@ from j2"""
 
 _DIMENSIONS = ["campaign_id", "campaign_name", "ad_squad_id", "ad_squad_name", "ad_id",
                "ad_created_at"]
+# Stats of the excluded account were landed, too, and must not come out.
 _DAY_FACTS = f"""
 select ad_id, window_start, stats_date, cast(impressions as string) as impressions,
        cast(spend as string) as spend, cast(swipes as string) as swipes,
        cast(shares as string) as shares from ({payloads.carried_sql(_AD_ID)}) x
+where cast(cast(ad_id as bigint) % 5 as string) in (select ad_account_id from ({_KEPT}) k)
 """
 
 
@@ -170,24 +172,91 @@ def daily_extract(spark, sf):
                        "impressions", "spend", "swipes", "shares")
 
 
+# The backfill asks for 30-day windows from 1995 to the end of 2000, for known ads of included
+# accounts; responses of other windows and ads lie in the landing zone as well.
+_START, _LIMIT = dt.date(1995, 1, 1), dt.date(2000, 12, 31)
+_HISTORY_FACTS = f"""
+select f.* replace (date '{_START}' + cast(floor((window_start - date '{_START}') / 30) as integer)
+                    * 30 as window_start)
+from ({_DAY_FACTS}) f
+join (select o_orderkey, c_nationkey % 5 as c from orders join customer on o_custkey = c_custkey) a
+  on f.ad_id = cast(a.o_orderkey as string)
+where cast(a.c as string) in (select ad_account_id from ({_KEPT}) k)
+  and date '{_START}' + cast(floor((window_start - date '{_START}') / 30) as integer) * 30
+      < date '{_LIMIT}'
+"""
+
+
+def _history(spark, sf):
+    tile = F.expr(f"date_add(date'{_START}', cast(floor(datediff(window_start, date'{_START}') / 30)"
+                  " as int) * 30)")
+    landed = T.frame(spark, sf, payloads.day_landing(_AD_ID)).withColumn("window_start", tile)
+    path = fresh_path(spark, "history")
+    missing = extracts.history_job(
+        T.frame(spark, sf, T.ACCOUNT), *_landing(spark, sf, *_ENTITIES), landed, _START, _LIMIT, path)
+    return path, missing
+
+
 @query("history_extract", _extract_sql(
-    _KEPT, "t.ad_account_timezone as timezone", _DAY_FACTS,
+    _KEPT, "t.ad_account_timezone as timezone", _HISTORY_FACTS,
     "window_start, stats_date, impressions, spend, swipes, shares"))
 def history_extract(spark, sf):
-    wide = extracts.history_extract(
-        T.frame(spark, sf, T.ACCOUNT),
-        *_landing(spark, sf, *_ENTITIES, payloads.day_landing(_AD_ID)))
-    return wide.select(*_DIMENSIONS, "window_start",
-                       X.iso_day(F.col("adstats_date")).alias("stats_date"),
-                       "impressions", "spend", "swipes", "shares")
+    """Windows -> requests -> their responses -> one folder per window, read back."""
+    path, _ = _history(spark, sf)
+    rows = E.read_extract(spark, path)
+    return rows.select(
+        *_DIMENSIONS[:-1], X.entity_day(F.col("ad_created_at")).alias("ad_created_at"),
+        F.col("window_start").cast("date").alias("window_start"),
+        X.iso_day(F.col("adstats_date")).alias("stats_date"), "impressions", "spend", "swipes",
+        "shares")
+
+
+@query("history_missing", f"""
+select cast(a.o_orderkey as string) as ad_id, cast(w as date) as window_start,
+       cast(least(cast(w as date) + 30, date '{_LIMIT}') as date) as window_end
+from (select o_orderkey, c_nationkey % 5 as c from orders join customer on o_custkey = c_custkey) a,
+     (select unnest(range(date '{_START}', date '{_LIMIT}', interval 30 day)) as w) t
+where cast(a.c as string) in (select ad_account_id from ({_KEPT}) k)
+  and not exists (select 1 from lineitem l where l.l_orderkey = a.o_orderkey and
+      date '{_START}' + cast(floor((cast(l_shipdate as date) - date '{_START}') / 30) as integer) * 30
+      = cast(w as date))
+""")
+def history_missing(spark, sf):
+    """Requests of the backfill that no response answers."""
+    return _history(spark, sf)[1].select("ad_id", "window_start", "window_end")
+
+
+@query("history_requests_inclusive", f"""
+select cast(o_orderkey as string) as ad_id, cast(w as date) as window_start,
+       cast(least(cast(w as date) + 30, date '2000-01-01') as date) as window_end
+from orders, (select unnest(range(date '1999-01-01', date '2000-01-01', interval 30 day)) as w) t
+""")
+def history_requests_inclusive(spark, sf):
+    """A year of windows whose last end is the day after the limit."""
+    ads = T.frame(spark, sf, "select cast(o_orderkey as string) as ad_id, 'UTC' as timezone from orders")
+    return extracts.history_requests(ads, dt.date(1999, 1, 1), dt.date(1999, 12, 31),
+                                     inclusive_end=True).select("ad_id", "window_start", "window_end")
+
+
+@query("daily_requests", """
+select cast(c_custkey as string) as ad_id, date '2020-02-16' as window_start,
+       date '2020-03-17' as window_end, '2020-02-16T5:00:00.000-00:00' as start_time,
+       '2020-03-17T4:00:00.000-00:00' as end_time
+from customer
+""")
+def daily_requests(spark, sf):
+    """A daily run's window over a clock change: the end bound has the run's own offset."""
+    ads = T.frame(spark, sf, "select cast(c_custkey as string) as ad_id, "
+                             "'America/New_York' as timezone from customer")
+    return extracts.day_requests(ads, dt.date(2020, 3, 17), now=dt.datetime(2020, 3, 17, 9, 30))
 
 
-_LIFE_FACTS = f"""
+_LIFE_FACTS = """
 select ad_id, cast(user_id as string) as impressions, cast(event_id % 7 as string) as spend
 from (select *, cast(event_id as string) as ad_id from events) e
 """
 _LIFE_LANDING = """
-select cast(null as string) as account_id, cast(event_id as string) as ad_id,
+select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
        cast(null as date) as window_start, 200 as status,
        '{"lifetime_stats":[{"lifetime_stat":{"stats":{"impressions":' || cast(user_id as string)
        || ',"spend":' || cast(event_id % 7 as string) || ',"conversion_save":'
@@ -197,11 +266,12 @@ from events
 
 
 @query("lifetime_extract", _extract_sql(
-    f"select ad_account_id from ({T.ACCOUNT}) a", "1 as one", _LIFE_FACTS,
-    "impressions, spend"))
+    _KEPT, "1 as one", f"""
+select * from ({_LIFE_FACTS}) x where cast(cast(ad_id as bigint) % 5 as string) in (
+  select ad_account_id from ({_KEPT}) k)""", "impressions, spend"))
 def lifetime_extract(spark, sf):
     wide = extracts.lifetime_extract(*_landing(spark, sf, *_ENTITIES, _LIFE_LANDING),
-                                     seed=T.frame(spark, sf, T.ACCOUNT))
+                                     seed=T.frame(spark, sf, _KEPT))
     return wide.select(*_DIMENSIONS, "impressions", "spend")
 
 

@@ -143,10 +143,7 @@ from (select event_id, cast(user_id as string) as ad_id, {_LAST} from events
 def carry_forward(spark, sf):
     rows = T.frame(spark, sf, """
         select event_id, cast(user_id as string) as ad_id, ts, event_type, value from events""")
-    rows = rows.select(
-        "event_id", "ad_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
-        F.create_map("event_type", F.when(F.col("value") >= 5, F.col("value"))).alias("stats"))
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = K.volume_chunks(rows, ["ad_id"], "at", parts)
-    return K.carry_rows(cut, ["ad_id"], ["at", "event_id"], "stats", _KINDS, "chunk") \
+    rows = rows.select("event_id", "ad_id", "ts", F.create_map(
+        "event_type", F.when(F.col("value") >= 5, F.col("value"))).alias("stats"))
+    return K.carry_rows(rows, ["ad_id"], ["ts", "event_id"], "stats", _KINDS) \
         .select("event_id", "ad_id", *_KINDS)

@@ -113,7 +113,7 @@ def _day(n: int) -> str:
 
 def day_landing(ad_id: str) -> str:
     return f"""
-select cast(null as string) as account_id, {ad_id} as ad_id,
+select cast(l_orderkey % 5 as string) as account_id, {ad_id} as ad_id,
        cast(l_shipdate as date) as window_start, 200 as status,
        '{{"timeseries_stats":[{{"timeseries_stat":{{"timeseries":[{{"start_time":"' || {_day(0)}
        || '{{"impressions":' || cast(l_linenumber as string)
@@ -254,3 +254,77 @@ window w as (partition by event_id order by pos rows between unbounded preceding
 def geo_carry_forward(spark, sf):
     return P.read_geo(T.frame(spark, sf, GEO_LANDING)).select(
         "ad_id", "pos", "dma", "region", "geo_impressions")
+
+
+# --- what cannot be read, and repeated keys -------------------------------------------------
+
+_BROKEN_ADS = f"""
+select account_id, ad_id, window_start,
+       case when k % 11 = 3 then 500 when k % 11 = 4 then null else status end as status,
+       case when k % 11 = 5 then 'oops' when k % 11 = 6 then '{{"other":[]}}' when k % 11 = 7 then null
+            when k % 11 = 8 then replace(body, '"id":"', '"was":"') else body end as body
+from (select *, cast(substr(body, 22, position('"' in substr(body, 22)) - 1) as bigint) as k
+      from ({AD_LANDING}) l) b
+"""
+
+
+@query("payload_rejects", """
+select kind, reject_reason, count(*) as n from (
+  select 'ad' as kind, case o_orderkey % 11 when 3 then 'status 500' when 4 then 'status missing'
+         when 8 then 'no id' else 'no payload' end as reject_reason
+  from orders where o_orderkey % 11 between 3 and 8
+  union all
+  select 'lifetime', case when event_id % 7 = 1 then 'status 401' else 'no payload' end
+  from events where event_id % 7 in (1, 2)
+  union all
+  select 'accepted', 'ad' from orders where o_orderkey % 11 not between 3 and 8
+  union all
+  select 'accepted', 'lifetime' from events where event_id % 7 not in (1, 2)) r
+group by all
+""")
+def payload_rejects(spark, sf):
+    """Rejects of two kinds of landing as the jobs write them, and what the readers return."""
+    from adweave.plans.extracts import write_rejects
+    from adweave.session import fresh_path
+
+    ads = T.frame(spark, sf, _BROKEN_ADS)
+    life = T.frame(spark, sf, """
+        select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
+               cast(null as date) as window_start, case when event_id % 7 = 1 then 401 else 200 end
+               as status, case when event_id % 7 = 2 then 'oops' else
+               '{"lifetime_stats":[{"lifetime_stat":{"stats":{}}}]}' end as body from events""")
+    path = fresh_path(spark, "rejects")
+    write_rejects(path, ad=ads, lifetime=life)
+    read = [P.read_ads(ads).select("ad_id").withColumn("reject_reason", F.lit("ad")),
+            P.read_lifetime_stats(life).select("ad_id").withColumn("reject_reason", F.lit("lifetime"))]
+    good = read[0].unionByName(read[1]).select(F.lit("accepted").alias("kind"), "reject_reason")
+    return spark.read.parquet(path).select("kind", "reject_reason").unionByName(good) \
+        .groupBy("kind", "reject_reason").agg(F.count("*").alias("n"))
+
+
+_TWICE = """
+select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
+       cast(null as date) as window_start, 200 as status,
+       '{"timeseries_stats":[{"timeseries_stat":{"timeseries":[{"start_time":"2020-01-01T00:00","stats":'
+       || '{"spend":1,"impressions":' || cast(user_id as string) || ',"spend":'
+       || cast(event_id as string) || '}},{"start_time":"2020-01-02T00:00","stats":{"spend":5,"swipes":2,'
+       || '"spend":null}}]}}]}' as body
+from events
+"""
+
+
+@query("payload_repeated_key", """
+select cast(event_id as string) as ad_id, carried, d as day,
+       case when d = 1 then cast(event_id as string) end as spend,
+       case when d = 1 or carried then cast(user_id as string) end as impressions,
+       case when d = 2 then '2' end as swipes
+from events, (select unnest([1, 2]) as d) x, (select unnest([true, false]) as carried) y
+""")
+def payload_repeated_key(spark, sf):
+    """A key twice in one bag: the last value counts, with and without carrying."""
+    landing = T.frame(spark, sf, _TWICE)
+    parts = [P.read_day_stats(landing, carry_forward=c).withColumn("carried", F.lit(c))
+             for c in (True, False)]
+    return parts[0].unionByName(parts[1]).select(
+        "ad_id", "carried", F.substring("adstats_date", 10, 1).cast("int").alias("day"), "spend",
+        "impressions", "swipes")

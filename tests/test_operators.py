@@ -1,7 +1,11 @@
+import contextlib
 import datetime as dt
+import io
 import random
+import re
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from adweave.operators import attach as A
@@ -24,25 +28,37 @@ def brute_carry(items, metrics):
     return sorted(out, key=repr)
 
 
-def test_carry_rows_with_one_hot_key(spark):
+@pytest.mark.parametrize("moments", [500, 3000, 1])
+def test_carry_rows_with_one_hot_key(spark, moments):
+    """Nearly all rows in one key, with distinct, repeated and equal times."""
     rng = random.Random(7)
     metrics = ["a", "b", "c"]
     items = []
     for i in range(3000):
-        key = "hot" if i % 2 else f"k{rng.randrange(40)}"
+        key = "hot" if i % 20 else f"k{rng.randrange(40)}"
         bag = {m: (None if rng.random() < 0.3 else float(rng.randrange(100)))
                for m in metrics if rng.random() < 0.2}
-        items.append((key, rng.randrange(500), i, bag))
+        items.append((key, i if moments == 3000 else rng.randrange(moments), i, bag))
     df = spark.createDataFrame(items, "key string, at long, id long, stats map<string,double>")
-    cut = K.volume_chunks(df, ["key"], "at", parts=16).cache()
-    sizes = {(r.key, r.chunk): r["count"] for r in cut.groupBy("key", "chunk").count().collect()}
-    hot = [n for (k, _), n in sizes.items() if k == "hot"]
-    assert len(hot) > 5 and max(hot) <= 2 * 3000 / 16 + 10
-    assert len({k for k, c in sizes if c != 0}) == 1
-    got = K.carry_rows(cut, ["key"], ["at", "id"], "stats", metrics, "chunk")
+    sizes = [r["count"] for r in K.cut_rows(df, ["key"], ["at", "id"], 200)
+             .groupBy("key", "piece").count().collect()]
+    assert max(sizes) <= 200 and len(sizes) > 15
+    got = K.carry_rows(df, ["key"], ["at", "id"], "stats", metrics, 200)
     assert rows(got, "id", *metrics) == brute_carry(items, metrics)
 
 
+def test_no_window_spans_a_whole_key(spark):
+    df = spark.createDataFrame([("k", 1, {"a": 1.0})], "key string, at long, stats map<string,double>")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        K.carry_rows(df, ["key"], ["at"], "stats", ["a"]).explain()
+    by_key = [w for w in re.findall(r"Window \[.*\], \[(\S+(?:, \S+)*)\], \[", out.getvalue())
+              if "piece" not in w]
+    assert len(by_key) == 1  # the one over summaries
+    assert "_i_a" in next(line for line in out.getvalue().splitlines() if "Window [" in line
+                          and f"[{by_key[0]}]" in line)
+
+
 def test_latest_per_key_is_deterministic(spark):
     df = spark.createDataFrame(
         [("a", None, "z"), ("a", 1, "b"), ("a", 1, "c"), ("b", None, "x"), ("b", None, None)],

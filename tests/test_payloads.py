@@ -3,6 +3,7 @@ import json
 import pytest
 
 from adweave import schemas as S
+from adweave.plans.extracts import lifetime_extract
 from adweave.sources import payloads as P
 
 
@@ -95,3 +96,51 @@ def test_entities_rename_and_tolerate_gaps(spark, entity):
     assert got["1"][f"{entity}_created_at"] == "01/02/2020 0:00"
     assert got["1"][f"{entity}_updated_at"] is None
     assert got["2"][f"{entity}_updated_at"] == "02/03/2020 0:00"
+
+
+GOOD = {"campaign": '{"campaigns":[{"campaign":{"id":"c"}}]}', "ad_squad": '{"adsquads":[]}',
+        "ad": '{"ads":[{"ad":{"id":"a"}}]}',
+        "day": '{"timeseries_stats":[{"timeseries_stat":{"timeseries":[{"start_time":"2020-01-01"}]}}]}',
+        "lifetime": '{"lifetime_stats":[{"lifetime_stat":{"stats":{}}}]}',
+        "geo": '{"lifetime_stats":[{"lifetime_stat":{"dimension_stats":[]}}]}'}
+
+
+@pytest.mark.parametrize("kind", sorted(GOOD))
+def test_accepted_and_rejects_are_all_that_landed(spark, kind):
+    bodies = [(200, GOOD[kind]), (200, "oops"), (200, None), (200, "{}"), (401, GOOD[kind]),
+              (None, GOOD[kind]), (200, '{"x":1}')]
+    landing = spark.createDataFrame(
+        [("1", f"a{i}", None, s, b) for i, (s, b) in enumerate(bodies)], S.LANDING)
+    tagged = P.triage(landing, kind)
+    assert tagged.where("reject_reason is null").select("ad_id").collect()[0].ad_id == "a0"
+    assert tagged.where("reject_reason is null").count() + P.rejects(landing, kind).count() \
+        == landing.count()
+    readers = {"day": P.read_day_stats, "lifetime": P.read_lifetime_stats, "geo": P.read_geo}
+    if kind in readers:
+        assert {r.ad_id for r in readers[kind](landing).select("ad_id").collect()} <= {"a0"}
+    if kind == "lifetime":
+        assert P.read_lifetime_stats(landing).count() == 1
+
+
+def test_entities_without_id_are_rejects_and_retries_count_once(spark):
+    def landed(outer, inner, *items):
+        body = '{"%s":[%s]}' % (outer, ",".join('{"%s":%s}' % (inner, i) for i in items))
+        return spark.createDataFrame([("1", None, None, 200, body)], S.LANDING)
+
+    squads = landed("adsquads", "adsquad", '{"id":"s","campaign_id":"c","updated_at":"2020-01-01T0"}',
+                    '{"id":"s","campaign_id":"c","name":"new","updated_at":"2020-02-01T0"}', '{"name":"x"}')
+    campaigns = landed("campaigns", "campaign", '{"id":"c"}', '{"id":"c"}')
+    ads = landed("ads", "ad", '{"id":"a","ad_squad_id":"s"}')
+    assert [r.reject_reason for r in P.rejects(squads, "ad_squad").collect()] == ["no id"]
+    stats = spark.createDataFrame([("1", "a", None, 200, GOOD["lifetime"])], S.LANDING)
+    wide = lifetime_extract(campaigns, squads, ads, stats)
+    assert [(r.ad_id, r.ad_squad_name) for r in wide.collect()] == [("a", "new")]
+
+
+def test_last_of_a_repeated_key_counts(spark):
+    body = ('{"timeseries_stats":[{"timeseries_stat":{"timeseries":[{"start_time":"2020-01-01",'
+            '"stats":{"spend":1,"swipes":4,"spend":2}}]}}]}')
+    landing = spark.createDataFrame([("1", "a", None, 200, body)], S.LANDING)
+    for carry in (True, False):
+        r = P.read_day_stats(landing, carry_forward=carry).first()
+        assert (r.spend, r.swipes) == ("2", "4")

@@ -102,3 +102,13 @@ def test_parsing_never_shuffles(spark):
         text = plan(df)
         assert "Exchange" not in text and "EqualTo(status,200)" in text
         assert "Python" not in text and text.count("from_json") <= 1
+
+
+def test_wide_join_scans(spark):
+    """At most one scan per dimension and two of the facts; the joined dimensions are read back."""
+    dims = [stored(spark, S.text_schema([c for c in S.columns_of(t) if c not in
+                                         ("created_on", "updated_on")]), f"dim-{t}")
+            for t in ("campaign", "ad_squad", "ad")]
+    facts = stored(spark, "ad_id string, adstats_date string, spend long", "wide-facts")
+    text = plan(A.wide_extract(*dims, facts))
+    assert text.count("FileScan") <= 3 + 2
