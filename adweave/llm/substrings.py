@@ -37,7 +37,7 @@ from adweave.session import staged
 
 LENGTH, FIRST = 200, 50
 BUCKET = 4_000_000  # ranks sorted by one task
-PACK = 2_000_000  # bytes of candidates' texts that are ranked together
+PACK = 1_000_000  # bytes of candidates' texts that are ranked together
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -84,7 +84,7 @@ def _first_ranks(docs: DataFrame, wanted: bytes | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         want = Wanted(table.value) if table.value else None
-        for p in T.pieces(batches):
+        for p in T.pieces(batches, limit=PACK):
             if len(p.buf) < LENGTH:
                 continue
             rank = T.Hashes(p.buf).every(FIRST)
@@ -100,7 +100,7 @@ def _first_ranks(docs: DataFrame, wanted: bytes | None) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of the rows in ``wanted`` (by mark), read again and joined with it."""
+    """The texts of the classes in ``wanted`` (by the mark of a row), read again and joined."""
     table = docs.sparkSession.sparkContext.broadcast(
         bit_table(wanted.select(F.col("mark").alias("h"))))
 
@@ -111,8 +111,10 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield b.filter(pa.array(want(mark.view(np.uint64))))
 
     slim = docs.select("k", "k2", "mark", "text")
+    # One row a class: dropping repeated rows needs no further shuffle than the join's.
     return slim.mapInArrow(run, "k bigint, k2 bigint, mark bigint, text string") \
-        .join(wanted, ["k", "k2", "mark"])
+        .join(wanted.withColumnRenamed("mark", "of"), ["k", "k2"]).where("mark = of") \
+        .dropDuplicates(["k", "k2"])
 
 
 def _pack(texts: DataFrame) -> DataFrame:
@@ -263,8 +265,7 @@ def removals(docs: DataFrame, kept: bool = False) -> DataFrame:
                      .agg(F.count("*").alias("copies"), F.min("mark").alias("mark")),
                      "substr-classes")
     wanted = staged(classes.drop("copies").join(places, "k"), "substr-wanted")
-    texts = _texts(docs, wanted.select("k", "k2", "mark", "places")).dropDuplicates(["k", "k2"])
-    packed = staged(_pack(texts), "substr-packed")
+    packed = staged(_pack(_texts(docs, wanted)), "substr-packed")
     n = packed.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BUCKET + 1)
     answers = staged(_repeated(packed, buckets), "substr-answers")
