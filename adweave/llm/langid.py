@@ -5,7 +5,7 @@ itself, learned from labelled documents. The word's script (code point ranges) f
 the languages to those whose training text uses that script. Viterbi over the words, with a
 penalty for every switch, labels spans; a document's language is the one with most letters.
 
-A text whose words gain no more than the penalty from any other language on any stretch
+A text whose words gain no more than half the penalty from another language on any stretch
 keeps one label throughout, which is what Viterbi would find; such texts are recognised for
 a whole record batch at once and only the others are walked word by word.
 
@@ -203,7 +203,7 @@ def labels(f: Features, m: Model, switch: float = SWITCH) -> np.ndarray:
         base = -row * span
         base = base - before[first[:-1]][row]
         low = np.minimum.accumulate(before + base)
-        walk[np.unique(row[gain + base - low > switch])] = True
+        walk[np.unique(row[gain + base - low > switch / 2])] = True
     if walk.any():
         some = walk[row]
         size = np.diff(first) * walk
