@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adweave.llm import textbatch as T
 
-PATH, WORDS, MEASURES, HIDDEN = 96, 16, 5, 24
+PATH, WORDS, MEASURES, HIDDEN = 256, 16, 5, 24
 WIDTH = PATH + WORDS + MEASURES
 PAGES = 400  # pages read by the labeller at a time
 PIECE = 1_000_000  # bytes of block text hashed at a time
@@ -222,8 +222,8 @@ def _walk(w: np.ndarray, c: np.ndarray, x: np.ndarray, mask: np.ndarray) -> tupl
 def _unwalk(w: np.ndarray, x: np.ndarray, seen: list, up: np.ndarray) -> tuple:
     """Gradients of one direction's weights from the gradient of its states."""
     n = x.shape[0]
-    gw, gc = np.zeros_like(w), np.zeros(4 * HIDDEN)
-    dh, ds = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
+    gw, gc = np.zeros_like(w), np.zeros(4 * HIDDEN, w.dtype)
+    dh, ds = np.zeros((n, HIDDEN), w.dtype), np.zeros((n, HIDDEN), w.dtype)
     for t in range(len(seen) - 1, -1, -1):
         h, s, i, f, o, g, new, m = seen[t]
         dh = dh + up[:, t]
@@ -249,7 +249,7 @@ def _gradients(w: dict[str, np.ndarray], x: np.ndarray, mask: np.ndarray, y: np.
     ahead, seen_f = _walk(w["wf"], w["cf"], x, mask)
     behind, seen_b = _walk(w["wb"], w["cb"], x[:, ::-1], mask[:, ::-1])
     both = np.concatenate([ahead, behind[:, ::-1]], axis=2)
-    d = (_sig(both @ w["out"] + w["bias"]) - y) * mask / mask.sum()
+    d = (_sig(both @ w["out"] + w["bias"]) - y) * mask / float(mask.sum())
     up = d[..., None] * w["out"]
     gwf, gcf = _unwalk(w["wf"], x, seen_f, up[..., :HIDDEN])
     gwb, gcb = _unwalk(w["wb"], x[:, ::-1], seen_b, up[:, ::-1, HIDDEN:])
@@ -266,7 +266,7 @@ def pad(x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.cache
-def train(pages: int = 900, rounds: int = 14, seed: int = 3) -> dict[str, np.ndarray]:
+def train(pages: int = 2500, rounds: int = 12, seed: int = 3) -> dict[str, np.ndarray]:
     """Weights after Adam over made-up pages; the same on every call."""
     from adweave.llm import layouts
 
@@ -276,24 +276,25 @@ def train(pages: int = 900, rounds: int = 14, seed: int = 3) -> dict[str, np.nda
     flat = [b for p in made for b in p]
     place = np.concatenate([np.linspace(0, 1, len(p)) for p in made])
     x = vectors([b[0] for b in flat], [b[1] for b in flat], [b[2] for b in flat], place)
-    x = x.astype(np.float64)
-    y = np.array([b[3] for b in flat], np.float64)
+    x = x.astype(np.float32)
+    y = np.array([b[3] for b in flat], np.float32)
     cut = np.concatenate([[0], np.cumsum([len(p) for p in made])])
-    w = start_weights(rng)
+    w = {k: v.astype(np.float32) for k, v in start_weights(rng).items()}
     first = {k: np.zeros_like(v) for k, v in w.items()}
     second = {k: np.zeros_like(v) for k, v in w.items()}
     step, size = 0, 50
+    steps = rounds * -(-pages // size)
     for _ in range(rounds):
         for b in rng.permutation(range(0, pages, size)):
             sizes = np.diff(cut[b:b + size + 1])
             xs, mask = pad(x[cut[b]:cut[min(b + size, pages)]], sizes)
-            ys = np.zeros(mask.shape)
+            ys = np.zeros(mask.shape, np.float32)
             ys[mask] = y[cut[b]:cut[min(b + size, pages)]]
             step += 1
             for k, g in _gradients(w, xs, mask, ys).items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
-                w[k] = w[k] - 0.01 * (first[k] / (1 - 0.9**step)) \
+                w[k] = w[k] - 0.012 * (1.02 - step / steps) * (first[k] / (1 - 0.9**step)) \
                     / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     return w
 

@@ -7,6 +7,8 @@ so the labeller does not rely on their absence.
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 
 Block = tuple[tuple[str, ...], str, int, int]
@@ -29,17 +31,18 @@ BODY = ("content main article post entry story body text article-body post-conte
 ODD = "wrap wrapper container row col inner outer box grid flex left right module block site x a b c".split()
 SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
 
+_draw = random.Random(11)
+MADE_UP = ["".join(_draw.choices(SYLLABLES, k=_draw.randrange(1, 5))) for _ in range(4000)]
+
 
 def page(rng: np.random.Generator) -> list[Block]:
     pick = lambda xs: xs[rng.integers(len(xs))]
     chance = lambda p: rng.random() < p
 
-    def word() -> str:
-        return "".join(pick(SYLLABLES) for _ in range(rng.integers(1, 5)))
-
     def sentence(lo: int, hi: int) -> str:
         stop = pick(["", ".", ".", ".", "!", "?"])
-        return " ".join(word() for _ in range(rng.integers(lo, hi + 1))).capitalize() + stop
+        some = rng.integers(len(MADE_UP), size=rng.integers(lo, hi + 1))
+        return " ".join([MADE_UP[i] for i in some]).capitalize() + stop
 
     def prose() -> str:
         return " ".join(sentence(1, 20) for _ in range(rng.integers(1, int(pick([2, 3, 6, 14])))))
@@ -123,23 +126,23 @@ def page(rng: np.random.Generator) -> list[Block]:
         wide = int(pick([1, 3, 8, 20]))
         for _ in range(rng.integers(1, wide + 2)):
             r = rng.random()
-            if r < 0.62:
+            if r < 0.54:
                 inside = pick([("p",), ("p",), ("p",), ("p", "b"), ("p", "span"), ("p", "em"), ("div",), ()])
                 t = prose() if chance(0.85) else sentence(1, 4)
                 out.append((here + inside, t, int(len(t) * rng.random() * 0.4) if chance(0.2) else 0, 1))
-            elif r < 0.72:
+            elif r < 0.64:
                 out.append((here + (pick(["h2", "h3", "h4"]),), sentence(1, 8), 0, 1))
-            elif r < 0.8:
+            elif r < 0.72:
                 kind = pick([("ul", "li"), ("ol", "li"), ("dl", "dd"), ("ul", "li", "p")])
                 out += [(here + kind, sentence(1, 15), 0, 1) for _ in range(rng.integers(1, 6))]
-            elif r < 0.86:
+            elif r < 0.78:
                 out.append((here + pick([("blockquote",), ("blockquote", "p"), ("pre",), ("figure", "figcaption")]),
                             prose(), 0, 1))
-            elif r < 0.9:
+            elif r < 0.82:
                 kind = ("table", "tbody", "tr", pick(["td", "td", "th"]))
                 out += [(here + kind, sentence(1, 4), 0, 1) for _ in range(rng.integers(2, 9))]
-            elif chance(0.6):
-                out += pick([advert, side, share, notice, form, menu])(here)
+            else:
+                out += pick([advert, advert, side, share, notice, form, menu])(here)
         if chance(0.12):
             out += pick([comments, footer, share])(here)
         return out
