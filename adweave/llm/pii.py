@@ -109,7 +109,7 @@ def _spans(k: Kind) -> str:
 
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns and ``spans``: array of (start, kind order, kind, end, score) by start."""
-    own = [c for c in docs.columns if c.lower() != "spans" and not c.startswith("p_")]
+    own = [c for c in docs.columns if c.lower() != "spans"]
     src = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in own],
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     src = src.withColumns({f"p_{k.name}": F.expr(_proposed(k)) for k in KINDS})
