@@ -11,7 +11,7 @@ Documents are read twice as whole record batches; neither pass shuffles a text.
 a pass is filtered by a bit table over the wanted shingles (``bittable``). Its size is
 fixed, so it may be broadcast; false hits cost a row each and end in the join.
 
-Null and empty texts have no words; items without words have no window. Equal windows of
+Null and empty texts have no words; items without words or id have no window. Equal windows of
 several items are looked up once. Rows with equal doc_id and text get equal results, rows
 that share only a doc_id are judged apart. Further columns are ignored by ``hits``.
 """
@@ -81,7 +81,8 @@ def windows(items: DataFrame, text: str = "text") -> DataFrame:
                  pa.array(out["h"], pa.int64())], list(out))
 
     kind = dict(items.dtypes)["item_id"]
-    return items.select("item_id", F.col(text).alias("text")).mapInArrow(
+    named = items.where("item_id is not null")
+    return named.select("item_id", F.col(text).alias("text")).mapInArrow(
         run, f"item_id {kind}, words array<string>, off int, size int, h bigint")
 
 

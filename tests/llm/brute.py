@@ -81,3 +81,40 @@ def contamination(rows, items):
                     found |= got
         out.append((i, len(w), len(hit), sorted(found)))
     return sorted(out, key=repr)
+
+
+def sentence_spans(rows, least=20):
+    """(doc_id, n_sentences, n_words, n_removed, n_removed_words, kept_sha256) of every row."""
+    docs = []
+    for i, t in rows:
+        t = t or ""
+        parts, before = [], None
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", t):
+            stops = len(re.findall(r"[.!?\n]", t[:m.start()]))
+            if stops != before:
+                parts.append([])
+            parts[-1].append(m)
+            before = stops
+        docs.append((i, t, parts))
+    where = defaultdict(list)
+    for i, t, parts in {(i, t): (i, t, p) for i, t, p in docs}.values():
+        for a in range(len(parts)):
+            for b in range(a + 1, len(parts)):
+                words = [m[0].translate(LOWER) for p in parts[a:b + 1] for m in p]
+                if len(words) >= least:
+                    where[tuple(words)].append((i is not None, i or 0, t, a, b))
+                    break
+    gone = defaultdict(set)
+    for places in where.values():
+        # Rows of one doc_id hold no span in common here, so the text breaks no tie.
+        for some, i, t, a, b in sorted(places)[1:]:
+            gone[some, i, t].update(range(a, b + 1))
+    out = []
+    for i, t, parts in docs:
+        cut = gone[i is not None, i or 0, t]
+        begin = [0] + [p[0].start() for p in parts[1:]] + [len(t)]
+        kept = "".join(t[begin[k]:begin[k + 1]] for k in range(len(parts)) if k not in cut) \
+            if parts else t
+        out.append((i, len(parts), sum(map(len, parts)), len(cut), sum(len(parts[k]) for k in cut),
+                    hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
