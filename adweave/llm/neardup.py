@@ -7,10 +7,12 @@ j plus a random fraction, and a document stops at the first step that cannot low
 its slots (long texts after one or two steps). Bands of ``ROWS`` slots give candidates: at
 a similarity of 0.75 the chance to share none of the 32 bands is 5 in a million.
 
-Candidates of a band bucket are verified on the full sets against one member, so a bucket of
-n costs n comparisons, not n squared. What this leaves unconnected is followed up: each
-component's smallest member in the bucket meets the members of other components, and last
-the remaining pairs of different components meet, so no candidate link is lost.
+Candidates of a band bucket are verified on the full sets against its hub, the member that
+shares most buckets with others, so a bucket of n costs n comparisons, not n squared. Where
+a bucket still holds several components, its members are compared with the most shared text
+of the hub's component: what two members have in common with it bounds what they share, and
+beyond that they must share an element outside it, which makes smaller buckets with hubs of
+their own. No candidate link is lost.
 
 Null and empty texts and those without words have an empty set and are linked with nothing.
 Rows that repeat a doc_id keep their own sets and share the component of their text; rows
@@ -36,6 +38,7 @@ HASHES = 128
 ROWS = 4
 BANDS = HASHES // ROWS
 LEAST = 75  # percent
+SMALL, GROWTH = 16, 4  # members of a bucket whose pairs are compared; growth with each step
 
 
 def shingle_sets(p: T.Piece, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -137,10 +140,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = T.signed(np.ascontiguousarray(bands[n > 0]).reshape(-1))
         ids = p.column("doc_id")
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(n.astype(np.int64)), pa.array(cls, pa.binary()),
+            [ids, p.column("key"), pa.array(n.astype(np.int64)), pa.array(cls, pa.binary()),
              pa.array(T.signed(_marks(ids, cls))),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            ["doc_id", "n_shingles", "cls", "mark", "bands"])
+            ["doc_id", "key", "n_shingles", "cls", "mark", "bands"])
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -169,71 +172,161 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         .groupBy("cls").agg(F.any_value("items").alias("items"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links among pairs (a, b): 100 * shared >= LEAST * either."""
-    b = sets.select(F.col("cls").alias("b"), F.col("items").alias("ib"))
-    a = sets.select(F.col("cls").alias("a"), F.col("items").alias("ia"))
-    both = pairs.join(b, "b").join(a, "a")
-    shared = F.size(F.array_intersect("ia", "ib"))
-    return both.select("a", "b", shared.alias("s"),
-                       (F.size("ia") + F.size("ib")).alias("total")) \
-        .where(f"100 * s >= {LEAST} * (total - s)").select("a", "b")
+def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (hub, cls, ...) with what the full sets tell.
+
+    n is the size of cls, h the elements it shares with the hub, ``linked`` whether they
+    suffice, ``rest`` the elements outside the hub.
+    """
+    x = sets.select("cls", F.col("items").alias("ix"))
+    hub = sets.select(F.col("cls").alias("hub"), F.col("items").alias("ih"))
+    h = F.size(F.array_intersect("ix", "ih"))
+    return pairs.join(x, "cls").join(hub, "hub") \
+        .withColumns({"n": F.size("ix"), "hn": F.size("ih"), "h": h}) \
+        .withColumn("linked", F.expr(f"100L * h >= {LEAST}L * (n + hn - h)")) \
+        .withColumn("rest", F.array_except("ix", "ih")).drop("ix", "ih", "hn")
+
+
+def _named(df: DataFrame, roots: DataFrame, cls: str = "cls") -> DataFrame:
+    """With the component (``root``) that a class belongs to so far."""
+    return df.join(roots.select(F.col("node").alias(cls), F.col("root").alias("_r")), cls, "left") \
+        .withColumn("root", F.coalesce("_r", cls)).drop("_r")
+
+
+def _mixed(members: DataFrame, bucket: list[str], step: int,
+           name: str) -> tuple[DataFrame, DataFrame]:
+    """What to compare in the buckets that hold several components.
+
+    Small buckets give their pairs (hub, cls) of two components. Of the others the members
+    are returned, with the bucket's hub: the member that shares most band buckets, of a text
+    and its edited copies the text itself. What counts as small grows with the step, so the
+    steps are few: the logarithm of the largest bucket.
+    """
+    small_size = SMALL * GROWTH**step
+    head = staged(members.groupBy(*bucket).agg(
+        F.count("*").alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.max(F.struct("score", "cls")).alias("top"), F.max_by("root", F.struct("score", "cls"))
+        .alias("hub_root")).where("lo <> hi")
+        .select(*bucket, "k", F.col("top.cls").alias("hub"), "hub_root"), f"{name}-hubs")
+    small = members.join(head.where(f"k <= {small_size}").select(*bucket), bucket)
+    other = small.select(*bucket, F.col("cls").alias("hub"), F.col("root").alias("other"))
+    pairs = small.join(other, bucket).where("cls < hub and root <> other").select("hub", "cls")
+    return staged(pairs.distinct(), f"{name}-small"), \
+        staged(members.join(head.where(f"k > {small_size}").drop("k"), bucket), f"{name}-large")
+
+
+def _followed(seen: DataFrame, step: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """What could still link members x and y of a hub's group that are in two components.
+
+    If they are linked they share at least 3/7 of |x| + |y| elements. Of the hub's elements
+    they share at most the smaller h: where that suffices the pair itself is returned.
+    Otherwise they share elements outside the hub, at least three quarters of x less its h,
+    so one of the first quarter of x (and one) in any fixed order, and likewise of y: those
+    elements make smaller buckets. Pairs to compare are returned, and members of the large
+    ones of these buckets with their hubs.
+    """
+    inner = seen.withColumn("of", F.col("hub")).drop("hub")
+    busy = staged(inner.groupBy("of").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                  .where("lo <> hi").select("of"), f"{name}-busy")
+    group = staged(inner.join(busy, "of", "left_semi"), f"{name}-group")
+    x = group.where("7L * h >= 3L * n").select("of", "cls", "n", "h", "root")
+    y = x.select("of", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("h").alias("yh"),
+                 F.col("root").alias("yroot"))
+    inside = x.join(y, "of").where("cls < y and root <> yroot") \
+        .where("7L * least(h, yh) >= 3L * (n + yn)").where(_fits("n", "yn")) \
+        .select(F.col("y").alias("hub"), "cls").distinct()
+    element = F.explode(F.expr("slice(rest, 1, n div 4 + 1)")).alias("element")
+    small, large = _mixed(group.select("of", "cls", "score", "root", element), ["of", "element"],
+                          step, name)
+    return staged(inside.union(small).distinct(), f"{name}-direct"), staged(
+        large.where("cls <> hub").select("hub", "cls", "score").distinct(), f"{name}-next")
 
 
 def _fits(a: str, b: str) -> str:
-    return f"100 * least({a}, {b}) >= {LEAST} * greatest({a}, {b})"
+    return f"100L * least({a}, {b}) >= {LEAST}L * greatest({a}, {b})"
 
 
-def links(docs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Verified links (a, b) between classes that connect what all links would connect."""
-    classes = staged(sketch.where("cls is not null").groupBy("cls", "n_shingles")
+def components_of(docs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(node, root) of the classes that are linked with a smaller one, by all links."""
+    classes = staged(sketch.where("cls is not null").groupBy("cls")
                      .agg(F.min("mark").alias("mark")), "dup-classes")
-    band = sketch.join(classes, ["cls", "mark", "n_shingles"], "left_semi") \
-        .select("cls", F.col("n_shingles").alias("n"), F.explode("bands").alias("bk")).distinct()
-    head = staged(band.groupBy("bk").agg(F.min("cls").alias("head"), F.count("*").alias("k"),
-                                         F.min_by("n", "cls").alias("hn"))
-                  .where("k > 1").drop("k"), "dup-buckets")
-    members = staged(band.join(head, "bk"), "dup-members")
-    wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi")
+    band = sketch.join(classes, ["cls", "mark"], "left_semi") \
+        .select("cls", F.explode("bands").alias("bk")).distinct()
+    shared = staged(band.groupBy("bk").agg(F.count("*").alias("k")).where("k > 1"), "dup-buckets")
+    member = staged(band.join(shared, "bk"), "dup-members")
+    score = staged(member.groupBy("cls").agg(F.sum("k").alias("score")), "dup-scores")
+    members = staged(member.join(score, "cls").select("bk", "cls", "score"), "dup-scored")
+    wanted = classes.join(score.select("cls"), "cls", "left_semi")
     sets = staged(_sets(docs, wanted.select("cls", "mark")), "dup-sets")
-    star = members.where("cls <> head").where(_fits("n", "hn")) \
-        .select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
-    found = staged(_verify(star, sets), "dup-star")
-    for last in (False, True):
-        roots = components(found)
-        named = members.select("bk", "cls", "n") \
-            .join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-            .withColumn("root", F.coalesce("root", "cls"))
-        mixed = staged(named.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                       .where("lo <> hi").select("bk"), "dup-mixed")
-        left = staged(named.join(mixed, "bk"), "dup-left")
-        one = left if last else left.groupBy("bk", "root").agg(
-            F.min("cls").alias("cls"), F.min_by("n", "cls").alias("n"))
-        one = one.select("bk", F.col("cls").alias("a"), F.col("n").alias("an"),
-                         F.col("root").alias("ar"))
-        more = left.join(one, "bk").where("root <> ar").where(_fits("n", "an"))
-        if last:
-            more = more.where("a < cls")
-        pairs = staged(more.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-                       .distinct(), "dup-pairs")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _compare(pairs, sets).where("linked") \
+            .select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+
+    def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+        if roots is not None:
+            links = links.union(roots.select("node", "root"))
+        return components(links)
+
+    head = staged(members.groupBy("bk").agg(F.max(F.struct("score", "cls")).alias("top"))
+                  .select("bk", F.col("top.cls").alias("hub")), "dup-heads")
+    first = members.join(head, "bk").where("cls <> hub").select("hub", "cls").distinct()
+    roots = merged(None, staged(linked(first), "dup-star-links"))
+    direct, large = _mixed(_named(members, roots), ["bk"], 0, "dup-left")
+    # Large buckets: all members meet the most shared text of the hub's component.
+    ref = staged(_named(score, roots).groupBy("root")
+                 .agg(F.max_by("cls", F.struct("score", "cls")).alias("hub")), "dup-refs")
+    pairs = large.select("cls", "score", F.col("hub_root").alias("root")).distinct() \
+        .join(ref, "root").where("cls <> hub").select("hub", "cls", "score")
+    pairs, step = staged(pairs.distinct(), "dup-pairs"), 0
+    while not pairs.isEmpty() or not direct.isEmpty():
+        seen = staged(_compare(pairs, sets), f"dup-seen-{step}")
+        links = seen.where("linked").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
+        roots = merged(roots, links.union(staged(
+            linked(direct), f"dup-direct-{step}")))
         if pairs.isEmpty():
             break
-        found = staged(found.union(_verify(pairs, sets)).distinct(), "dup-links")
-    return found
+        step += 1
+        direct, pairs = _followed(_named(seen, roots), step, f"dup-{step}")
+    return roots
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """Per row of documents: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
-    docs = docs.select("doc_id", "text")
+    """Per row of documents: doc_id, key, n_shingles, component_id, kept, group.
+
+    ``kept`` says that doc_id = component_id, ``key`` is the 64-bit name of the text and
+    ``group`` names the component even where it has no doc_id (null for an empty set).
+    """
+    docs = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     sketch = staged(docs.mapInArrow(
-        _sketch, "doc_id bigint, n_shingles bigint, cls binary, mark bigint, bands array<bigint>"),
-        "dup-sketch")
-    root = components(links(docs, sketch))
+        _sketch, "doc_id bigint, key bigint, n_shingles bigint, cls binary, mark bigint, "
+                 "bands array<bigint>"), "dup-sketch")
+    root = components_of(docs, sketch)
     ids = sketch.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")) \
         .join(root.withColumnRenamed("node", "cls"), "cls", "left") \
         .withColumn("root", F.coalesce("root", "cls"))
     least = staged(ids.groupBy("root").agg(F.min("doc_id").alias("component_id")), "dup-least")
-    by_class = staged(ids.join(least, "root").select("cls", "component_id"), "dup-by-class")
-    return sketch.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+    by_class = staged(ids.join(least, "root").select("cls", "root", "component_id"), "dup-by-class")
+    component = F.coalesce("component_id", "doc_id")
+    return sketch.select("doc_id", "key", "n_shingles", "cls").join(by_class, "cls", "left").select(
+        "doc_id", "key", "n_shingles", component.alias("component_id"),
+        component.eqNullSafe(F.col("doc_id")).alias("kept"), F.col("root").alias("group"))
+
+
+def firsts(docs: DataFrame) -> DataFrame:
+    """The rows of documents that stay: of every group the one with the smallest doc_id.
+
+    In a group without any doc_id it is the text with the smallest key. Rows that repeat
+    doc_id and text altogether are one document. Texts without words all stay.
+    """
+    rows = staged(groups(docs).select("doc_id", "key", "group"), "dup-rows")
+    head = rows.where("group is not null").groupBy("group") \
+        .agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key")).alias("h")) \
+        .select("h.doc_id", "h.key")
+    stay = staged(rows.where("group is null").select("doc_id", "key").union(head).distinct(),
+                  "dup-stay").select(F.xxhash64("doc_id", "key").alias("__mark"),
+                                     F.col("key").alias("__key"))
+    named = docs.withColumn("__key", F.xxhash64("text")) \
+        .withColumn("__mark", F.xxhash64("doc_id", "__key"))
+    return named.join(stay, ["__mark", "__key"], "left_semi") \
+        .dropDuplicates(["__mark", "__key"]).drop("__mark", "__key")
