@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, substrings, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, sentences, substrings, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -48,7 +48,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_near_duplicates")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(table(spark, sf_dir, "documents"))
+    return neardup.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def fold(parts: int) -> str:
@@ -82,3 +83,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_repeated_substrings")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
+
+
+@query("op7_sentence_spans")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.removals(table(spark, sf_dir, "documents"))
