@@ -13,7 +13,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave import schemas as S
 
 SOURCES = ["region", "nation", "customer", "supplier", "orders", "lineitem", "events"]
 
@@ -146,15 +145,21 @@ select cast(user_id as string) as ad_id, event_type as dma, 'us' as country,
 from events
 """
 
+# Stated for the checks, so that they do not follow the library's lists (fixed values).
+METRICS = ["impressions", "swipes", "swipe_up_percent", "view_time_millis", "screen_time_millis",
+           "quartile_1", "quartile_2", "quartile_3", "view_completion", "spend", "video_views",
+           "shares", "saves", "frequency", "total_installs", "uniques"]
+RATIOS = ["swipe_up_percent", "frequency"]
+
 # Checks: one row per (ad, day), and the rows that pass the gate.
-_RANKED = ", ".join(f"{m} desc nulls last" for m in S.STATS_METRICS)
+_RANKED = ", ".join(f"{m} desc nulls last" for m in METRICS)
 
 
 def day_sql(raw: str) -> str:
     """DAY rows in table shape out of uncleaned rows: one per (ad, day)."""
     return f"""
 select ad_id || cast(stats_date as string) || 'DAY' as ad_id_date_granul, ad_id, stats_date,
-       {', '.join(S.STATS_METRICS)}, 'DAY' as granularity,
+       {', '.join(METRICS)}, 'DAY' as granularity,
        substr(cast(stats_date as string), 1, 7) as stats_month
 from (select *, row_number() over (partition by ad_id, stats_date order by {_RANKED}) as place
       from ({raw}) r) d
@@ -170,7 +175,7 @@ DAY_GATED = f"select * from ({DAY}) g where {ACTIVE}"
 
 def doubles_sql(sql: str) -> str:
     """Ratios of a stats query as doubles (see ``readable``)."""
-    casts = ", ".join(f"cast({m} as double) as {m}" for m in S.RATIO_METRICS)
+    casts = ", ".join(f"cast({m} as double) as {m}" for m in RATIOS)
     return f"select * replace ({casts}) from ({sql}) d"
 
 

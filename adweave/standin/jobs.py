@@ -6,6 +6,7 @@ Every run works in fresh folders under the session's shared folder.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from adweave.operators import attach as A
 from adweave.plans import extracts, loads
 from adweave.session import fresh_path
 from adweave.sources import extract as E
-from adweave.sources.warehouse import Warehouse
+from adweave.sources.warehouse import Warehouse, account_rows, account_seed
 from adweave.standin import frames as T
 from adweave.standin import payloads, upserts
 from adweave.standin.catalog import query
@@ -298,84 +299,124 @@ def geo_extract(spark, sf):
 
 # --- loads ------------------------------------------------------------------------------
 
-def _label_sql(table: str, key: str, label: str, sql: str) -> str:
-    return f"select '{table}' as table_name, {key} as id, cast({label} as string) as label, " \
-           f"created_on, updated_on from ({sql}) x"
+def _stacked_sql(tables: dict[str, str]) -> str:
+    """All columns of several tables, one below the other."""
+    return " union all by name ".join(
+        f"select '{t}' as table_name, * from ({sql}) x" for t, sql in tables.items())
 
 
-def _labels(wh: Warehouse, parts: list[tuple[str, str, str]]):
-    """(table, id, label, audit dates) of several tables, stacked."""
-    return A.stack_frames([wh.table(t).select(
-        F.lit(t).alias("table_name"), F.col(k).alias("id"),
-        F.col(v).cast("string").alias("label"), "created_on", "updated_on")
-        for t, k, v in parts], ordered=False)
+def _stacked(wh: Warehouse, tables: list[str]):
+    parts = [T.readable(wh.table(t)).withColumn("table_name", F.lit(t)) for t in tables]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _seen(entity: str, parent_key: str) -> str:
+def _seen(entity: str) -> str:
     """The wide extract brings every entity once loaded through its children or alone."""
     return f"select * replace (date '2020-05-17' as created_on, date '2020-05-17' as updated_on) " \
-           f"from ({upserts._BASE[entity]}) {parent_key}"
+           f"from ({upserts._BASE[entity]}) z"
 
 
-_DIM_PARTS = [("campaign", "campaign_id", "campaign_name"),
-              ("ad_squad", "ad_squad_id", "ad_squad_name"), ("ad", "ad_id", "ad_name")]
+_NAMES = {"campaign": "campaign_name", "ad_squad": "ad_squad_name", "ad": "ad_name"}
 
 
-def _old_named(entity: str, label: str) -> str:
+def _old_named(entity: str) -> str:
     """Stored entities before the load, under an older name."""
+    label = _NAMES[entity]
     return f"select * replace ('old ' || {label} as {label}) from ({upserts._old(entity)}) q"
 
 
-_DAILY_SQL = " union all ".join([
-    *[_label_sql(t, k, v, upserts.merge_sql(p, _old_named(t, v), _seen(t, "z")))
-      for (t, k, v), p in zip(_DIM_PARTS, ("campaign_name", "squad_name", "ad_name"))],
-    "select 'ad_stats', ad_id_date_granul, cast(spend as string), stats_date, null "
-    f"from ({T.DAY_GATED}) s"])
+def _store_old(wh: Warehouse, spark, sf) -> None:
+    for t, label in _NAMES.items():
+        wh.publish(t, T.frame(spark, sf, upserts._old(t)).withColumn(
+            label, F.concat(F.lit("old "), label)))
 
 
-@query("daily_load", _DAILY_SQL)
+@query("daily_load", _stacked_sql({
+    "campaign": upserts.merge_sql("campaign_name", _old_named("campaign"), _seen("campaign")),
+    "ad_squad": upserts.merge_sql("squad_name", _old_named("ad_squad"), upserts._known(
+        "ad_squad", upserts._DAY_SQUAD, _seen("ad_squad"))),
+    "ad": upserts.merge_sql("ad_name", _old_named("ad"), _seen("ad")),
+    "ad_stats": T.doubles_sql(T.DAY_GATED)}))
 def daily_load(spark, sf):
-    """Wide extract as CSV -> names and new rows of three dimensions, DAY facts."""
+    """Wide extract as CSV -> names and new rows of three dimensions, DAY facts: all columns."""
     wh, path = _warehouse(spark), fresh_path(spark, "extract")
-    for t, _, label in _DIM_PARTS:
-        wh.publish(t, T.frame(spark, sf, upserts._old(t)).withColumn(
-            label, F.concat(F.lit("old "), label)))
+    _store_old(wh, spark, sf)
     E.write_extract(_wide_text(spark, sf, T.frame(spark, sf, T.DAY_TEXT)), path)
     loads.daily_load(wh, E.read_extract(spark, path), RUN)
-    facts = wh.facts("ad_stats", S.DAY).select(
-        F.lit("ad_stats").alias("table_name"), F.col("ad_id_date_granul").alias("id"),
-        F.col("spend").cast("string").alias("label"), F.col("stats_date").alias("created_on"),
-        F.lit(None).cast("date").alias("updated_on"))
-    return _labels(wh, _DIM_PARTS).unionByName(facts)
+    return _stacked(wh, ["campaign", "ad_squad", "ad", "ad_stats"])
 
 
-_LIFETIME_NEW = f"select * from ({upserts._lifetime_sql(upserts._RUN, S.STATS_METRICS)}) n " \
+_LIFETIME_NEW = f"select * from ({upserts._lifetime_sql(upserts._RUN, upserts._METRICS)}) n " \
                 f"where {T.ACTIVE}"
 
 
-@query("lifetime_load", " union all ".join([
-    _label_sql("ad_account", "ad_account_id", "ad_account_name", upserts.merge_sql(
-        "account_seed", T.ACCOUNT, upserts._SEED_ROWS)),
-    *[_label_sql(t, k, v, upserts.merge_sql(p, _old_named(t, v), _seen(t, "z")))
-      for (t, k, v), p in zip(_DIM_PARTS, ("campaign_full", "squad_full", "ad_full"))],
-    "select 'ad_stats', ad_id_date_granul, cast(spend as string), stats_date, null "
-    f"from ({_LIFETIME_NEW}) s"]))
+@query("lifetime_load", _stacked_sql({
+    "ad_account": upserts.merge_sql("account_seed", T.ACCOUNT, upserts._SEED_ROWS),
+    "campaign": upserts.merge_sql("campaign_full", _old_named("campaign"), _seen("campaign")),
+    "ad_squad": upserts.merge_sql("squad_full", _old_named("ad_squad"), _seen("ad_squad")),
+    "ad": upserts.merge_sql("ad_full", _old_named("ad"), _seen("ad")),
+    "ad_stats": T.doubles_sql(_LIFETIME_NEW)}))
 def lifetime_load(spark, sf):
-    """Seed accounts, full dimensions and LIFETIME facts out of one wide extract."""
+    """Seed accounts, full dimensions and LIFETIME facts out of one wide extract: all columns."""
     wh = _warehouse(spark)
     wh.publish("ad_account", T.frame(spark, sf, T.ACCOUNT))
-    for t, _, label in _DIM_PARTS:
-        wh.publish(t, T.frame(spark, sf, upserts._old(t)).withColumn(
-            label, F.concat(F.lit("old "), label)))
+    _store_old(wh, spark, sf)
     wide = _wide_text(spark, sf, upserts._lifetime_text(spark, sf).drop("last_day"))
     raw = E.as_extract(wide, S.WIDE_LIFETIME_COLUMNS)
     loads.lifetime_load(wh, raw, RUN, T.frame(spark, sf, upserts._SEED), dimensions=True)
-    facts = wh.facts("ad_stats", S.LIFETIME).select(
-        F.lit("ad_stats").alias("table_name"), F.col("ad_id_date_granul").alias("id"),
-        F.col("spend").cast("string").alias("label"), F.col("stats_date").alias("created_on"),
-        F.lit(None).cast("date").alias("updated_on"))
-    return _labels(wh, [("ad_account", "ad_account_id", "ad_account_name"), *_DIM_PARTS]) \
-        .unionByName(facts)
+    return _stacked(wh, ["ad_account", "campaign", "ad_squad", "ad", "ad_stats"])
+
+
+# The trial load has no key guard: rows of squads without ads bring the blank ad, whose
+# squad is the largest of those. Nor is it gated: an ad without stats gets an empty row.
+_BLANK_AD = f"""
+select * from (select * replace (cast(null as date) as created_on, cast(null as date) as updated_on)
+               from ({T.AD}) a)
+union all by name
+select * from (select '' as ad_id, max(ad_squad_id) as ad_squad_id from ({T.AD_SQUAD}) s
+               where ad_squad_id not in (select ad_squad_id from ({T.AD}) a)) b
+where ad_squad_id is not null
+"""
+_TRIAL_FACTS = f"""
+select * from ({upserts._lifetime_sql(upserts._RUN, upserts._TRIAL)}) f
+union all by name
+select ad_id || '2020-05-17LIFETIME' as ad_id_date_granul, ad_id, date '2020-05-17' as stats_date,
+       'LIFETIME' as granularity, 'all' as stats_month
+from ({_BLANK_AD}) b where ad_id not in (select ad_id from ({T.DAY_RAW}) d)
+"""
+
+
+@query("trial_load", _stacked_sql({
+    "ad_account": upserts.merge_sql("account_absent", T.ACCOUNT, upserts._SEED_ROWS),
+    "ad": upserts.merge_sql("ad_trial", _old_named("ad"), _BLANK_AD),
+    "ad_stats": T.doubles_sql(_TRIAL_FACTS)}))
+def trial_load(spark, sf):
+    """Absent accounts, unguarded dimensions and 12 lifetime metrics."""
+    wh = _warehouse(spark)
+    wh.publish("ad_account", T.frame(spark, sf, T.ACCOUNT))
+    _store_old(wh, spark, sf)
+    wide = _wide_text(spark, sf, upserts._lifetime_text(spark, sf).drop("last_day"))
+    loads.trial_load(wh, E.as_extract(wide, S.WIDE_LIFETIME_COLUMNS), RUN,
+                     T.frame(spark, sf, upserts._SEED), geo=False)
+    return _stacked(wh, ["ad_account", "ad", "ad_stats"])
+
+
+@query("account_seed_rows", """
+select cast(r_regionkey as string) as ad_account_id, r_name as ad_account_name,
+       case when r_regionkey < 3 then 'client' end as ad_account_client,
+       case when r_regionkey < 3 then 'brand' end as ad_account_brand, 'YES' as ad_account_include_ind,
+       date '2020-05-17' as created_on
+from region
+""")
+def account_seed_rows(spark, sf):
+    """A static seed, some accounts with client and brand, some with a name only."""
+    names = {str(r.r_regionkey): r.r_name for r in
+             T.frame(spark, sf, "select r_regionkey, r_name from region").collect()}  # a few rows
+    seed = account_seed(spark, {k: [n, "client", "brand"] if int(k) < 3 else n
+                                for k, n in names.items()})
+    return account_rows(seed, F.lit(RUN)).select(
+        "ad_account_id", "ad_account_name", "ad_account_client", "ad_account_brand",
+        "ad_account_include_ind", "created_on")
 
 
 @query("geo_load", upserts.merge_sql(
@@ -424,6 +465,33 @@ def month_history_load(spark, sf):
     return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
 
 
+_TOUCHED_DAYS = "stats_date between date '1999-06-01' and date '1999-08-31'"
+_TOUCHED_OLD = f"select * exclude (refreshed_on) from ({upserts.month_sql(
+    f'select * from ({T.DAY_GATED}) e where month(stats_date) < 8 and {_TOUCHED_DAYS}')}) m " \
+    f"where {T.ACTIVE}"
+_TOUCHED_NEW = upserts.month_sql(f"""
+select * replace (spend + 3 as spend) from ({T.DAY_GATED}) e where {_TOUCHED_DAYS}""",
+                                 "date '1999-09-02'")
+
+
+@query("touched_months_load", upserts.month_check(f"""
+select * from ({upserts.merge_sql('month_refresh', _TOUCHED_OLD,
+    f"select * from ({_TOUCHED_NEW}) n where stats_month < '1999-08'")}) r
+union all by name
+select * exclude (refreshed_on) from ({_TOUCHED_NEW}) f where stats_month = '1999-08' and {T.ACTIVE}
+"""))
+def touched_months_load(spark, sf):
+    """Restated days of three months: two are refreshed, the third is loaded first."""
+    wh = _warehouse(spark)
+    day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity()) \
+        .where(F.col("stats_date").between(dt.date(1999, 6, 1), dt.date(1999, 8, 31)))
+    wh.publish("ad_stats", day.where(F.month("stats_date") < 8))
+    loads.month_history_load(wh, dt.date(1999, 6, 1), dt.date(1999, 7, 31))
+    wh.upsert("day_stats", day.withColumn("spend", F.col("spend") + 3))
+    loads.touched_months_load(wh, dt.date(1999, 6, 9), dt.date(1999, 8, 2), dt.date(1999, 9, 2))
+    return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
+
+
 # --- incremental stream ---------------------------------------------------------------------
 
 @query("stream_day_load", T.doubles_sql(f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adweave import schemas as S
 from adweave.functions import scalars as X
-from adweave.operators.merge import POLICIES, apply_policy
+from adweave.operators.merge import apply_policy
 from adweave.operators.rollup import in_range, month_rows, split_new_months
 from adweave.sources import extract as E
 from adweave.sources.warehouse import account_rows, empty_table
@@ -19,19 +19,76 @@ RUN = dt.date(2020, 5, 17)
 _RUN = "date '2020-05-17'"
 
 
-def merge_sql(policy: str, old: str, new: str, out: list[str] | None = None) -> str:
+# What each load assigns on a match, stated here once more so that the checks do not follow
+# the policies (fixed values): table, key columns, assigned columns (target=source).
+_ASSIGNED = {
+    "campaign_name": ("campaign", "campaign_id", "campaign_name"),
+    "squad_name": ("ad_squad", "ad_squad_id", "ad_squad_name"),
+    "ad_name": ("ad", "ad_id", "ad_name"),
+    "campaign_full": ("campaign", "campaign_id",
+                      "campaign_updated_at campaign_end_time campaign_status ad_account_id "
+                      "lifetime_spend_cap_micro campaign_daily_budget_micro objective buy_model "
+                      "campaign_name updated_on"),
+    "squad_full": ("ad_squad", "ad_squad_id",
+                   "campaign_id ad_squad_name ad_squad_status ad_squad_type targeting_reach_status "
+                   "placement billing_event optimization_goal delivery_constraint pacing_type "
+                   "auto_bid target_bid reach_and_frequency_status "
+                   "reach_and_frequency_debug_message reserved_status reserved_debug_message "
+                   "ad_squad_created_at ad_squad_updated_at ad_squad_start_time ad_squad_end_time "
+                   "bid_micro ad_squad_daily_budget_micro lifetime_budget_micro impression_goal "
+                   "reach_goal reach_and_frequency_rate_micro reserved_rate_micro updated_on"),
+    "ad_full": ("ad", "ad_id",
+                "ad_updated_at ad_created_at ad_name ad_squad_id creative_id ad_status ad_type "
+                "render_type review_status updated_on"),
+    "account_seed": ("ad_account", "ad_account_id",
+                     "ad_account_name ad_account_client ad_account_brand updated_on"),
+    "account_absent": ("ad_account", "ad_account_id", ""),
+    "day_stats": ("ad_stats", "ad_id stats_date",
+                  "impressions swipes swipe_up_percent view_time_millis screen_time_millis "
+                  "quartile_1 quartile_2 quartile_3 view_completion spend video_views shares saves "
+                  "frequency total_installs uniques"),
+    "lifetime_stats": ("ad_stats", "ad_id",
+                       "impressions swipes swipe_up_percent view_time_millis screen_time_millis "
+                       "quartile_1 quartile_2 quartile_3 view_completion spend video_views shares "
+                       "saves frequency total_installs uniques stats_date"),
+    "lifetime_trial": ("ad_stats", "ad_id",
+                       "impressions swipes quartile_1 quartile_2 quartile_3 view_completion spend "
+                       "view_time_millis video_views screen_time_millis shares saves"),
+    "month_refresh": ("ad_stats", "ad_id stats_month",
+                      "impressions swipes quartile_1 quartile_2 quartile_3 view_completion spend "
+                      "video_views shares saves frequency uniques stats_date=refreshed_on"),
+    "geo": ("ad_geo", "ad_id dma",
+            "geo_impressions geo_swipes geo_uniques geo_spend geo_impression_composition "
+            "geo_unique_composition country region"),
+}
+_ASSIGNED |= {f"{e}_trial": (t, k, c.removesuffix(" updated_on"))
+              for e in ("campaign", "squad", "ad") for t, k, c in [_ASSIGNED[f"{e}_full"]]}
+_METRICS = T.METRICS
+_TRIAL = _ASSIGNED["lifetime_trial"][2].split()
+_ROLLUP = _ASSIGNED["month_refresh"][2].split()[:-1]
+_RATIOS = T.RATIOS
+_GEO = _ASSIGNED["geo"][2].split()[:-2]
+_DAY_SQUAD = ("ad_squad_id ad_squad_updated_at ad_squad_created_at ad_squad_name ad_squad_status "
+              "ad_squad_type campaign_id targeting_reach_status placement billing_event bid_micro "
+              "auto_bid target_bid ad_squad_start_time ad_squad_end_time optimization_goal "
+              "delivery_constraint pacing_type lifetime_budget_micro").split()
+
+
+def merge_sql(policy: str, old: str, new: str) -> str:
     """The check of an upsert: full join plus a choice per column."""
-    p = POLICIES[policy]
-    on = " and ".join(f"o.{k} = n.{k}" for k in p.keys)
+    table, keys, assigned = _ASSIGNED[policy]
+    keys = keys.split()
+    update = dict((x.split("=") * 2)[:2] for x in assigned.split())
+    on = " and ".join(f"o.{k} = n.{k}" for k in keys)
     cols = []
-    for c in S.columns_of(p.table):
-        if c in p.keys:
+    for c in S.columns_of(table):
+        if c in keys:
             cols.append(f"coalesce(o.{c}, n.{c}) as {c}")
-        elif c in p.update:
-            cols.append(f"case when n.{p.keys[0]} is null then o.{c} "
-                        f"when o.{p.keys[0]} is null then n.{c} else n.{p.update[c]} end as {c}")
+        elif c in update:
+            cols.append(f"case when n.{keys[0]} is null then o.{c} "
+                        f"when o.{keys[0]} is null then n.{c} else n.{update[c]} end as {c}")
         else:
-            cols.append(f"case when o.{p.keys[0]} is null then n.{c} else o.{c} end as {c}")
+            cols.append(f"case when o.{keys[0]} is null then n.{c} else o.{c} end as {c}")
     return f"select {', '.join(cols)} from ({old}) o full join ({new}) n on {on}"
 
 
@@ -118,21 +175,21 @@ def _dimension(policy: str, entity: str, columns: list[str] | None = None,
     return run
 
 
-def _known(entity: str, columns: list[str]) -> str:
+def _known(entity: str, columns: list[str], rows: str | None = None) -> str:
     """Rows of which only some columns are known."""
     types = {"string": "string", "long": "bigint", "date": "date"}
     keep = set(columns) | {"created_on", "updated_on"}
     cols = [c.name if c.name in keep else
             f"cast(null as {types[c.dataType.typeName()]}) as {c.name}"
             for c in S.table_schema(entity).fields]
-    return f"select {', '.join(cols)} from ({_CHANGED[entity]}) k"
+    return f"select {', '.join(cols)} from ({rows or _CHANGED[entity]}) k"
 
 
 query("upsert_campaign_name", merge_sql("campaign_name", _old("campaign"),
                                         _CHANGED["campaign"]))(
     _dimension("campaign_name", "campaign"))
 query("upsert_squad_name", merge_sql("squad_name", _old("ad_squad"),
-                                     _known("ad_squad", S.DAY_SQUAD_COLUMNS)))(
+                                     _known("ad_squad", _DAY_SQUAD)))(
     _dimension("squad_name", "ad_squad", S.DAY_SQUAD_COLUMNS))
 query("upsert_ad_name", merge_sql("ad_name", _old("ad"), _CHANGED["ad"]))(
     _dimension("ad_name", "ad"))
@@ -215,18 +272,18 @@ from ({T.DAY_RAW}) d group by ad_id
 
 def _lifetime_sql(run: str, metrics: list[str], extra: str = "") -> str:
     shown = [m if m in metrics else
-             f"cast(null as {'float' if m in S.RATIO_METRICS else 'bigint'}) as {m}"
-             for m in S.STATS_METRICS]
+             f"cast(null as {'float' if m in _RATIOS else 'bigint'}) as {m}"
+             for m in _METRICS]
     return f"""select ad_id || cast({run} as string) || 'LIFETIME' as ad_id_date_granul, ad_id,
        {run} as stats_date, {', '.join(shown)}, 'LIFETIME' as granularity, 'all' as stats_month
 from ({_LIFETIME}) l {extra}"""
 
 
 _FIRST_RUN = "date '2020-04-01'"
-_OLD_LIFETIME = _lifetime_sql(_FIRST_RUN, S.STATS_METRICS,
+_OLD_LIFETIME = _lifetime_sql(_FIRST_RUN, _METRICS,
                               f"where last_day < date '2000-01-01' and {T.ACTIVE}")
 _NEW_LIFETIME = f"""select * from (select * replace (impressions + 7 as impressions)
-                    from ({_lifetime_sql(_RUN, S.STATS_METRICS)}) x) n where {T.ACTIVE}"""
+                    from ({_lifetime_sql(_RUN, _METRICS)}) x) n where {T.ACTIVE}"""
 
 
 def _lifetime_text(spark, sf, bump: int = 0):
@@ -242,9 +299,9 @@ def upsert_lifetime(spark, sf):
     return T.readable(apply_policy("lifetime_stats", old, new))
 
 
-_OLD_TRIAL = _lifetime_sql(_FIRST_RUN, S.TRIAL_METRICS, "where last_day < date '2000-01-01'")
+_OLD_TRIAL = _lifetime_sql(_FIRST_RUN, _TRIAL, "where last_day < date '2000-01-01'")
 _NEW_TRIAL = f"""select * replace (impressions + 7 as impressions)
-                 from ({_lifetime_sql(_RUN, S.TRIAL_METRICS)}) x"""
+                 from ({_lifetime_sql(_RUN, _TRIAL)}) x"""
 
 
 @query("upsert_lifetime_trial",
@@ -261,13 +318,13 @@ def upsert_lifetime_trial(spark, sf):
 
 def month_sql(day: str, refreshed: str = "cast(null as date)") -> str:
     """MONTH rows of DAY rows, in table shape."""
-    shown = [f"cast(sum({m}) as {'float' if m in S.RATIO_METRICS else 'bigint'}) as {m}"
-             if m in S.ROLLUP_METRICS else
-             f"cast(null as {'float' if m in S.RATIO_METRICS else 'bigint'}) as {m}"
-             for m in S.STATS_METRICS]
+    shown = [f"cast(sum({m}) as {'float' if m in _RATIOS else 'bigint'}) as {m}"
+             if m in _ROLLUP else
+             f"cast(null as {'float' if m in _RATIOS else 'bigint'}) as {m}"
+             for m in _METRICS]
     return f"""
 select ad_id || cast(month_start as string) || 'MONTH' as ad_id_date_granul, ad_id,
-       month_start as stats_date, {', '.join(S.STATS_METRICS)}, 'MONTH' as granularity,
+       month_start as stats_date, {', '.join(_METRICS)}, 'MONTH' as granularity,
        substr(cast(month_start as string), 1, 7) as stats_month,
        greatest(month_start, least({refreshed}, last_day(month_start))) as refreshed_on
 from (select ad_id, cast(date_trunc('month', stats_date) as date) as month_start,
@@ -344,13 +401,13 @@ def month_dispatch(spark, sf):
 # --- geo facts -----------------------------------------------------------------------
 
 _GEO_RANK = ", ".join(f"{c} desc nulls last" for c in
-                      [*S.GEO_COUNTS, *S.GEO_RATIOS, "country", "region"])
+                      [*_GEO, "country", "region"])
 
 
 def geo_sql(raw: str, run: str) -> str:
     return f"""
 select ad_id || dma || cast({run} as string) || 'LIFETIME' as ad_id_dma_granul_date, ad_id, dma,
-       country, region, {run} as geo_date, {', '.join(S.GEO_COUNTS + S.GEO_RATIOS)},
+       country, region, {run} as geo_date, {', '.join(_GEO)},
        'LIFETIME' as granularity
 from (select *, row_number() over (partition by ad_id, dma order by {_GEO_RANK}) as place
       from ({raw}) r) g where place = 1"""

@@ -3,15 +3,19 @@ import datetime as dt
 import io
 import random
 import re
+from functools import reduce
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from adweave import schemas as S
 from adweave.operators import attach as A
 from adweave.operators import carry as K
 from adweave.operators.dedupe import latest_per_key
-from adweave.operators.merge import merge_upsert
+from adweave.operators.merge import POLICIES, merge_upsert
+from adweave.standin import upserts
 
 
 def rows(df, *columns):
@@ -116,3 +120,36 @@ def test_membership_with_repeated_existing_keys(spark):
     old = spark.createDataFrame([("2",), ("2",)], "k string")
     assert A.already_loaded(inc, old, ["k"]).count() == 2
     assert rows(A.not_yet_loaded(inc, old, ["k"]), "k") == [("1",)]
+
+
+_VALUES = {"string": ("'old'", "'new'"), "date": ("date '2020-01-01'", "date '2020-02-02'"),
+           "long": ("1", "2"), "float": ("1.5", "2.5"), "double": ("1.5", "2.5")}
+
+
+def _one_row(table, which, keys):
+    kinds = {"string": "varchar", "long": "bigint"}
+    cols = []
+    for f in S.table_schema(table).fields:
+        kind = f.dataType.typeName()
+        value = _VALUES[kind][0 if f.name in keys else which]
+        cols.append(f"cast({value} as {kinds.get(kind, kind)}) as {f.name}")
+    return "select " + ", ".join(cols) + (", date '2020-03-03' as refreshed_on" if which else "")
+
+
+@pytest.mark.parametrize("policy", sorted(set(POLICIES) - {"month_first"}))
+def test_check_of_a_policy_sees_every_column(spark, policy):
+    """The check's result differs from the policy's as soon as any column is left out."""
+    p = POLICIES[policy]
+    old, new = _one_row(p.table, 0, p.keys), _one_row(p.table, 1, p.keys)
+    con = duckdb.connect()
+    want = con.execute(upserts.merge_sql(policy, old, new)).fetchall()
+    sql = lambda text: spark.sql(text.replace(" as varchar)", " as string)"))
+    stored, incoming = sql(old), sql(new)
+    assert [tuple(r) for r in merge_upsert(stored, incoming, list(p.keys), p.update).collect()] == want
+    fewer = [merge_upsert(stored, incoming, list(p.keys), {c: v for c, v in p.update.items() if c != x})
+             .withColumn("without", F.lit(x)) for x in p.update]
+    if fewer:
+        got = reduce(lambda a, b: a.unionByName(b), fewer).collect()
+        assert len(got) == len(p.update)
+        for r in got:
+            assert tuple(r)[:-1] != want[0], r.without
