@@ -82,7 +82,7 @@ def test_pages(spark, sf_dir, con):
     for page, text in rows(spark, sf_dir, "op1_html_text", "page_id", "text")[:30]:
         raw = con.execute(f"select html from pages where page_id = {page}").fetchone()[0]
         inside = re.search(r"<article>(.*?)</article>", raw or "", re.S)
-        want = len(re.sub(r"<[^>]*>", "", inside[1]).split()) if inside else 0
+        want = len(re.sub(r"<[^>]*>", " ", inside[1]).split()) if inside else 0
         assert abs(len(text.split()) - want) <= 0.02 * want + 2
 
 
