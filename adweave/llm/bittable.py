@@ -16,9 +16,9 @@ def bit_table(names: DataFrame) -> bytes:
     """Table over the bigint column ``h``; at most BITS / 64 rows reach the driver."""
     rows = names.select(F.expr(f"cast(pmod(h, {BITS}L) div 64 as int)").alias("w"),
                         F.expr("shiftleft(1L, cast(pmod(h, 64L) as int))").alias("b")) \
-        .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     table = np.zeros(BITS // 64, np.int64)
-    table[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
+    table[rows["w"].to_numpy()] = rows["b"].to_numpy()
     return table.tobytes()
 
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +25,9 @@ from pyspark.sql import DataFrame, functions as F
 
 NONE = (1 << 31) - 1
 SHORT = 33  # bytes; words up to this length are merged many at a time
+ROWS = 300  # texts that are Python strings at a time
 BATCH_CHARS = 1_000_000  # characters of texts (or one text) that are split at a time
-CACHE_WORDS = 500_000  # distinct words that a task remembers (or those of one group of texts)
+CACHE_WORDS = 200_000  # distinct words that a task remembers (or those of one group of texts)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -208,18 +208,18 @@ class Codec:
             yield out
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in next(self.entries([text])) for i in ids]
+        return [int(i) for _, ids, _ in next(self.entries([text])) for i in ids.split(",")]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.piece.__getitem__, ids)).decode("utf-8", "replace")
 
 
-# Of a word: its tokens, their ids as text, and the bytes they decode to.
-Entry = tuple[list[int], str, bytes]
+# Of a word: number of its tokens, their ids as text, and the bytes they decode to.
+Entry = tuple[int, str, bytes]
 
 
 def entry(ids: list[int], piece: dict[int, bytes]) -> Entry:
-    return ids, ",".join(map(str, ids)), b"".join([piece[i] for i in ids])
+    return len(ids), ",".join(map(str, ids)), b"".join([piece[i] for i in ids])
 
 
 def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -254,19 +254,19 @@ def tokens(docs: DataFrame, vocabulary: str, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             values = [v or "" for v in batch.column(batch.num_columns - 1).to_pylist()]
             for lo, hi in groups(values):
                 part = batch.slice(lo, hi - lo)
                 rows = {m: [] for m in made}
                 for found in codec.entries(values[lo:hi]):
-                    own, names, data = zip(*found) if found else ((), (), ())
-                    back = b"".join(data).decode("utf-8", "replace")
-                    rows["n_tokens"].append(sum(map(len, own)))
-                    rows["ids_sha256"].append(sha(",".join(names)))
+                    n, names, data = zip(*found) if found else ((), (), ())
+                    names, back = ",".join(names), b"".join(data).decode("utf-8", "replace")
+                    rows["n_tokens"].append(sum(n))
+                    rows["ids_sha256"].append(sha(names))
                     rows["decoded_sha256"].append(sha(back))
                     if ids:
-                        rows["ids"].append(np.fromiter(chain.from_iterable(own), np.int32))
+                        rows["ids"].append(np.array(names.split(",") if names else [], np.int32))
                     if decoded:
                         rows["decoded"].append(back)
                 kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}

@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from adweave.llm import textbatch as T
 
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 500
 SAMPLE_CHARS = 20_000
 SLOTS = 1 << 16
 SWITCH = 14.0
+PIECE = 8_000_000  # bytes of text walked together, divided by the number of languages
 UNKNOWN = "und"
 
 # First code point of each script block (fixed values); 0 is not a letter.
@@ -241,7 +242,7 @@ def _scan(docs: DataFrame, model: Model | None, keep: list[str], made: dict[str,
     schema = ", ".join([f"`{n}` {t}" for n, t in slim.drop("__text").dtypes]
                        + [f"{n} {t}" for n, t in made.items()])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SLOTS numbers a language
-    limit = T.PIECE_BYTES * 8 // max(4, len(model.languages) if model else 4)
+    limit = PIECE // max(4, len(model.languages) if model else 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000
 U64 = np.uint64
 _BASE = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
 _INVERSE = tuple(U64(pow(int(b), -1, 2**64)) for b in _BASE)

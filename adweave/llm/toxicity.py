@@ -5,7 +5,7 @@ words; a document's score is the noisy-or of its sentences: 1 - prod(1 - p). Onl
 are labelled, so the gradient of the document likelihood tells which sentences to blame, and
 the learned sentence scores locate the offending ones afterwards.
 
-Training uses a bounded sample: of each label at most ``SAMPLE_ROWS`` labelled rows, those
+Training uses a bounded sample: of each label at most ``SAMPLE_ROWS`` rows, those
 with the smallest hash of doc_id, without texts over ``SAMPLE_CHARS`` characters. It runs in
 numpy on the driver; scoring reads whole texts as record batches, without any shuffle.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adweave.llm import textbatch as T
 
-SAMPLE_ROWS = 2500
+SAMPLE_ROWS = {0: 2000, 1: 1000}  # of each label
 SAMPLE_CHARS = 20_000
 SLOTS = 1 << 20
 LEAST_TEXTS = 4  # rarer words keep weight 0: they would only learn single texts by heart
@@ -45,6 +45,12 @@ class Bags:
     end: np.ndarray
     n: int
 
+    def small(self) -> "Bags":
+        """Without byte places, in 32 bits."""
+        none = np.zeros(0, np.int32)
+        return Bags(*[a.astype(np.int32) for a in (self.slot, self.sentence, self.text)],
+                    none, none, self.n)
+
     def sums(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.sentence, weights[self.slot], len(self.text))
 
@@ -73,10 +79,10 @@ def joined(parts: list[Bags]) -> Bags:
     """Bags of consecutive pieces as one (without byte places)."""
     texts = np.cumsum([0] + [b.n for b in parts])
     before = np.cumsum([0] + [len(b.text) for b in parts])
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
     return Bags(np.concatenate([b.slot for b in parts]),
-                np.concatenate([b.sentence + k for b, k in zip(parts, before)]),
-                np.concatenate([b.text + k for b, k in zip(parts, texts)]), none, none,
+                np.concatenate([b.sentence + np.int32(k) for b, k in zip(parts, before)]),
+                np.concatenate([b.text + np.int32(k) for b, k in zip(parts, texts)]), none, none,
                 int(texts[-1]))
 
 
@@ -98,16 +104,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(b: Bags, labels: np.ndarray, steps: int = 300, rate: float = 0.1,
-        decay: float = 5e-4, noise: float = 0.1) -> Model:
+        decay: float = 1e-4, noise: float = 0.1) -> Model:
     """Full-batch Adam on the noisy-or likelihood; both labels weigh the same.
 
     A share ``noise`` of labels is taken as wrong, so that a bag whose words say the
     opposite of its label cannot bend the common words' weights.
     """
-    pairs = np.unique(b.slot * b.n + b.text[b.sentence])
+    pairs = np.unique(b.slot.astype(np.int64) * b.n + b.text[b.sentence])
     known = np.flatnonzero(np.bincount(pairs // max(b.n, 1), minlength=SLOTS) >= LEAST_TEXTS)
+    del pairs
     word = np.isin(b.slot, known)
-    slot, sentence = np.searchsorted(known, b.slot[word]), b.sentence[word]
+    slot = np.searchsorted(known, b.slot[word]).astype(np.int32)
+    sentence = b.sentence[word]
     k, n_sentences = len(known), len(b.text)
     w, bias = np.zeros(k), -5.0
     first, second = np.zeros(k + 1), np.zeros(k + 1)
@@ -141,22 +149,23 @@ def sample(docs: DataFrame, labels: DataFrame, train: str) -> DataFrame:
     order = F.xxhash64("doc_id")
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(train) \
         .select("doc_id", "toxic").distinct()
-    parts = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(SAMPLE_ROWS)
+    parts = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(SAMPLE_ROWS[k])
              for k in (0, 1)]
-    chosen = F.broadcast(parts[0].union(parts[1]))  # 2 * SAMPLE_ROWS rows of two numbers
+    chosen = F.broadcast(parts[0].union(parts[1]))  # a bounded number of rows of two numbers
     return docs.select("doc_id", "text").join(chosen, "doc_id") \
         .where(F.length("text") <= SAMPLE_CHARS) \
-        .orderBy(order, "doc_id", F.xxhash64("text"), "toxic").limit(2 * SAMPLE_ROWS) \
+        .orderBy(order, "doc_id", F.xxhash64("text"), "toxic").limit(sum(SAMPLE_ROWS.values())) \
         .select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: str = "true") -> Model:
-    got = sample(docs, labels, rows).toPandas()
-    toxic = got["toxic"].to_numpy(np.int64)
+    got = sample(docs, labels, rows).toArrow()
+    toxic = got["toxic"].to_numpy().astype(np.int64)
     if not 0 < toxic.sum() < len(toxic):
         return Model(np.zeros(SLOTS), -40.0)
-    batch = pa.RecordBatch.from_arrays([pa.array(got["text"], pa.string())], ["text"])
-    return fit(joined([bags(p) for p in T.pieces(iter([batch]))]), toxic)
+    parts = joined([bags(p).small() for p in T.pieces(iter(got.select(["text"]).to_batches()))])
+    del got
+    return fit(parts, toxic)
 
 
 def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
