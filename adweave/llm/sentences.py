@@ -1,17 +1,19 @@
 """Removal of repeated passages by sliding sentence spans.
 
-A sentence ends after ``.``, ``!``, ``?`` or a line feed. From every sentence of a text a span
-starts: the fewest consecutive sentences, two at least, that hold ``LEAST_WORDS`` words. Spans
-with the same words (ASCII letters in lower case, any white space between) are the same
-wherever they lie. Of equal spans the first by doc_id, then text, then place stays; the
-sentences of all others are removed.
+A sentence ends after ``.``, ``!``, ``?`` or a line feed. Every two consecutive sentences of a
+text are a span, however short, so a repeated run of any length is covered from its first
+sentence to its last: where a run stands again, so do all its pairs, in the same order of
+places. The fewest sentences from every start that hold ``LEAST_WORDS`` words are a span too;
+they also match where lines are broken elsewhere. Spans with the same words (ASCII letters in
+lower case, any white space between) are the same wherever they lie. Of equal spans the first
+by doc_id, then text, then place stays; the sentences of all others are removed.
 
 Spans are named by 128 bits. Names are counted with a combine before the shuffle; the texts
 are read again for those that occur twice (a bit table of fixed size filters inside the scan),
 so neither unique spans nor unique texts are joined. A span that very many texts share is a
 hot key only of joins that adaptive execution splits.
 
-Null texts are empty; texts without two sentences or with too few words keep everything. Rows
+Null texts are empty; texts without two sentences keep everything. Rows
 that repeat doc_id and text altogether are one document and share its result; a null doc_id
 comes before all others. An empty table gives an empty result; other columns are ignored.
 """
@@ -78,11 +80,14 @@ def spans(p: T.Piece, s: Sentences) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         none = np.zeros(0, np.int64)
         return none, none, none.view(T.U64), none.view(T.U64)
     end = np.append(s.word[1:], len(s.words.row))
-    last = np.maximum(np.searchsorted(end, s.word + LEAST_WORDS), np.arange(n) + 1)
-    ok = last < n
-    i = np.flatnonzero(ok)
-    i = i[s.row[last[i]] == s.row[i]]
-    j = last[i]
+    at = np.arange(n)
+    last = np.searchsorted(end, s.word + LEAST_WORDS)
+    long = last > at + 1  # others are pairs, or one sentence
+    i, j = np.append(at, at[long]), np.append(at + 1, last[long])
+    ok = j < n
+    i, j = i[ok], j[ok]
+    ok = s.row[j] == s.row[i]
+    i, j = i[ok], j[ok]
     names = []
     for which in (0, 1):
         h = T.Hashes(p.buf, which, fold=True).span(s.words.start, s.words.end)
