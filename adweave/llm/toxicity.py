@@ -1,13 +1,19 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's score is a logistic function of its hashed
-words; a document's score is the noisy-or of its sentences: 1 - prod(1 - p). Only documents
+words; a document is trained as the noisy-or of its sentences: 1 - prod(1 - p). Only documents
 are labelled, so the gradient of the document likelihood tells which sentences to blame, and
 the learned sentence scores locate the offending ones afterwards.
 
-Training uses a bounded sample: of each label at most ``SAMPLE_ROWS`` rows, those
-with the smallest hash of doc_id, without texts over ``SAMPLE_CHARS`` characters. It runs in
-numpy on the driver; scoring reads whole texts as record batches, without any shuffle.
+A noisy-or of many clean sentences comes near 1 by their number alone. A document's score
+therefore takes the larger of its worst sentence and the noisy-or less what as many clean
+sentences of the training texts sum to (``SPREAD`` deviations above the mean). Sentences of one
+text with equal scores count once in this, so a repeated text is no worse than one copy.
+
+Training uses a bounded sample: of each label at most ``SAMPLE_ROWS`` rows, those with the
+smallest hash of doc_id, whatever their length. Of a clean text the first ``CLEAN_CHARS``
+characters are taken (a piece of a clean text is clean), a toxic one is taken whole. It runs
+in numpy on the driver; scoring reads whole texts as record batches, without any shuffle.
 
 Null and empty texts have no sentence and get the score of an empty bag. Rows are scored
 alone, so ties and repeated rows get equal scores; an empty table gives an empty result.
@@ -27,11 +33,12 @@ from pyspark.sql import DataFrame, functions as F
 from adweave.llm import textbatch as T
 
 SAMPLE_ROWS = {0: 2000, 1: 1000}  # of each label
-SAMPLE_CHARS = 20_000
+CLEAN_CHARS = 100_000
 SLOTS = 1 << 20
 LEAST_TEXTS = 4  # rarer words keep weight 0: they would only learn single texts by heart
 FLOOR = 1e-6  # probability of an empty bag
 THRESHOLD = 0.7
+SPREAD = 3.0
 
 
 @dataclass
@@ -90,13 +97,30 @@ def joined(parts: list[Bags]) -> Bags:
 class Model:
     weights: np.ndarray
     bias: float
+    mean: float = 0.0  # of -log(1 - p) of a clean sentence, and its standard deviation
+    deviation: float = 0.0
 
     def sentences(self, b: Bags) -> np.ndarray:
         return _sigmoid(b.sums(self.weights) + self.bias)
 
     def texts(self, b: Bags, sentence: np.ndarray) -> np.ndarray:
-        clean = np.bincount(b.text, np.log1p(-np.minimum(sentence, 1 - 1e-12)), b.n)
-        return np.maximum(-np.expm1(clean), FLOOR)
+        text, hazard = _hazards(b, sentence)
+        count = np.bincount(text, minlength=b.n)
+        over = np.bincount(text, hazard, b.n) - count * self.mean \
+            - SPREAD * self.deviation * np.sqrt(count)
+        worst = np.zeros(b.n)
+        np.maximum.at(worst, text, hazard)
+        return np.maximum(-np.expm1(-np.maximum(worst, over)), FLOOR)
+
+
+def _hazards(b: Bags, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and -log(1 - p) of the sentences, one of those of a text with equal scores."""
+    hazard = -np.log1p(-np.minimum(sentence, 1 - 1e-12))
+    order = np.lexsort((hazard, b.text))
+    text, hazard = b.text[order], hazard[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (hazard[1:] != hazard[:-1])
+    return text[new], hazard[new]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -141,7 +165,12 @@ def fit(b: Bags, labels: np.ndarray, steps: int = 300, rate: float = 0.1,
         bias -= move[-1]
     weights = np.zeros(SLOTS)
     weights[known] = w
-    return Model(weights, float(bias))
+    model = Model(weights, float(bias))
+    text, hazard = _hazards(b, model.sentences(b))
+    clean = hazard[labels[text] == 0]
+    if len(clean):
+        model.mean, model.deviation = float(clean.mean()), float(clean.std())
+    return model
 
 
 def sample(docs: DataFrame, labels: DataFrame, train: str) -> DataFrame:
@@ -153,9 +182,10 @@ def sample(docs: DataFrame, labels: DataFrame, train: str) -> DataFrame:
              for k in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))  # a bounded number of rows of two numbers
     return docs.select("doc_id", "text").join(chosen, "doc_id") \
-        .where(F.length("text") <= SAMPLE_CHARS) \
+        .where("text is not null") \
         .orderBy(order, "doc_id", F.xxhash64("text"), "toxic").limit(sum(SAMPLE_ROWS.values())) \
-        .select("text", "toxic")
+        .select(F.when(F.col("toxic") == 0, F.left("text", F.lit(CLEAN_CHARS)))
+                .otherwise(F.col("text")).alias("text"), "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: str = "true") -> Model:
@@ -180,10 +210,10 @@ def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
     schema = ", ".join([f"`{n}` {t}" for n, t in slim.drop("__text").dtypes]
                        + [f"{n} {t}" for n, t in made.items()])
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.weights.astype(np.float32), model.bias))  # SLOTS numbers
+        (model.weights.astype(np.float32), model.bias, model.mean, model.deviation))  # SLOTS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(shared.value[0].astype(np.float64), shared.value[1])
+        m = Model(shared.value[0].astype(np.float64), *shared.value[1:])
         for p in T.pieces(batches, "__text"):
             b = bags(p)
             s = m.sentences(b)
@@ -206,10 +236,10 @@ def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
 def sentences(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """(doc_id, sentence, score) of all sentences that score at least ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.weights.astype(np.float32), model.bias))
+        (model.weights.astype(np.float32), model.bias, model.mean, model.deviation))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(shared.value[0].astype(np.float64), shared.value[1])
+        m = Model(shared.value[0].astype(np.float64), *shared.value[1:])
         for p in T.pieces(batches):
             b = bags(p)
             s = m.sentences(b)
