@@ -13,7 +13,8 @@ so a page gets the same text whatever else the table holds. The weights (about 4
 numbers) travel with the task.
 
 Null, empty and tag-only pages have the empty text. Script, style and other unseen content
-is no block; an unclosed one lasts to the end of the page. Rows are judged alone, repeated
+is no block; an unclosed one lasts to the end of the page. Between the start tag of a ``RAW``
+element and its end tag nothing is markup. Rows are judged alone, repeated
 rows get equal results, an empty table gives an empty one, columns not asked for by ``keep``
 are ignored.
 """
@@ -57,6 +58,7 @@ P_ENDS_AT = set("address article aside blockquote div dl fieldset footer form h1
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I) for tag in RAW}
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -85,6 +87,7 @@ def blocks(page: str) -> list[Block]:
     now: Block | None = None
     hidden = ""
     at = 0
+    endless: set[str] = set()  # elements without an end tag in the rest of the page
 
     def text(raw: str) -> None:
         nonlocal now
@@ -98,11 +101,20 @@ def blocks(page: str) -> list[Block]:
         if any(tag == "a" for tag, _ in stack):
             now.linked += len(decoded)
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if not hidden:
             text(page[at:m.start()])
         at = m.end()
         tag = (m[2] or "").lower()
+        if tag in RAW and not m[1] and not m[3].endswith("/") and tag not in endless:
+            end = RAW_END[tag].search(page, at)
+            if end:
+                at, now = end.end(), None
+                continue
+            endless.add(tag)
+            if not hidden:
+                at = len(page)
+                break
         if not tag:
             continue
         if hidden:
