@@ -32,6 +32,19 @@ IBAN = "replace(m, ' ', '')"
 MOD97 = (f"aggregate(split(concat(substr({IBAN}, 5), substr({IBAN}, 1, 4)), ''), 0, (a, c) -> "
          "case when c = '' then a when c between '0' and '9' then (a * 10 + ascii(c) - 48) % 97 "
          "else (a * 100 + ascii(c) - 55) % 97 end) = 1")
+# Characters of an IBAN by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_SIZED = "(?:" + "|".join(
+    f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}"
+    for n, c in IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])"
+# Other countries and lengths: up to the last border of a word, or where a sized one starts.
+IBAN_OTHER = (r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]| (?!" + IBAN_SIZED
+              + r")[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 
 
 @dataclass(frozen=True)
@@ -60,7 +73,7 @@ KINDS = [
          r"text rlike '[0-9][ -]?[0-9]'", LUHN, "card|visa|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"contains(text, '+')",
          f"length({DIGITS}) between 10 and 15", "phone|call|tel|mobil|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN_SIZED}|{IBAN_OTHER})",
          r"text rlike '[A-Z]{2}[0-9]{2} ?[A-Z0-9]'", MOD97, "iban|account|konto|compte|cuenta",
          base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
