@@ -119,3 +119,73 @@ select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join c using (rid) left join t using (rid)
 """
+
+_HEAD = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?"""
+SECRETS = f"""
+with t as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+f as (
+{_pii_kind("assign", 0, _HEAD + "[A-Za-z0-9+/_.=-]+",
+           "length(m) - length(regexp_extract(m, '^" + _HEAD + "')) >= 8")}
+union all
+{_pii_kind("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 16")}
+union all
+{_pii_kind("hex", 2, "[0-9a-f]+", "length(m) >= 32")}
+union all
+{_pii_kind("github", 3, "gh[opsu]_[A-Za-z0-9]+", "length(m) >= 40")}
+union all
+{_pii_kind("slack", 4, "xox[abprs]-[A-Za-z0-9-]+", "length(m) >= 15")}
+union all
+{_pii_kind("google", 5, "AIza[A-Za-z0-9_-]+", "length(m) >= 39")}
+union all
+{_pii_kind("jwt", 6, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", "length(m) >= 30")}
+union all
+{_pii_kind("pem", 7, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true")})
+select t.doc_id, count(*) filter (kind = 'assign') as n_assign,
+       count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+       sha256(coalesce(string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ','
+              order by start, ord) filter (ord < 3), '')) as base_sha256,
+       coalesce(string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ','
+                order by start, ord), '') as spans
+from t left join f using (rid) group by t.rid, t.doc_id
+"""
+
+_FAILS = {"A": "len(ws) < 100", "B": "100 * len(list_distinct(ws)) < 80 * len(ws)",
+          "C": "100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)",
+          "D": "regexp_matches(text, '[#$%&*|]')",
+          "E": "coalesce(min(doc_id) over (partition by text) < doc_id, false)"}
+# Every document meets every order; the filter that removes it is the first failing one.
+FILTER_AUDIT = f"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+m as (
+  select doc_id, part, {" || ".join(f"case when {c} then '{f}' else '' end" for f, c in _FAILS.items())} as failing
+  from d),
+l as (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id),
+c as (
+  select part, failing, count(*) as n, count(*) filter (quality = 1) as good,
+         count(*) filter (toxic = 1) as toxic
+  from m left join l using (doc_id) group by part, failing),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+o as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order
+  from x a, x b, x c, x d, x e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s as (
+  select c.*, filter_order, coalesce(list_min(list_filter(range(1, 6),
+         lambda i: contains(failing, filter_order[i]))), 6) as gone
+  from c, o),
+r as (
+  select part, filter_order, step::int as step, filter_order[step] as f,
+         sum(case when gone > step then n else 0 end)::bigint as kept,
+         sum(case when gone = step then n else 0 end)::bigint as removed,
+         sum(case when gone < step and contains(failing, filter_order[step]) then n else 0 end)::bigint as redundant,
+         sum(case when failing = filter_order[step] then n else 0 end)::bigint as unique_fails,
+         sum(case when gone = step then good else 0 end)::bigint as good_lost,
+         sum(case when gone = step then toxic else 0 end)::bigint as toxic_lost
+  from s, (select unnest(range(1, 6)) as step) group by part, filter_order, step)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, f))::bigint as shapley
+from r
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, htmltext, langid, neardup, pii, quality, registry, sentences, substrings, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, filteraudit, htmltext, langid, neardup, pii, quality, registry, secretscan, sentences, substrings, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -88,3 +88,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentence_spans")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.removals(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit", checks.FILTER_AUDIT)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_secrets", checks.SECRETS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.findings(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{r.name}')) as bigint)")
+              .alias(f"n_{r.name}") for r in secretscan.RULES if r.base]
+    return found.select("doc_id", *counts, F.sha2(secretscan.listed(True), 256).alias("base_sha256"),
+                        secretscan.listed(False).alias("spans"))
