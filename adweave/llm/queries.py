@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adweave.llm import bpe, checks, decontam, filteraudit, htmltext, langid, neardup, pii, quality, registry, secretscan, sentences, substrings, toxicity  # noqa: F401
+from adweave.llm import bpe, checks, decontam, filteraudit, htmltext, langid, neardup, pii, quality, registry, secretscan, sentences, spelling, substrings, toxicity  # noqa: F401
 from adweave.llm.registry import query, table
 
 
@@ -102,3 +102,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
               .alias(f"n_{r.name}") for r in secretscan.RULES if r.base]
     return found.select("doc_id", *counts, F.sha2(secretscan.listed(True), 256).alias("base_sha256"),
                         secretscan.listed(False).alias("spans"))
+
+@query("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))

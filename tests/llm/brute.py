@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -118,3 +119,47 @@ def sentence_spans(rows, least=20):
         out.append((i, len(parts), sum(map(len, parts)), len(cut), sum(len(parts[k]) for k in cut),
                     hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out, key=repr)
+
+
+def one_edit(x, y):
+    """Whether two texts differ by exactly one inserted, deleted or replaced character."""
+    if len(x) > len(y):
+        x, y = y, x
+    k = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), len(x))
+    if len(x) == len(y):
+        return x != y and x[k + 1:] == y[k + 1:]
+    return len(y) == len(x) + 1 and x[k:] == y[k + 1:]
+
+
+def word_counts(rows):
+    """Runs of letters of at least 5 characters and 3 occurrences, one in 97 runs a letter short."""
+    n = Counter()
+    for i, t in rows:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = w.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            n[w if h % 97 else w[:h % len(w)] + w[h % len(w) + 1:]] += 1
+    return {w: k for w, k in n.items() if len(w) >= 5 and k >= 3}
+
+
+def spellings(n):
+    """(word, form, root, n, n_near, form_n) of words with their counts; all words a pair of each."""
+    near = defaultdict(list)
+    by_gap = defaultdict(set)
+    for w in n:  # words one edit apart share a word with one character left out
+        for g in {w} | {w[:k] + w[k + 1:] for k in range(len(w))}:
+            by_gap[g].add(w)
+    for same in by_gap.values():
+        for x in same:
+            near[x] += [y for y in same if one_edit(x, y)]
+    form = {}
+    for w, found in near.items():
+        if found and (top := min(found, key=lambda y: (-n[y], y))) and n[top] >= 2 * n[w]:
+            form[w] = top
+    out = []
+    for w, k in n.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, k, len(set(near[w])), n.get(form.get(w))))
+    return sorted(out, key=repr)

@@ -36,7 +36,7 @@ def rows(spark, sf_dir, name, *columns):
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(CHECKS) <= set(entry.oracle_sql())
 
