@@ -66,13 +66,6 @@ def sentences(p: T.Piece) -> Sentences:
     return Sentences(row, word, begin, first, w)
 
 
-def _sequence(h: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-    """Names of word sequences, from prefix sums of word hashes."""
-    total = np.zeros(len(h) + 1, T.U64)
-    np.cumsum(h * T._powers(len(h), which), out=total[1:])
-    return T.mix((total[end] - total[start]) * T._powers(len(h) + 1, which, inverse=True)[start])
-
-
 def spans(p: T.Piece, s: Sentences) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and last sentence of every span, and the two halves of its name."""
     n = len(s.word)
@@ -91,7 +84,7 @@ def spans(p: T.Piece, s: Sentences) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     names = []
     for which in (0, 1):
         h = T.Hashes(p.buf, which, fold=True).span(s.words.start, s.words.end)
-        names.append(_sequence(h, s.word[i], end[j], which))
+        names.append(T.Hashes.of(h, which).span(s.word[i], end[j]))
     return i, j, names[0], names[1]
 
 

@@ -18,10 +18,13 @@ import pyarrow.compute as pc
 
 PIECE_BYTES = 500_000
 U64 = np.uint64
-_BASE = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
-_INVERSE = tuple(U64(pow(int(b), -1, 2**64)) for b in _BASE)
-_VALUES = np.random.default_rng(20240229).integers(1, 2**63, (2, 256), dtype=np.uint64)
-_POWERS: dict[tuple[int, bool], np.ndarray] = {}
+_MIXER = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
+# Hashes are pairs of polynomials over the field of a Mersenne prime, whose products fit 64
+# bits. Modulo a power of two, whole families of texts would collide for every base.
+PRIME = U64((1 << 31) - 1)
+_BASE = np.random.default_rng(20240229).integers(1 << 16, int(PRIME), (2, 2)).tolist()
+_SUMMED = 1 << 22  # products of 40 bits that are summed before a remainder is taken
+_POWERS: dict[tuple[int, int, bool], np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,13 +38,25 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _powers(n: int, which: int, inverse: bool = False) -> np.ndarray:
-    have = _POWERS.get((which, inverse))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """The remainder modulo PRIME."""
+    for _ in range(2):
+        high = x >> U64(31)
+        x = x & PRIME
+        x += high
+    return np.minimum(x, x - PRIME)  # below PRIME the difference wraps around
+
+
+def _powers(n: int, which: int, field: int, inverse: bool = False) -> np.ndarray:
+    have = _POWERS.get((which, field, inverse))
     if have is None or len(have) < n:
-        base = (_INVERSE if inverse else _BASE)[which]
-        have = np.multiply.accumulate(np.full(max(n, PIECE_BYTES), base, U64))
+        base = _BASE[which][field]
+        have = np.array([pow(base, -1, int(PRIME)) if inverse else base], U64)
+        while len(have) < max(n, PIECE_BYTES):
+            have = np.concatenate([have, _reduced(have * have[-1])])
+        have = have[:max(n, PIECE_BYTES)].astype(np.uint32)
         if n <= 4 * PIECE_BYTES:
-            _POWERS[which, inverse] = have
+            _POWERS[which, field, inverse] = have
     return have[:n]
 
 
@@ -92,26 +107,60 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text",
 
 
 class Hashes:
-    """Polynomial hashes of any byte span of a buffer, from prefix sums modulo 2^64."""
+    """Names of any byte span of a buffer, from prefix sums; ``which`` picks independent ones."""
 
     def __init__(self, buf: np.ndarray, which: int = 0, fold: bool = False):
-        values = _VALUES[which].copy()
         if fold:
-            values[65:91] = values[97:123]
-        n = len(buf)
-        self.inverse = _powers(n + 1, which, inverse=True)
-        self.total = np.empty(n + 1, U64)
-        self.total[0] = 0
-        np.cumsum(values[buf] * _powers(n, which), out=self.total[1:])
+            lower = np.arange(256, dtype=np.uint8)
+            lower[65:91] = lower[97:123]
+            buf = lower[buf]
+        self._sum([(buf, 1), (buf, 1)], which)
+
+    @classmethod
+    def of(cls, names: np.ndarray, which: int = 0) -> "Hashes":
+        """The same for spans of a sequence of 64-bit names."""
+        made = cls.__new__(cls)
+        made._sum([(names >> U64(32 * half) & U64(0xFFFFFFFF), 0) for half in (0, 1)], which)
+        return made
+
+    def _sum(self, values: list[tuple[np.ndarray, int]], which: int) -> None:
+        n = len(values[0][0])
+        self.inverse = [_powers(n + 1, which, field, inverse=True) for field in (0, 1)]
+        self.total = []
+        for field, (value, more) in enumerate(values):
+            power, total = _powers(n, which, field), np.zeros(n + 1, U64)
+            for at in range(0, n, _SUMMED):
+                part = value[at:at + _SUMMED].astype(U64)
+                part += U64(more)
+                if not more:
+                    part = _reduced(_reduced(part) * power[at:at + _SUMMED])
+                else:
+                    part *= power[at:at + _SUMMED]
+                out = total[at + 1:at + 1 + len(part)]
+                np.cumsum(part, out=out)
+                if n > _SUMMED:
+                    out[:] = _reduced(out + total[at])
+            self.total.append(total)
+
+    def _name(self, after: list, before: list, inverse: list) -> np.ndarray:
+        half = []
+        for a, b, i in zip(after, before, inverse):
+            x = _reduced(a + PRIME - b)
+            x *= i
+            half.append(_reduced(x))
+        half[0] <<= U64(32)
+        half[0] |= half[1]
+        return mix(half[0])
 
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.total[end] - self.total[start]) * self.inverse[start])
+        return self._name([t[end] for t in self.total], [t[start] for t in self.total],
+                          [i[start] for i in self.inverse])
 
     def every(self, length: int) -> np.ndarray:
-        """The hash of the ``length`` bytes from each position on."""
-        total = self.total
-        n = len(total) - length
-        return mix((total[length:] - total[:n]) * self.inverse[:n])
+        """The name of the ``length`` bytes from each position on."""
+        n = len(self.total[0]) - length
+        return self._name([t[length:] for t in self.total], [t[:n] for t in self.total],
+                          [i[:n] for i in self.inverse])
 
 
 @dataclass
@@ -152,7 +201,7 @@ def shingles(hashes: np.ndarray, row: np.ndarray, size: int,
     at = np.flatnonzero(row[:n] == row[size - 1:])
     name = np.zeros(len(at), U64)
     for k in range(size):
-        name = name * _BASE[1 - which] + hashes[at + k]
+        name = name * _MIXER[1 - which] + hashes[at + k]
     return mix(name), at
 
 

@@ -85,7 +85,10 @@ def contamination(rows, items):
 
 
 def sentence_spans(rows, least=20):
-    """(doc_id, n_sentences, n_words, n_removed, n_removed_words, kept_sha256) of every row."""
+    """(doc_id, n_sentences, n_words, n_removed, n_removed_words, kept_sha256) of every row.
+
+    Every two consecutive sentences count, and the fewest from a start with ``least`` words.
+    """
     docs = []
     for i, t in rows:
         t = t or ""
@@ -100,10 +103,14 @@ def sentence_spans(rows, least=20):
     where = defaultdict(list)
     for i, t, parts in {(i, t): (i, t, p) for i, t, p in docs}.values():
         for a in range(len(parts)):
+            words = [m[0].translate(LOWER) for m in parts[a]]
             for b in range(a + 1, len(parts)):
-                words = [m[0].translate(LOWER) for p in parts[a:b + 1] for m in p]
-                if len(words) >= least:
+                short = len(words) < least
+                words = words + [m[0].translate(LOWER) for m in parts[b]]
+                # Two sentences, and as many more as it takes to hold ``least`` words.
+                if b == a + 1 or short and len(words) >= least:
                     where[tuple(words)].append((i is not None, i or 0, t, a, b))
+                if len(words) >= least:
                     break
     gone = defaultdict(set)
     for places in where.values():
