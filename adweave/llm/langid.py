@@ -9,9 +9,9 @@ A text whose words gain no more than half the penalty from another language on a
 keeps one label throughout, which is what Viterbi would find; such texts are recognised for
 a whole record batch at once and only the others are walked word by word.
 
-The model is fitted on the driver on a bounded sample: ``SAMPLE_ROWS`` documents of each
-language at most, chosen by a hash of doc_id, none over ``SAMPLE_CHARS`` characters. Its size
-is ``2 * SLOTS`` numbers for each language.
+The model is fitted on a bounded sample: ``SAMPLE_ROWS`` documents of each language at most,
+chosen by a hash of doc_id and taken whole, however long. Tasks count the sample's words and
+trigrams, so the driver sees no text, only sums: ``2 * SLOTS`` numbers for each language.
 
 Null and empty texts and those without a letter are ``und`` with score 0. A text whose
 letters belong to no learned script gets the most frequent language with score 0; without
@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from adweave.llm import textbatch as T
 
 SAMPLE_ROWS = 500
-SAMPLE_CHARS = 20_000
 SLOTS = 1 << 16
 SWITCH = 14.0
 PIECE = 8_000_000  # bytes of text walked together, divided by the number of languages
@@ -110,29 +109,38 @@ def features(p: T.Piece) -> Features:
                     count[first[1:]] - count[first[:-1]])
 
 
-def fit(pieces: Iterator[T.Piece], language: np.ndarray, names: list[str]) -> Model:
-    n, at = len(names), 0
-    grams, whole = (np.full(SLOTS * n, 0.5) for _ in range(2))
-    used = np.zeros(len(SCRIPTS) * n)
-    for p in pieces:
-        f = features(p)
-        of_word = language[at:at + p.n][f.words.row]
-        at += p.n
-        of_byte = np.repeat(of_word, np.diff(f.first))
-        grams += np.bincount(f.gram * n + of_byte, minlength=SLOTS * n)
-        whole += np.bincount(f.slot * n + of_word, minlength=SLOTS * n)
-        used += np.bincount(f.script.astype(np.int64) * n + of_word, minlength=len(SCRIPTS) * n)
-
-    def table(counts: np.ndarray) -> np.ndarray:
-        counts = counts.reshape(SLOTS, n)
-        log = np.log(counts / counts.sum(axis=0))
+GRAMS, WHOLE, USED, TEXTS = range(4)  # what is counted
+
+
+def counts(p: T.Piece, language: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """What a piece adds to each table, as (table, place, number); places go language by language."""
+    f = features(p)
+    of_word = language[f.words.row]
+    of_byte = np.repeat(of_word, np.diff(f.first))
+    for which, place in ((GRAMS, f.gram * n + of_byte), (WHOLE, f.slot * n + of_word),
+                         (USED, f.script.astype(np.int64) * n + of_word), (TEXTS, language)):
+        yield which, *np.unique(place, return_counts=True)
+
+
+def fit(total: dict[int, tuple[np.ndarray, np.ndarray]], names: list[str]) -> Model:
+    """The model from the summed counts of each table."""
+    n = len(names)
+
+    def table(which: int, rows: int, least: float) -> np.ndarray:
+        out = np.full(rows * n, least)
+        place, number = total.get(which, (np.zeros(0, np.int64), 0))
+        out[place] += number
+        return out.reshape(rows, n)
+
+    def scores(which: int) -> np.ndarray:
+        seen = table(which, SLOTS, 0.5)
+        log = np.log(seen / seen.sum(axis=0))
         return (log - log.mean(axis=1, keepdims=True)).astype(np.float32)
 
-    used = used.reshape(len(SCRIPTS), n)
+    used, texts = table(USED, len(SCRIPTS), 0.0), table(TEXTS, 1, 0.0)[0]
     allowed = used > 0.01 * np.maximum(used.sum(axis=0), 1)
     allowed[0] = False
-    return Model(names, table(grams), table(whole), allowed,
-                 np.bincount(language, minlength=n) / max(len(language), 1))
+    return Model(names, scores(GRAMS), scores(WHOLE), allowed, texts / max(texts.sum(), 1))
 
 
 def word_scores(f: Features, m: Model) -> np.ndarray:
@@ -212,40 +220,52 @@ def labels(f: Features, m: Model, switch: float = SWITCH) -> np.ndarray:
     return label
 
 
-def sample(docs: DataFrame, rows: str) -> DataFrame:
-    """(lang, text): the bounded training sample."""
-    known = docs.where("lang is not null and doc_id is not null and text is not null").where(rows) \
-        .where(F.length("text") <= SAMPLE_CHARS)
+def sample(docs: DataFrame, rows: str) -> tuple[DataFrame, list[str]]:
+    """(lang, text) of the bounded training sample, and the names of the languages."""
+    known = docs.where("lang is not null and doc_id is not null and text is not null").where(rows)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    counts = known.groupBy("lang").count().collect()  # one row for each language
+    sizes = known.groupBy("lang").count().collect()  # one row for each language
     share = F.lit(0)
-    for r in counts:
+    for r in sizes:
         bound = min(1 << 30, int((1 << 30) * 1.3 * SAMPLE_ROWS / r["count"]) + 1)
         share = F.when(F.col("lang") == r["lang"], bound).otherwise(share)
     few = Window.partitionBy("lang").orderBy("slot", "doc_id", F.xxhash64("text"))
-    return known.withColumn("slot", slot).where(slot < share) \
-        .withColumn("place", F.row_number().over(few)).where(f"place <= {SAMPLE_ROWS}") \
-        .select("lang", "text")
+    chosen = known.withColumn("slot", slot).where(slot < share) \
+        .withColumn("place", F.row_number().over(few)).where(f"place <= {SAMPLE_ROWS}")
+    return chosen.select("lang", "text"), sorted(r["lang"] for r in sizes)
 
 
 def train(docs: DataFrame, rows: str = "true") -> Model | None:
-    got = sample(docs, rows).toPandas().sort_values(["lang", "text"], kind="stable")
-    if not len(got):
+    chosen, names = sample(docs, rows)
+    if not names:
         return None
-    names = sorted(got["lang"].unique().tolist())
-    batch = pa.RecordBatch.from_arrays([pa.array(got["text"], pa.string())], ["text"])
-    return fit(T.pieces(iter([batch])), np.searchsorted(names, got["lang"].to_numpy(str)), names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in T.pieces(batches):
+            language = np.searchsorted(names, p.column("lang").to_numpy(zero_copy_only=False).astype(str))
+            for which, place, number in counts(p, language, len(names)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(place), which, np.int32)), pa.array(place), pa.array(number)],
+                    ["which", "place", "number"])
+
+    got = chosen.mapInArrow(run, "which int, place bigint, number bigint") \
+        .groupBy("which", "place").agg(F.sum("number").alias("number")).toArrow()
+    which = got["which"].to_numpy()
+    return fit({k: (got["place"].to_numpy()[which == k], got["number"].to_numpy()[which == k])
+                for k in range(4)}, names)
 
 
 def _scan(docs: DataFrame, model: Model | None, keep: list[str], made: dict[str, str], build):
     slim = docs.select(*keep, F.col("text").alias("__text"))
     schema = ", ".join([f"`{n}` {t}" for n, t in slim.drop("__text").dtypes]
                        + [f"{n} {t}" for n, t in made.items()])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 * SLOTS numbers a language
+    # 2 * SLOTS numbers a language, as plain arrays: executors need no class of this package.
+    shared = docs.sparkSession.sparkContext.broadcast(
+        model and (model.languages, model.grams, model.whole, model.allowed, model.prior))
     limit = PIECE // max(4, len(model.languages) if model else 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(*shared.value) if shared.value else None
         for p in T.pieces(batches, "__text", limit):
             yield pa.RecordBatch.from_arrays(
                 [p.rows.column(i) for i in range(len(keep))] + build(p, m), keep + list(made))
