@@ -7,12 +7,17 @@ j plus a random fraction, and a document stops at the first step that cannot low
 its slots (long texts after one or two steps). Bands of ``ROWS`` slots give candidates: at
 a similarity of 0.75 the chance to share none of the 32 bands is 5 in a million.
 
-Candidates of a band bucket are verified on the full sets against its hub, the member that
-shares most buckets with others, so a bucket of n costs n comparisons, not n squared. Where
-a bucket still holds several components, its members are compared with the most shared text
-of the hub's component: what two members have in common with it bounds what they share, and
-beyond that they must share an element outside it, which makes smaller buckets with hubs of
-their own. No candidate link is lost.
+Candidates are verified on the full sets, never all members of a bucket with each other. A
+round takes one member of every bucket as its hub and compares it with the members of other
+components; the hub then leaves the bucket, and a bucket in one component is done. The first
+hub is the member that shares most buckets with others (of a text and its edited copies the
+text itself), later ones are drawn, so a text that misses one hub meets a different one in
+each of its buckets. A round costs at most one comparison a member.
+
+When a round links fewer than one pair in ``WORTH``, what is left mostly shares buckets by
+chance. Those texts go through a prefix join: elements are ordered by rarity among them, and
+linked texts share one of the rarest quarter (and one) of their elements, at places and
+lengths that still allow enough common elements. So no link between candidates is lost.
 
 Null and empty texts and those without words have an empty set and are linked with nothing.
 Rows that repeat a doc_id keep their own sets and share the component of their text; rows
@@ -26,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from adweave.llm import textbatch as T
 from adweave.llm.bittable import Wanted, bit_table
@@ -38,7 +43,7 @@ HASHES = 128
 ROWS = 4
 BANDS = HASHES // ROWS
 LEAST = 75  # percent
-SMALL, GROWTH = 16, 4  # members of a bucket whose pairs are compared; growth with each step
+WORTH = 10  # pairs compared for a link, beyond which rounds of hubs end
 
 
 def shingle_sets(p: T.Piece, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -172,123 +177,89 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         .groupBy("cls").agg(F.any_value("items").alias("items"))
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (hub, cls, ...) with what the full sets tell.
-
-    n is the size of cls, h the elements it shares with the hub, ``linked`` whether they
-    suffice, ``rest`` the elements outside the hub.
-    """
-    x = sets.select("cls", F.col("items").alias("ix"))
-    hub = sets.select(F.col("cls").alias("hub"), F.col("items").alias("ih"))
-    h = F.size(F.array_intersect("ix", "ih"))
-    return pairs.join(x, "cls").join(hub, "hub") \
-        .withColumns({"n": F.size("ix"), "hn": F.size("ih"), "h": h}) \
-        .withColumn("linked", F.expr(f"100L * h >= {LEAST}L * (n + hn - h)")) \
-        .withColumn("rest", F.array_except("ix", "ih")).drop("ix", "ih", "hn")
-
-
-def _named(df: DataFrame, roots: DataFrame, cls: str = "cls") -> DataFrame:
-    """With the component (``root``) that a class belongs to so far."""
-    return df.join(roots.select(F.col("node").alias(cls), F.col("root").alias("_r")), cls, "left") \
-        .withColumn("root", F.coalesce("_r", cls)).drop("_r")
-
-
-def _mixed(members: DataFrame, bucket: list[str], step: int,
-           name: str) -> tuple[DataFrame, DataFrame]:
-    """What to compare in the buckets that hold several components.
-
-    Small buckets give their pairs (hub, cls) of two components. Of the others the members
-    are returned, with the bucket's hub: the member that shares most band buckets, of a text
-    and its edited copies the text itself. What counts as small grows with the step, so the
-    steps are few: the logarithm of the largest bucket.
-    """
-    small_size = SMALL * GROWTH**step
-    head = staged(members.groupBy(*bucket).agg(
-        F.count("*").alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"),
-        F.max(F.struct("score", "cls")).alias("top"), F.max_by("root", F.struct("score", "cls"))
-        .alias("hub_root")).where("lo <> hi")
-        .select(*bucket, "k", F.col("top.cls").alias("hub"), "hub_root"), f"{name}-hubs")
-    small = members.join(head.where(f"k <= {small_size}").select(*bucket), bucket)
-    other = small.select(*bucket, F.col("cls").alias("hub"), F.col("root").alias("other"))
-    pairs = small.join(other, bucket).where("cls < hub and root <> other").select("hub", "cls")
-    return staged(pairs.distinct(), f"{name}-small"), \
-        staged(members.join(head.where(f"k > {small_size}").drop("k"), bucket), f"{name}-large")
-
-
-def _followed(seen: DataFrame, step: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """What could still link members x and y of a hub's group that are in two components.
-
-    If they are linked they share at least 3/7 of |x| + |y| elements. Of the hub's elements
-    they share at most the smaller h: where that suffices the pair itself is returned.
-    Otherwise they share elements outside the hub, at least three quarters of x less its h,
-    so one of the first quarter of x (and one) in any fixed order, and likewise of y: those
-    elements make smaller buckets. Pairs to compare are returned, and members of the large
-    ones of these buckets with their hubs.
-    """
-    inner = seen.withColumn("of", F.col("hub")).drop("hub")
-    busy = staged(inner.groupBy("of").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                  .where("lo <> hi").select("of"), f"{name}-busy")
-    group = staged(inner.join(busy, "of", "left_semi"), f"{name}-group")
-    x = group.where("7L * h >= 3L * n").select("of", "cls", "n", "h", "root")
-    y = x.select("of", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("h").alias("yh"),
-                 F.col("root").alias("yroot"))
-    inside = x.join(y, "of").where("cls < y and root <> yroot") \
-        .where("7L * least(h, yh) >= 3L * (n + yn)").where(_fits("n", "yn")) \
-        .select(F.col("y").alias("hub"), "cls").distinct()
-    element = F.explode(F.expr("slice(rest, 1, n div 4 + 1)")).alias("element")
-    small, large = _mixed(group.select("of", "cls", "score", "root", element), ["of", "element"],
-                          step, name)
-    return staged(inside.union(small).distinct(), f"{name}-direct"), staged(
-        large.where("cls <> hub").select("hub", "cls", "score").distinct(), f"{name}-next")
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those whose full sets are similar enough."""
+    x = sets.select(F.col("cls").alias("a"), F.col("items").alias("ia"))
+    y = sets.select(F.col("cls").alias("b"), F.col("items").alias("ib"))
+    both = F.size(F.array_intersect("ia", "ib"))
+    return pairs.join(x, "a").join(y, "b").withColumn("both", both) \
+        .where(f"100L * both >= {LEAST}L * (size(ia) + size(ib) - both)").select("a", "b")
 
 
 def _fits(a: str, b: str) -> str:
     return f"100L * least({a}, {b}) >= {LEAST}L * greatest({a}, {b})"
 
 
+def _mixed(members: DataFrame, roots: DataFrame | None, step: int, name: str) -> DataFrame:
+    """Members (bk, cls, n, score) of buckets in several components, with root and hub."""
+    if roots is None:
+        named = members.withColumn("root", F.col("cls"))
+    else:
+        of = roots.select(F.col("node").alias("cls"), F.col("root").alias("_r"))
+        named = members.join(of, "cls", "left").withColumn("root", F.coalesce("_r", "cls")).drop("_r")
+    named = staged(named, f"{name}-named")
+    draw = F.col("score") if step == 0 else F.xxhash64("bk", "cls", F.lit(step))
+    head = named.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                   F.max(F.struct(draw, "cls", "n", "root")).alias("h")) \
+        .where("lo <> hi") \
+        .select("bk", F.col("h.cls").alias("hub"), F.col("h.n").alias("hn"), F.col("h.root").alias("hroot"))
+    return staged(named.join(staged(head, f"{name}-heads"), "bk"), f"{name}-mixed")
+
+
+def _rare_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (cls, root) that could be linked by what rare elements they share."""
+    element = staged(sets.join(rest, "cls").select(
+        "cls", "root", F.size("items").alias("n"), F.explode("items").alias("e")), "dup-elements")
+    known = staged(element.groupBy("e").agg(F.count("*").alias("k"), F.min("root").alias("lo"),
+                                            F.max("root").alias("hi")).where("k > 1"), "dup-known")
+    shared = element.join(known, "e")
+    order = Window.partitionBy("cls").orderBy("k", "e")
+    # Elements of one text alone come first and need no row.
+    place = F.col("n") - F.count("*").over(Window.partitionBy("cls")) + F.row_number().over(order)
+    prefix = staged(shared.withColumn("place", place).where("place <= n div 4 + 1 and lo <> hi")
+                    .select("e", "cls", "root", "n", "place"), "dup-prefix")
+    other = prefix.toDF("e", "b", "broot", "bn", "bplace")
+    return prefix.join(other, "e").where("cls < b and root <> broot").where(_fits("n", "bn")) \
+        .where("7L * (1 + least(n - place, bn - bplace)) >= 3L * (n + bn)") \
+        .select(F.col("cls").alias("a"), "b").distinct()
+
+
 def components_of(docs: DataFrame, sketch: DataFrame) -> DataFrame:
     """(node, root) of the classes that are linked with a smaller one, by all links."""
     classes = staged(sketch.where("cls is not null").groupBy("cls")
-                     .agg(F.min("mark").alias("mark")), "dup-classes")
-    band = sketch.join(classes, ["cls", "mark"], "left_semi") \
+                     .agg(F.min("mark").alias("mark"), F.min("n_shingles").alias("n")), "dup-classes")
+    band = sketch.join(classes.drop("n"), ["cls", "mark"], "left_semi") \
         .select("cls", F.explode("bands").alias("bk")).distinct()
     shared = staged(band.groupBy("bk").agg(F.count("*").alias("k")).where("k > 1"), "dup-buckets")
     member = staged(band.join(shared, "bk"), "dup-members")
-    score = staged(member.groupBy("cls").agg(F.sum("k").alias("score")), "dup-scores")
-    members = staged(member.join(score, "cls").select("bk", "cls", "score"), "dup-scored")
-    wanted = classes.join(score.select("cls"), "cls", "left_semi")
-    sets = staged(_sets(docs, wanted.select("cls", "mark")), "dup-sets")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return _compare(pairs, sets).where("linked") \
-            .select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-
-    def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
-        if roots is not None:
-            links = links.union(roots.select("node", "root"))
-        return components(links)
-
-    head = staged(members.groupBy("bk").agg(F.max(F.struct("score", "cls")).alias("top"))
-                  .select("bk", F.col("top.cls").alias("hub")), "dup-heads")
-    first = members.join(head, "bk").where("cls <> hub").select("hub", "cls").distinct()
-    roots = merged(None, staged(linked(first), "dup-star-links"))
-    direct, large = _mixed(_named(members, roots), ["bk"], 0, "dup-left")
-    # Large buckets: all members meet the most shared text of the hub's component.
-    ref = staged(_named(score, roots).groupBy("root")
-                 .agg(F.max_by("cls", F.struct("score", "cls")).alias("hub")), "dup-refs")
-    pairs = large.select("cls", "score", F.col("hub_root").alias("root")).distinct() \
-        .join(ref, "root").where("cls <> hub").select("hub", "cls", "score")
-    pairs, step = staged(pairs.distinct(), "dup-pairs"), 0
-    while not pairs.isEmpty() or not direct.isEmpty():
-        seen = staged(_compare(pairs, sets), f"dup-seen-{step}")
-        links = seen.where("linked").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-        roots = merged(roots, links.union(staged(
-            linked(direct), f"dup-direct-{step}")))
-        if pairs.isEmpty():
+    score = staged(member.groupBy("cls").agg(F.sum("k").alias("score")).join(classes, "cls"), "dup-scores")
+    members = member.select("bk", "cls").join(score.drop("mark"), "cls")
+    sets = staged(_sets(docs, score.select("cls", "mark")), "dup-sets")
+    pair = (F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b"))
+    roots, seen, step, found, asked = None, None, 0, 1, 1
+    while True:
+        mixed = _mixed(members, roots, step, f"dup-{step}")
+        if found * WORTH < max(asked, 1) or mixed.isEmpty():
             break
+        pairs = mixed.where("root <> hroot").where(_fits("n", "hn")).select(*pair).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = staged(pairs, f"dup-{step}-pairs")
+        links = staged(_linked(pairs, sets), f"dup-{step}-links")
+        asked, found = pairs.count(), links.count()
+        seen = pairs if seen is None else seen.union(pairs)
+        roots = components(links if roots is None else links.union(roots.select("node", "root")))
+        members = mixed.where("cls <> hub").select("bk", "cls", "n", "score")
         step += 1
-        direct, pairs = _followed(_named(seen, roots), step, f"dup-{step}")
-    return roots
+    if not mixed.isEmpty():
+        rest = staged(mixed.select("cls", "root").distinct(), "dup-rest")
+        pairs = _rare_pairs(rest, sets)
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        links = staged(_linked(staged(pairs, "dup-rare-pairs"), sets), "dup-rare-links")
+        roots = components(links if roots is None else links.union(roots.select("node", "root")))
+    return components(staged(score.limit(0).selectExpr("cls as a", "cls as b"), "dup-none")) \
+        if roots is None else roots
 
 
 def groups(docs: DataFrame) -> DataFrame:

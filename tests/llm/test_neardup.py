@@ -112,3 +112,30 @@ def test_components_of_chains_stars_and_rings(spark):
 
 def test_short_texts_are_one_shingle():
     assert shingle_set("a b") == {("a", "b")}
+
+
+def test_a_large_group_costs_few_comparisons_a_member(spark, monkeypatch):
+    """Copies whose edits put them in many components of one bucket, against all pairs."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    base = [rng.choice(words) for _ in range(60)]
+    rows = [" ".join(edited(rng, base, rng.randrange(0, 8), words)) for _ in range(700)]
+    rows += [" ".join(base[:38] + [rng.choice(words) for _ in range(22)]) for _ in range(300)]
+    rows = list(enumerate(rows))
+    compared = []
+    plain = N._linked
+    monkeypatch.setattr(N, "_linked", lambda pairs, sets: compared.append(pairs.count()) or plain(pairs, sets))
+    want = near_groups(rows)
+    assert 100 < sum(k for *_, k in want) < 900
+    assert got(spark, rows) == sorted(want, key=repr)
+    assert sum(compared) < 60 * len(rows) < len(rows) ** 2 / 10
+
+
+def thue_morse(n, flip=False):
+    return "".join("ab"[bin(k).count("1") % 2 ^ flip] for k in range(n))
+
+
+def test_texts_that_collide_modulo_a_power_of_two(spark):
+    a, b = thue_morse(1024), thue_morse(1024, True)
+    rows = [(1, a), (2, b), (3, a), (4, f"{a} {b} {a} {b} {a} x"), (5, f"{b} {a} {b} {a} {b} x")]
+    assert got(spark, rows) == sorted(near_groups(rows), key=repr)
