@@ -126,11 +126,22 @@ def entity_body(entity: str) -> str:
     return f"{outer} array<struct<{inner}: struct<{fields}>>>"
 
 
-DAY_BODY = ("timeseries_stats array<struct<timeseries_stat: struct<timeseries: "
-            "array<struct<start_time: string, stats: map<string, string>>>>>>")
-LIFETIME_BODY = "lifetime_stats array<struct<lifetime_stat: struct<stats: map<string, string>>>>"
+def _bag(metrics: list[str]) -> str:
+    """Values by metric. A VARIANT tells a null that was sent from a key that was not."""
+    return f"struct<{', '.join(f'{m}: variant' for m in metrics)}>"
+
+
+def day_body(metrics: list[str]) -> str:
+    return ("timeseries_stats array<struct<timeseries_stat: struct<timeseries: "
+            f"array<struct<start_time: string, stats: {_bag(metrics)}>>>>>")
+
+
+def lifetime_body(metrics: list[str]) -> str:
+    return f"lifetime_stats array<struct<lifetime_stat: struct<stats: {_bag(metrics)}>>>"
+
+
 GEO_BODY = ("lifetime_stats array<struct<lifetime_stat: struct<dimension_stats: "
-            "array<map<string, string>>>>>")
+            f"array<{_bag(GEO_DIMENSIONS + GEO_METRICS)}>>>>")
 
 # --- warehouse tables -------------------------------------------------------
 AD_ACCOUNT = ("ad_account_id string, ad_account_name string, ad_account_client string, "

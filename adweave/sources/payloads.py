@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from adweave import schemas as S
 from adweave.functions import scalars as X
-from adweave.operators.carry import carry_maps, last_wins
+from adweave.operators.carry import carried
 from adweave.operators.dedupe import latest_per_key
 
 _KINDS = {**{e: S.entity_body(e) for e in S.ENTITY_FIELDS},
-          "day": S.DAY_BODY, "lifetime": S.LIFETIME_BODY, "geo": S.GEO_BODY}
+          "day": S.day_body(S.STATS_METRICS),
+          "lifetime": S.lifetime_body(S.STATS_METRICS + S.CONVERSION_METRICS), "geo": S.GEO_BODY}
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -29,8 +30,17 @@ def payload_outer(kind: str) -> str:
     return _KINDS[kind].split(" ", 1)[0]
 
 
-def _body(kind: str) -> Column:
-    return F.from_json("body", _KINDS[kind])
+def _body(kind: str, metrics: list[str] | None = None) -> Column:
+    """The body's columns, of its bags only the metrics asked for."""
+    narrow = {"day": S.day_body, "lifetime": S.lifetime_body}
+    return F.from_json("body", narrow[kind](metrics) if metrics and kind in narrow else _KINDS[kind])
+
+
+def _reason(kind: str, body: Column) -> Column:
+    """Why a response is not usable, NULL if it is."""
+    return F.when(F.coalesce(F.col("status"), F.lit(0)) != 200, F.concat(
+        F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("missing")))) \
+        .when(~body[payload_outer(kind)].isNotNull(), "no payload")
 
 
 def triage(landing: DataFrame, kind: str) -> DataFrame:
@@ -40,42 +50,88 @@ def triage(landing: DataFrame, kind: str) -> DataFrame:
     kept with its reason instead of aborting the run or vanishing. The body is parsed the
     way the readers parse it, so what is usable here is what they read.
     """
-    has_array = _body(kind)[payload_outer(kind)].isNotNull()
-    return landing.withColumn(
-        "reject_reason",
-        F.when(F.coalesce(F.col("status"), F.lit(0)) != 200, F.concat(
-            F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("missing"))))
-        .when(~has_array, "no payload"))
+    return landing.withColumn("reject_reason", _reason(kind, _body(kind)))
+
+
+def parsed(landing: DataFrame, kind: str) -> DataFrame:
+    """Tagged responses with ``parsed``, the body's columns, instead of a usable body's text.
+
+    Written once, it feeds the readers and the rejects: they take such a frame wherever they
+    take a landing, and the text is not parsed again.
+    """
+    found = landing.withColumn("parsed", _body(kind))
+    found = found.withColumn("reject_reason", _reason(kind, F.col("parsed")))
+    usable = F.isnull("reject_reason")
+    return found.withColumns({"parsed": F.when(usable, F.col("parsed")),
+                              "body": F.when(~usable, F.col("body"))})
+
+
+def _found(landing: DataFrame, kind: str, metrics: list[str] | None = None) -> DataFrame:
+    """Usable responses with ``parsed``. An unusable body then yields no row in any reader."""
+    if "parsed" in landing.columns:
+        return landing.where(F.isnull("reject_reason"))
+    return accepted(landing).withColumn("parsed", _body(kind, metrics))
 
 
 def accepted(landing: DataFrame) -> DataFrame:
-    """Responses worth parsing. An unusable body then yields no row in any reader."""
+    """Responses worth parsing."""
     return landing.where(F.col("status") == 200)
 
 
+def _nameless(kind: str) -> Column | None:
+    """Entities of a parsed body that have no id."""
+    if kind not in S.ENTITY_WRAPPERS:
+        return None
+    outer, inner = S.ENTITY_WRAPPERS[kind]
+    return F.filter(F.col("parsed")[outer], lambda e: e[inner]["id"].isNull())
+
+
+def outcomes(kind: str) -> list[Column]:
+    """How the responses of a parsed landing fared, as sums to observe in passing."""
+    reason = F.col("reject_reason")
+    nameless = _nameless(kind)
+    return [F.count_if(F.isnull(reason)).alias("accepted"),
+            F.count_if(F.startswith(reason, F.lit("status "))).alias("status"),
+            F.count_if(reason == "no payload").alias("no payload"),
+            *([] if nameless is None else [F.coalesce(F.sum(
+                F.when(F.isnull(reason), F.size(nameless))), F.lit(0)).alias("no id")])]
+
+
 def rejects(landing: DataFrame, kind: str) -> DataFrame:
     """What no reader of this kind returns: unusable responses, and entities without an id."""
-    lost = triage(landing, kind).where(F.col("reject_reason").isNotNull())
-    if kind not in S.ENTITY_WRAPPERS:
+    tagged = landing if "parsed" in landing.columns else parsed(landing, kind)
+    lost = tagged.where(F.col("reject_reason").isNotNull()).drop("parsed")
+    nameless = _nameless(kind)
+    if nameless is None:
         return lost
-    outer, inner = S.ENTITY_WRAPPERS[kind]
-    item = accepted(landing).withColumn("e", F.explode(_body(kind)[outer]))
-    nameless = item.where(F.col(f"e.{inner}.id").isNull()) \
-        .withColumns({"body": F.to_json("e"), "reject_reason": F.lit("no id")}).drop("e")
-    return lost.unionByName(nameless)
+    items = tagged.where(F.isnull("reject_reason")).withColumn("e", F.explode(nameless))
+    return lost.unionByName(items.withColumns(
+        {"body": F.to_json("e"), "reject_reason": F.lit("no id")}).drop("e", "parsed"))
 
 
-def read_entity(landing: DataFrame, entity: str, render_dates: bool = False) -> DataFrame:
+def read_entity(landing: DataFrame, entity: str, render_dates: bool = False,
+                rest: str | None = None) -> DataFrame:
     """Campaign, ad-squad or ad payloads -> one row per entity, prefix-renamed.
 
-    Optional keys become nullable columns, unknown keys are ignored, an entity without an
-    id is a reject. Dates are cut to the day; ``render_dates`` gives the extract's
+    Optional keys become nullable columns, an entity without an id is a reject. Unknown keys
+    are left out, or carried along as JSON text in the column named by ``rest`` (that takes a
+    landing with its bodies). Dates are cut to the day; ``render_dates`` gives the extract's
     ``MM/DD/YYYY 0:00`` text. The account the response was requested for travels along as
     ``account_id``.
     """
     outer, inner = S.ENTITY_WRAPPERS[entity]
-    items = accepted(landing).select("account_id", F.explode(_body(entity)[outer]).alias("e"))
-    flat = items.select("account_id", f"e.{inner}.*").where(F.col("id").isNotNull())
+    found = _found(landing, entity)
+    items, known = F.col("parsed")[outer], f"e.{inner}.*"
+    more = []
+    if rest:
+        from adweave.sources.drift import rest_column
+
+        shape, extra = rest_column(entity)
+        items = F.arrays_zip(items.alias("e"), F.from_json("body", shape)[outer].alias("x"))
+        more = [extra.alias(rest)]
+    rows = found.select("account_id", F.explode(items).alias("z" if rest else "e"))
+    rows = rows.select("account_id", "z.*") if rest else rows
+    flat = rows.select("account_id", known, *more).where(F.col("id").isNotNull())
     dates = {c: X.entity_day(F.col(c)) for c in S.ENTITY_DATES if c in flat.columns}
     if render_dates:
         dates = {c: X.extract_day_text(d) for c, d in dates.items()}
@@ -98,9 +154,9 @@ def read_ads(landing: DataFrame, accounts: DataFrame | None = None,
     return ads.join(zones, "account_id", "inner")
 
 
-def _metrics(bag: str, metrics: list[str], names: dict[str, str] | None = None) -> list[Column]:
+def _texts(bag: Column, metrics: list[str], names: dict[str, str] | None = None) -> list[Column]:
     names = names or {}
-    return [F.try_element_at(bag, F.lit(m)).alias(names.get(m, m)) for m in metrics]
+    return [bag[m].cast("string").alias(names.get(m, m)) for m in metrics]
 
 
 def read_day_stats(landing: DataFrame, metrics: list[str] | None = None,
@@ -108,27 +164,29 @@ def read_day_stats(landing: DataFrame, metrics: list[str] | None = None,
     """Time series -> one text row per (ad, day).
 
     Only the first element of the outer array counts. With ``carry_forward`` a metric
-    absent on a day keeps the value of an earlier day of the same response.
+    absent on a day keeps the value of an earlier day of the same response. Of a key that
+    comes twice in one bag the last value counts, here and in the other readers.
     """
-    series = F.get(_body("day")["timeseries_stats"], F.lit(0))["timeseries_stat"]["timeseries"]
-    days = accepted(landing).select("ad_id", "window_start", series.alias("days"))
+    metrics = metrics or S.STATS_METRICS
+    series = F.get(F.col("parsed")["timeseries_stats"], F.lit(0))["timeseries_stat"]["timeseries"]
+    days = _found(landing, "day", metrics).select("ad_id", "window_start", series.alias("days"))
     bags = F.transform("days", lambda d: d["stats"])
-    bags = carry_maps(bags) if carry_forward else F.transform(bags, last_wins)
-    starts = F.transform("days", lambda d: d["start_time"])
-    rows = days.select("ad_id", "window_start", F.posexplode(
-        F.arrays_zip(starts.alias("adstats_date"), bags.alias("stats"))))
-    rows = rows.select("ad_id", "window_start", "col.adstats_date", "col.stats")
-    return rows.select("ad_id", "window_start", "adstats_date",
-                       *_metrics("stats", metrics or S.STATS_METRICS))
+    rows = days.select("ad_id", "window_start", F.posexplode(F.arrays_zip(
+        F.transform("days", lambda d: d["start_time"]).alias("adstats_date"),
+        (carried(bags, metrics) if carry_forward else bags).alias("stats"))))
+    return rows.select("ad_id", "window_start", "col.adstats_date",
+                       *_texts(F.col("col.stats"), metrics))
 
 
 def read_lifetime_stats(landing: DataFrame, metrics: list[str] | None = None) -> DataFrame:
     """Lifetime totals: exactly one row per usable response, also when it has no metric."""
-    found = accepted(landing).select("ad_id", _body("lifetime")["lifetime_stats"].alias("found"))
+    metrics = metrics or S.STATS_METRICS
+    found = _found(landing, "lifetime", metrics) \
+        .select("ad_id", F.col("parsed")["lifetime_stats"].alias("found"))
     stats = F.get("found", F.lit(0))["lifetime_stat"]["stats"]
-    one = F.when(F.col("found").isNotNull(), F.array(F.struct(last_wins(stats).alias("stats"))))
-    return found.select("ad_id", F.inline(one)).select(
-        "ad_id", *_metrics("stats", metrics or S.STATS_METRICS))
+    # An array of one, not a filter: that would move below the parsing and parse again.
+    one = F.when(F.col("found").isNotNull(), F.array(F.struct(stats.alias("stats"))))
+    return found.select("ad_id", F.inline(one)).select("ad_id", *_texts(F.col("stats"), metrics))
 
 
 def read_conversions(landing: DataFrame) -> DataFrame:
@@ -137,9 +195,9 @@ def read_conversions(landing: DataFrame) -> DataFrame:
 
 def read_geo(landing: DataFrame, carry_forward: bool = True) -> DataFrame:
     """Geo breakdown: one row per (ad, item); no item, no row. Metrics become ``geo_*``."""
-    items = F.get(_body("geo")["lifetime_stats"], F.lit(0))["lifetime_stat"]["dimension_stats"]
-    found = accepted(landing).select("ad_id", items.alias("items"))
-    bags = carry_maps(F.col("items")) if carry_forward else F.transform("items", last_wins)
-    rows = found.select("ad_id", F.posexplode(bags).alias("pos", "item"))
-    return rows.select("ad_id", "pos", *_metrics("item", S.GEO_DIMENSIONS),
-                       *_metrics("item", S.GEO_METRICS, {m: f"geo_{m}" for m in S.GEO_METRICS}))
+    items = F.get(F.col("parsed")["lifetime_stats"], F.lit(0))["lifetime_stat"]["dimension_stats"]
+    found = _found(landing, "geo").select("ad_id", items.alias("items"))
+    fields = S.GEO_DIMENSIONS + S.GEO_METRICS
+    bags = carried(F.col("items"), fields) if carry_forward else F.col("items")
+    return found.select("ad_id", F.posexplode(bags).alias("pos", "item")).select(
+        "ad_id", "pos", *_texts(F.col("item"), fields, {m: f"geo_{m}" for m in S.GEO_METRICS}))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adweave import schemas as S
+from adweave.sources import drift as D
 from adweave.sources import payloads as P
 from adweave.standin import frames as T
 from adweave.standin.catalog import query
@@ -284,17 +285,7 @@ group by all
 """)
 def payload_rejects(spark, sf):
     """Rejects of two kinds of landing as the jobs write them, and what the readers return."""
-    from adweave.plans.extracts import write_rejects
-    from adweave.session import fresh_path
-
-    ads = T.frame(spark, sf, _BROKEN_ADS)
-    life = T.frame(spark, sf, """
-        select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
-               cast(null as date) as window_start, case when event_id % 7 = 1 then 401 else 200 end
-               as status, case when event_id % 7 = 2 then 'oops' else
-               '{"lifetime_stats":[{"lifetime_stat":{"stats":{}}}]}' end as body from events""")
-    path = fresh_path(spark, "rejects")
-    write_rejects(path, ad=ads, lifetime=life)
+    ads, life, path, _ = _taken(spark, sf)
     read = [P.read_ads(ads).select("ad_id").withColumn("reject_reason", F.lit("ad")),
             P.read_lifetime_stats(life).select("ad_id").withColumn("reject_reason", F.lit("lifetime"))]
     good = read[0].unionByName(read[1]).select(F.lit("accepted").alias("kind"), "reject_reason")
@@ -302,6 +293,98 @@ def payload_rejects(spark, sf):
         .groupBy("kind", "reject_reason").agg(F.count("*").alias("n"))
 
 
+_BROKEN_LIFE = """
+select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
+       cast(null as date) as window_start, case when event_id % 7 = 1 then 401 else 200 end
+       as status, case when event_id % 7 = 2 then 'oops' else
+       '{"lifetime_stats":[{"lifetime_stat":{"stats":{}}}]}' end as body from events
+"""
+
+
+def _taken(spark, sf):
+    """Ads and lifetime landings taken in once, the rejects folder and the counts folder."""
+    from adweave.plans.extracts import intake
+    from adweave.session import fresh_path
+
+    path, counts = fresh_path(spark, "rejects"), fresh_path(spark, "counts")
+    frames = intake({"ad": T.frame(spark, sf, _BROKEN_ADS), "lifetime": T.frame(spark, sf, _BROKEN_LIFE)},
+                    path, counts)
+    return *frames.values(), path, counts
+
+
+@query("extract_counts", """
+select 'ad' as kind, 'accepted' as reason,
+       count(*) filter (o_orderkey % 11 not in (3, 4, 5, 6, 7)) as n from orders
+union all
+select 'ad', 'status', count(*) filter (o_orderkey % 11 in (3, 4)) from orders
+union all
+select 'ad', 'no payload', count(*) filter (o_orderkey % 11 in (5, 6, 7)) from orders
+union all
+select 'ad', 'no id', count(*) filter (o_orderkey % 11 = 8) from orders
+union all
+select 'lifetime', 'accepted', count(*) filter (event_id % 7 not in (1, 2)) from events
+union all
+select 'lifetime', 'status', count(*) filter (event_id % 7 = 1) from events
+union all
+select 'lifetime', 'no payload', count(*) filter (event_id % 7 = 2) from events
+""")
+def extract_counts(spark, sf):
+    """How the responses fared, observed while they were taken in."""
+    *_, counts = _taken(spark, sf)
+    return spark.read.schema("kind string, reason string, n bigint").json(counts)
+
+
+# Ads with keys outside the schema: in the body, in an item and in the ad itself.
+_MORE = """
+select account_id, ad_id, window_start, status,
+       '{"request_id":"r' || cast(k as string) || '",' || substr(body, 2, length(body) - 5)
+       || case cast(k % 5 as integer) when 0 then ',"priority":' || cast(k as string)
+          when 1 then ',"priority":"high"' when 2 then ',"brief":{"a":1,"b":[1,2]}'
+          when 3 then ',"tags":["x","y"],"archived":null' else '' end || '}'
+       || case when k % 3 = 0 then ',"sub_request_status":"SUCCESS"' else '' end || '}]}' as body
+from (select *, cast(substr(body, 22, position('"' in substr(body, 22)) - 1) as bigint) as k
+      from (ADS) l) b
+""".replace("ADS", AD_LANDING)
+
+
+@query("payload_drift", """
+select 'ad' as kind, place, key, type, schema, count(*) as n from (
+  select 'body' as place, 'request_id' as key, 'STRING' as type, 'STRING' as schema from orders
+  union all
+  select 'item', 'sub_request_status', 'STRING', 'STRING' from orders where o_orderkey % 3 = 0
+  union all
+  select 'ad', 'priority', case o_orderkey % 5 when 0 then 'BIGINT' else 'STRING' end,
+         case o_orderkey % 5 when 0 then 'BIGINT' else 'STRING' end
+  from orders where o_orderkey % 5 < 2
+  union all
+  select 'ad', 'brief', 'OBJECT', 'OBJECT<a: BIGINT, b: ARRAY<BIGINT>>' from orders where o_orderkey % 5 = 2
+  union all
+  select 'ad', 'tags', 'ARRAY', 'ARRAY<STRING>' from orders where o_orderkey % 5 = 3
+  union all
+  select 'ad', 'archived', 'VOID', 'VOID' from orders where o_orderkey % 5 = 3) k
+group by all
+""")
+def payload_drift(spark, sf):
+    """Every key outside the schema, with its type and how often it came."""
+    return D.drift(T.frame(spark, sf, _MORE), "ad")
+
+
+@query("payload_unknown_kept", """
+select cast(o_orderkey as string) as ad_id, 'ad ' || cast(o_orderkey as string) as ad_name,
+       case o_orderkey % 5 when 0 then '{"priority":' || cast(o_orderkey as string) || '}'
+            when 1 then '{"priority":"high"}' when 2 then '{"brief":{"a":1,"b":[1,2]}}'
+            when 3 then '{"tags":["x","y"],"archived":null}' end as unknown,
+       case when o_orderkey % 5 = 0 then o_orderkey end as priority,
+       case when o_orderkey % 5 = 2 then cast(1 as integer) end as brief_a
+from orders
+""")
+def payload_unknown_kept(spark, sf):
+    """Unknown keys carried with their ad, two of them made columns."""
+    ads = P.read_entity(T.frame(spark, sf, _MORE), "ad", rest="unknown")
+    wide = D.promoted(ads, "unknown", {"priority": "bigint", "brief": "struct<a: int>"})
+    return wide.select("ad_id", "ad_name", "unknown", "priority", F.col("brief.a").alias("brief_a"))
+
+
 _TWICE = """
 select cast(event_id % 5 as string) as account_id, cast(event_id as string) as ad_id,
        cast(null as date) as window_start, 200 as status,

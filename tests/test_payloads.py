@@ -3,8 +3,10 @@ import json
 import pytest
 
 from adweave import schemas as S
-from adweave.plans.extracts import lifetime_extract
+from adweave.plans.extracts import intake, lifetime_extract
+from adweave.session import fresh_path
 from adweave.sources import payloads as P
+from adweave.sources.drift import drift, promoted
 
 
 def landing(spark, *rows):
@@ -144,3 +146,61 @@ def test_last_of_a_repeated_key_counts(spark):
     for carry in (True, False):
         r = P.read_day_stats(landing, carry_forward=carry).first()
         assert (r.spend, r.swipes) == ("2", "4")
+
+
+def test_every_unknown_key_is_listed(spark):
+    odd = {"a": 1, "b": [1, 2.5], "c": None, "d": {"x": {"y": True}}, "e": "t"}
+    bodies = {
+        "ad": {"ads": [{"ad": {"id": "1", **odd}, "more": 1}, {"other": {"id": "2"}}], "paging": {}},
+        "day": {"timeseries_stats": [{"timeseries_stat": {"timeseries": [
+            {"start_time": "2020", "end_time": "2021", "stats": {"spend": 1, **odd}}], "unit": "x"},
+            "status": "ok"}], "request": 1},
+        "lifetime": {"lifetime_stats": [{"lifetime_stat": {"stats": {"spend": 1, **odd}, "unit": 1}}]},
+        "geo": {"lifetime_stats": [{"lifetime_stat": {"dimension_stats": [{"dma": 1, **odd}, odd], "unit": 1}}]}}
+    want = {
+        "ad": {("body", "paging", "OBJECT", 1), ("item", "more", "BIGINT", 1), ("item", "other", "OBJECT", 1)},
+        "day": {("body", "request", "BIGINT", 1), ("item", "status", "STRING", 1), ("series", "unit", "STRING", 1),
+                ("day", "end_time", "STRING", 1)},
+        "lifetime": {("totals", "unit", "BIGINT", 1)}, "geo": {("totals", "unit", "BIGINT", 1)}}
+    types = {"a": "BIGINT", "b": "ARRAY", "c": "VOID", "d": "OBJECT", "e": "STRING"}
+    for kind, body in bodies.items():
+        n = 2 if kind == "geo" else 1
+        inner = {("ad" if kind == "ad" else "metrics", k, t, n) for k, t in types.items()}
+        got = drift(landing(spark, {"body": body}), kind)
+        assert {(r.place, r.key, r.type, r.n) for r in got.collect()} == want[kind] | inner
+        assert got.where("key = 'd'").first().schema == "OBJECT<x: OBJECT<y: BOOLEAN>>"
+        assert drift(landing(spark, {"body": body}).limit(0), kind).count() == 0
+
+
+def test_bodies_that_variant_cannot_hold_are_counted(spark):
+    rows = landing(spark, {"body": "oops"}, {"body": '{"ads":[{"ad":{"id":"1","id":"2"}}]}'},
+                   {"body": "[1]"}, {"body": '{"ads":[3,null,{"ad":4}]}'}, {"status": 500, "body": '{"x":1}'})
+    assert [(r.place, r.key, r.n) for r in drift(rows, "ad").collect()] == [("unreadable", None, 2)]
+
+
+def test_unknown_keys_travel_with_their_entity(spark):
+    body = {"adsquads": [{"adsquad": {"id": "1", "name": "n", "x": {"y": [1]}, "z": 2.5}},
+                         {"adsquad": {"id": "2", "name": "m"}}, {"adsquad": {"x": 1}}]}
+    rows = P.read_entity(landing(spark, {"account_id": "c", "body": body}), "ad_squad", rest="rest")
+    wide = promoted(rows, "rest", {"z": "double", "x": "string", "none": "int"})
+    got = {r.ad_squad_id: (r.ad_squad_name, r.rest and json.loads(r.rest), r.z, r.x, r.none)
+           for r in wide.collect()}
+    assert got == {"1": ("n", {"x": {"y": [1]}, "z": 2.5}, 2.5, '{"y":[1]}', None),
+                   "2": ("m", None, None, None, None)}
+
+
+def test_intake_parses_once_and_counts_everything(spark):
+    ok, bad = GOOD["ad"], '{"ads":[{"ad":{"name":"x"}},{"ad":{"id":"b"}}]}'
+    ads = landing(spark, {"body": ok}, {"body": bad}, {"body": "oops"}, {"status": 401, "body": ok})
+    day = landing(spark, {"ad_id": "a", "body": GOOD["day"]}, {"status": None, "body": GOOD["day"]})
+    path, counts = fresh_path(spark, "rejects"), fresh_path(spark, "counts")
+    frames = intake({"ad": ads, "day": day, "geo": day.limit(0)}, path, counts)
+    assert sorted(r.ad_id for r in P.read_entity(frames["ad"], "ad").collect()) == ["a", "b"]
+    assert P.read_day_stats(frames["day"]).collect() == P.read_day_stats(day).collect()
+    left = spark.read.parquet(path)
+    assert sorted((r.kind, r.reject_reason, r.body) for r in left.collect()) == [
+        ("ad", "no id", '{"ad":{"name":"x"}}'), ("ad", "no payload", "oops"), ("ad", "status 401", ok),
+        ("day", "status missing", GOOD["day"])]
+    seen = {(r.kind, r.reason): r.n for r in spark.read.json(counts).collect() if r.n}
+    assert seen == {("ad", "accepted"): 2, ("ad", "status"): 1, ("ad", "no payload"): 1, ("ad", "no id"): 1,
+                    ("day", "accepted"): 1, ("day", "status"): 1}

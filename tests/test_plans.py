@@ -14,6 +14,7 @@ from adweave.operators.merge import apply_policy
 from adweave.session import fresh_path
 from adweave.sources import extract as E
 from adweave.sources import payloads as P
+from adweave.sources.drift import unknown_keys
 from adweave.sources.warehouse import Warehouse, empty_table, included_accounts
 
 
@@ -112,3 +113,17 @@ def test_wide_join_scans(spark):
     facts = stored(spark, "ad_id string, adstats_date string, spend long", "wide-facts")
     text = plan(A.wide_extract(*dims, facts))
     assert text.count("FileScan") <= 3 + 2
+
+
+def test_one_parse_feeds_readers_and_rejects(spark):
+    landed = stored(spark, S.LANDING, "landing-once")
+    assert plan(P.parsed(landed, "ad")).count("from_json") == 1
+    kept = stored(spark, P.parsed(landed, "ad").schema, "parsed-once")
+    for df in (P.read_entity(kept, "ad"), P.rejects(kept, "ad")):
+        assert "from_json" not in plan(df) and "Exchange" not in plan(df)
+
+
+def test_drift_opens_bodies_without_a_shuffle(spark):
+    landed = stored(spark, S.LANDING, "landing-drift")
+    text = plan(unknown_keys(landed, "day"))
+    assert "Exchange" not in text and "Join" not in text and text.lower().count("parsejson") == 1
