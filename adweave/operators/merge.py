@@ -119,6 +119,13 @@ POLICIES: dict[str, UpsertPolicy] = {
 }
 
 
+def policy_rows(p: UpsertPolicy, incoming: DataFrame) -> DataFrame:
+    """The incoming rows a policy lets through."""
+    for c in p.guard:
+        incoming = incoming.where(nonblank(F.col(c)))
+    return incoming.where(has_activity()) if p.gated else incoming
+
+
 def apply_policy(policy: str | UpsertPolicy, existing: DataFrame,
                  incoming: DataFrame) -> DataFrame:
     """Merge already cleaned, deduplicated rows into a table (or its slice).
@@ -127,8 +134,4 @@ def apply_policy(policy: str | UpsertPolicy, existing: DataFrame,
     nothing of another granularity.
     """
     p = POLICIES[policy] if isinstance(policy, str) else policy
-    for c in p.guard:
-        incoming = incoming.where(nonblank(F.col(c)))
-    if p.gated:
-        incoming = incoming.where(has_activity())
-    return merge_upsert(existing, incoming, list(p.keys), p.update)
+    return merge_upsert(existing, policy_rows(p, incoming), list(p.keys), p.update)

@@ -37,6 +37,56 @@ def month_rows(day: DataFrame, refreshed_on: Column | None = None) -> DataFrame:
         "stats_date", F.least(refreshed_on, F.last_day("stats_date"))))
 
 
+def day_changes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """ad_id, month_start, old, new: DAY rows a merge adds or whose summed metrics it changes.
+
+    ``old`` and ``new`` are structs of the summed metrics, ``old`` null for a new row.
+    """
+    key = ["ad_id", "stats_date"]
+    metrics = F.struct(*S.ROLLUP_METRICS)
+    old = existing.select(*key, metrics.alias("old"))
+    return incoming.select(*key, metrics.alias("new")).join(old, key, "left") \
+        .where(F.isnull("old") | ~F.col("old").eqNullSafe(F.col("new"))) \
+        .select("ad_id", month_first(F.col("stats_date")).alias("month_start"), "old", "new")
+
+
+def month_deltas(changes: DataFrame) -> DataFrame:
+    """Per (ad, month) a struct for every metric: ``by`` (new less old), ``some`` (a new value
+    is there) and ``lost`` (a value went away, so the sum may have become empty)."""
+    def one(m: str) -> Column:
+        old, new = F.col(f"old.{m}"), F.col(f"new.{m}")
+        by = F.sum(F.coalesce(new, F.lit(0)) - F.coalesce(old, F.lit(0)))
+        return F.struct(by.alias("by"), F.max(new.isNotNull()).alias("some"),
+                        F.max(old.isNotNull() & new.isNull()).alias("lost")).alias(m)
+
+    return changes.groupBy("ad_id", "month_start").agg(*[one(m) for m in S.ROLLUP_METRICS])
+
+
+def months_moved(month: DataFrame, deltas: DataFrame, run_date: Column) -> DataFrame:
+    """MONTH rows of the touched months with the deltas added, in table shape.
+
+    A sum that had no value takes the new ones; every row's date moves as a refresh moves it.
+    An ad without a MONTH row gets one out of its deltas.
+    """
+    types = {f.name: f.dataType for f in S.table_schema("ad_stats").fields}
+    old = month.withColumn("month_start", F.to_date(F.concat("stats_month", F.lit("-01")))) \
+        .withColumnsRenamed({c: f"_{c}" for c in month.columns if c != "ad_id"})
+    both = old.withColumn("_in", F.lit(True)).join(deltas, ["ad_id", "month_start"], "full_outer")
+    start, known = F.col("month_start"), F.col("_in").isNotNull()
+    moved = F.greatest("_stats_date", F.least(run_date, F.last_day(start)), start)
+
+    def value(m: str) -> Column:
+        if m not in S.ROLLUP_METRICS:
+            return F.col(f"_{m}")
+        d, was = F.col(m), F.col(f"_{m}")
+        return F.when(d.isNull(), was).when(was.isNotNull() | d["some"], F.coalesce(was, F.lit(0)) + d["by"])
+
+    made = {"ad_id_date_granul": F.coalesce("_ad_id_date_granul", X.stats_key(F.col("ad_id"), start, S.MONTH)),
+            "ad_id": F.col("ad_id"), "stats_date": F.when(known, moved).otherwise(start),
+            "granularity": F.lit(S.MONTH), "stats_month": X.month_text(start)}
+    return both.select(*[(made[c] if c in made else value(c)).cast(types[c]).alias(c) for c in month.columns])
+
+
 def split_new_months(months: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of months without any existing row, rows of all other months).
 

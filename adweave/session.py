@@ -18,6 +18,9 @@ def build_session(app: str = "adweave", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # State of streams lies on disk, not in the executors' heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for k, v in (defaults | conf).items():
         b = b.config(k, v)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adweave import schemas as S
 from adweave.functions import scalars as X
 from adweave.operators.dedupe import latest_per_key
+from adweave.session import staged
 
 # Blanks mean missing; quotes are doubled inside a field.
 CSV = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
@@ -55,6 +56,28 @@ def read_extract(spark: SparkSession, path: str, columns: list[str] | None = Non
     return plain_text(r.csv(path), foreign)
 
 
+TORN = "_torn"
+
+
+def split_extract(spark: SparkSession, path: str, rejects: str, columns: list[str] | None = None,
+                  glob: str | None = None, foreign: bool = False) -> DataFrame:
+    """Like ``read_extract``, but a torn row goes to ``rejects`` instead of ending the load.
+
+    The files are parsed once and kept as Parquet; ``rejects`` is a new folder of
+    (extract_file, line). Rows and rejects together are all lines of the files, less headers
+    and empty lines. A wrong header is an error all the same.
+    """
+    columns = columns or S.WIDE_DAY_COLUMNS
+    r = spark.read.schema(S.text_schema([*columns, TORN])) \
+        .options(**READ | {"mode": "PERMISSIVE"}, multiLine=foreign, columnNameOfCorruptRecord=TORN)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    kept = staged(r.csv(path).withColumn("extract_file", F.col("_metadata.file_path")), "extract-lines")
+    kept.where(F.col(TORN).isNotNull()).select("extract_file", F.col(TORN).alias("line")) \
+        .write.parquet(rejects)
+    return plain_text(kept.where(F.col(TORN).isNull()).select(*columns), foreign)
+
+
 def as_extract(wide: DataFrame, columns: list[str]) -> DataFrame:
     """Text columns in extract order; missing ones blank, dates as the extract has them."""
     have = {f.name: f.dataType.typeName() for f in wide.schema.fields}
@@ -93,7 +116,7 @@ def _require(raw: DataFrame, columns: list[str]) -> None:
         raise ValueError(f"extract lacks {missing}")
 
 
-def _typed(table: str, columns: list[str]) -> list[Column]:
+def typed_values(table: str, columns: list[str]) -> list[Column]:
     """Typed table columns out of text, by the table's own types."""
     types = {f.name: f.dataType.typeName() for f in S.table_schema(table).fields}
 
@@ -146,15 +169,18 @@ def entity_rows(raw: DataFrame, entity: str, run_date: Column,
         else raw.where(X.nonblank(F.col(key)))
     seen = rows.groupBy(*columns, *version) \
         .agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 0)
-    typed = seen.select(*_typed(entity, columns), *version)
+    typed = seen.select(*typed_values(entity, columns), *version)
     best = latest_per_key(typed, [key], [*version, _ENTITY_ORDER[entity]])
     best = best.select(*columns)
-    if not trial:
-        best = best.withColumns({"created_on": run_date, "updated_on": run_date})
-    return _pad(best, entity)
+    return _pad(best, entity) if trial else stamped(best, entity, run_date)
 
 
-def _stats_values(raw: DataFrame, metrics: list[str]) -> list[Column]:
+def stamped(rows: DataFrame, entity: str, run_date: Column) -> DataFrame:
+    """Typed entities in table shape, dated with the run."""
+    return _pad(rows.withColumns({"created_on": run_date, "updated_on": run_date}), entity)
+
+
+def stats_values(raw: DataFrame, metrics: list[str]) -> list[Column]:
     return [(X.ratio_metric(F.col(m)) if m in S.RATIO_METRICS else X.count_metric(F.col(m)))
             .alias(m) for m in metrics]
 
@@ -167,12 +193,21 @@ def days_of(raw: DataFrame) -> DataFrame:
 def day_rows(raw: DataFrame, version: list[str] | None = None) -> DataFrame:
     """DAY facts out of the wide extract: typed, one per (ad, day), table shape."""
     version = version or []
-    typed = raw.where(X.nonblank(F.col("ad_id")) & X.nonblank(F.col("adstats_date"))).select(
+    best = latest_per_key(day_values(raw, version), ["ad_id", "stats_date"], [*version, *S.STATS_METRICS])
+    return day_facts(best.drop(*version))
+
+
+def day_values(raw: DataFrame, version: list[str]) -> DataFrame:
+    """Typed ad_id, stats_date, metrics and ``version`` of every row with an ad and a day."""
+    return raw.where(X.nonblank(F.col("ad_id")) & X.nonblank(F.col("adstats_date"))).select(
         "ad_id", X.iso_day(F.col("adstats_date")).alias("stats_date"),
-        *_stats_values(raw, S.STATS_METRICS), *version).where(F.col("stats_date").isNotNull())
-    best = latest_per_key(typed, ["ad_id", "stats_date"], [*version, *S.STATS_METRICS])
+        *stats_values(raw, S.STATS_METRICS), *version).where(F.col("stats_date").isNotNull())
+
+
+def day_facts(best: DataFrame) -> DataFrame:
+    """One typed row per (ad, day) in table shape."""
     day = F.col("stats_date")
-    return _pad(best.drop(*version).withColumns({
+    return _pad(best.withColumns({
         "ad_id_date_granul": X.stats_key(F.col("ad_id"), day, S.DAY),
         "granularity": F.lit(S.DAY), "stats_month": X.month_text(day)}), "ad_stats")
 
@@ -187,7 +222,7 @@ def lifetime_rows(raw: DataFrame, run_date: Column, metrics: list[str] | None =
     metrics = metrics or S.STATS_METRICS
     rows = raw.where(X.nonblank(F.col("ad_id"))) if guarded else raw
     ad_id = F.col("ad_id") if guarded else F.coalesce(F.col("ad_id"), F.lit(""))
-    typed = rows.select(ad_id.alias("ad_id"), *_stats_values(raw, metrics))
+    typed = rows.select(ad_id.alias("ad_id"), *stats_values(raw, metrics))
     best = latest_per_key(typed, ["ad_id"], metrics)
     return _pad(best.withColumns({
         "stats_date": run_date,

@@ -110,14 +110,14 @@ def rejects(landing: DataFrame, kind: str) -> DataFrame:
 
 
 def read_entity(landing: DataFrame, entity: str, render_dates: bool = False,
-                rest: str | None = None) -> DataFrame:
+                rest: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Campaign, ad-squad or ad payloads -> one row per entity, prefix-renamed.
 
     Optional keys become nullable columns, an entity without an id is a reject. Unknown keys
     are left out, or carried along as JSON text in the column named by ``rest`` (that takes a
     landing with its bodies). Dates are cut to the day; ``render_dates`` gives the extract's
     ``MM/DD/YYYY 0:00`` text. The account the response was requested for travels along as
-    ``account_id``.
+    ``account_id``, and so do the landing's columns named in ``keep``.
     """
     outer, inner = S.ENTITY_WRAPPERS[entity]
     found = _found(landing, entity)
@@ -129,9 +129,10 @@ def read_entity(landing: DataFrame, entity: str, render_dates: bool = False,
         shape, extra = rest_column(entity)
         items = F.arrays_zip(items.alias("e"), F.from_json("body", shape)[outer].alias("x"))
         more = [extra.alias(rest)]
-    rows = found.select("account_id", F.explode(items).alias("z" if rest else "e"))
-    rows = rows.select("account_id", "z.*") if rest else rows
-    flat = rows.select("account_id", known, *more).where(F.col("id").isNotNull())
+    own = ["account_id", *(keep or [])]
+    rows = found.select(*own, F.explode(items).alias("z" if rest else "e"))
+    rows = rows.select(*own, "z.*") if rest else rows
+    flat = rows.select(*own, known, *more).where(F.col("id").isNotNull())
     dates = {c: X.entity_day(F.col(c)) for c in S.ENTITY_DATES if c in flat.columns}
     if render_dates:
         dates = {c: X.extract_day_text(d) for c, d in dates.items()}
@@ -160,22 +161,23 @@ def _texts(bag: Column, metrics: list[str], names: dict[str, str] | None = None)
 
 
 def read_day_stats(landing: DataFrame, metrics: list[str] | None = None,
-                   carry_forward: bool = True) -> DataFrame:
+                   carry_forward: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Time series -> one text row per (ad, day).
 
     Only the first element of the outer array counts. With ``carry_forward`` a metric
     absent on a day keeps the value of an earlier day of the same response. Of a key that
-    comes twice in one bag the last value counts, here and in the other readers.
+    comes twice in one bag the last value counts, here and in the other readers. The landing's
+    columns named in ``keep`` travel along.
     """
     metrics = metrics or S.STATS_METRICS
     series = F.get(F.col("parsed")["timeseries_stats"], F.lit(0))["timeseries_stat"]["timeseries"]
-    days = _found(landing, "day", metrics).select("ad_id", "window_start", series.alias("days"))
+    own = ["ad_id", "window_start", *(keep or [])]
+    days = _found(landing, "day", metrics).select(*own, series.alias("days"))
     bags = F.transform("days", lambda d: d["stats"])
-    rows = days.select("ad_id", "window_start", F.posexplode(F.arrays_zip(
+    rows = days.select(*own, F.posexplode(F.arrays_zip(
         F.transform("days", lambda d: d["start_time"]).alias("adstats_date"),
         (carried(bags, metrics) if carry_forward else bags).alias("stats"))))
-    return rows.select("ad_id", "window_start", "col.adstats_date",
-                       *_texts(F.col("col.stats"), metrics))
+    return rows.select(*own, "col.adstats_date", *_texts(F.col("col.stats"), metrics))
 
 
 def read_lifetime_stats(landing: DataFrame, metrics: list[str] | None = None) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -17,9 +19,11 @@ from adweave.operators.merge import POLICIES, UpsertPolicy, apply_policy
 from adweave.operators.rollup import date_bounds, in_range
 from adweave.session import staged
 
-MANIFEST = "seq bigint, slices array<struct<slice: string, path: string>>"
-# Dimensions are cut by a hash of their key, so a load rewrites only what it changes.
-BUCKETS = 16
+COMMIT = ("tables array<struct<table: string, seq: bigint, buckets: int, rows: bigint, "
+          "slices: array<struct<slice: string, path: string>>>>")
+# Dimensions are cut by a hash of their key, so a load rewrites only what it changes. They
+# start with a few buckets and are cut again, twice as fine, when one holds more than this.
+BUCKETS, BUCKET_ROWS = 16, 1_000_000
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -28,8 +32,18 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
                                    for f in S.table_schema(table).fields])
 
 
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+@dataclass(frozen=True)
+class Version:
+    """What a table consists of: slice -> folder. Of a dimension also how it is cut."""
+
+    seq: int = 0
+    buckets: int = BUCKETS
+    rows: int = 0
+    slices: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -38,41 +52,74 @@ class Warehouse:
 
     A table is a set of slices: one month of a granularity for facts, one bucket of ids
     for dimensions. A publish writes the new slices once, into a folder of its own, and
-    then switches by adding one small manifest file that lists every slice's folder.
+    then switches by adding one small commit file that lists every slice's folder.
     Until that file exists readers see all old rows; a failed publish leaves a folder
-    nobody reads, and its re-run starts from the same rows. Old folders and manifests
-    are left to the storage's lifecycle rules. One writer at a time per table.
+    nobody reads, and its re-run starts from the same rows. Publishes inside a ``unit``
+    share one commit file, so their tables switch together or not at all. Old folders and
+    commits are left to the storage's lifecycle rules. One writer at a time per table.
     """
 
     spark: SparkSession
     root: str
+    held: dict[str, Version] | None = None  # inside a unit: the tables as it sees them
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def create(self, *tables: str) -> "Warehouse":
         """Make the tables that do not exist yet, empty."""
-        for t in tables or S.TABLES:
-            self._switch(t, 0, {}, "ignore")
+        known = self._versions()
+        new = {t: Version() for t in tables or S.TABLES if t not in known}
+        if new:
+            self._commit(new)
         return self
 
-    def _manifest(self, table: str) -> tuple[int, dict[str, str]]:
-        """Number and slices of the current version (a few hundred names at most)."""
-        try:
-            found = self.spark.read.schema(MANIFEST).json(f"{self.path(table)}/manifest")
-        except AnalysisException as e:
-            raise ValueError(f"no table {table}") from e
-        seq, slices = found.agg(F.max("seq"), F.max_by("slices", "seq")).first()
-        return seq, {x["slice"]: x["path"] for x in slices}
+    @contextmanager
+    def unit(self) -> Iterator["Warehouse"]:
+        """A warehouse whose publishes are seen by it alone until the block has ended."""
+        if self.held is not None:
+            yield self
+            return
+        before = self._versions()
+        inner = replace(self, held=dict(before))
+        yield inner
+        new = {t: v for t, v in inner.held.items() if v is not before.get(t)}
+        if new:
+            self._commit(new)
 
-    def _switch(self, table: str, seq: int, slices: dict[str, str], mode: str) -> None:
+    def _versions(self) -> dict[str, Version]:
+        """The current version of every table (a few hundred names of slices at most)."""
+        if self.held is not None:
+            return self.held
+        try:
+            log = self.spark.read.schema(COMMIT).json(f"{self.root.rstrip('/')}/commits")
+        except AnalysisException:
+            return {}
+        last = log.select(F.inline("tables")).groupBy("table").agg(
+            F.max_by(F.struct("seq", "buckets", "rows", "slices"), "seq").alias("v"))
+        return {r.table: Version(r.v.seq, r.v.buckets, r.v.rows, {x.slice: x.path for x in r.v.slices})
+                for r in last.collect()}
+
+    def _version(self, table: str) -> Version:
+        known = self._versions()
+        if table not in known:
+            raise ValueError(f"no table {table}")
+        return known[table]
+
+    def _commit(self, new: dict[str, Version]) -> None:
         """One row in one file: it is there as a whole or not at all."""
-        row = [(seq, [(k, v) for k, v in sorted(slices.items())])]
-        self.spark.createDataFrame(row, MANIFEST).coalesce(1) \
-            .write.mode(mode).json(f"{self.path(table)}/manifest")
+        row = [(t, v.seq, v.buckets, v.rows, sorted(v.slices.items())) for t, v in new.items()]
+        self.spark.createDataFrame([(row,)], COMMIT).coalesce(1) \
+            .write.mode("append").json(f"{self.root.rstrip('/')}/commits")
+
+    def _switch(self, table: str, new: Version) -> None:
+        if self.held is not None:
+            self.held[table] = new
+        else:
+            self._commit({table: new})
 
     def table(self, table: str) -> DataFrame:
-        return self._read(table, self._manifest(table)[1])
+        return self._read(table, self._version(table).slices)
 
     def _read(self, table: str, slices: dict[str, str], *more: str) -> DataFrame:
         data = f"{self.path(table)}/data"
@@ -90,25 +137,31 @@ class Warehouse:
         """One granularity; the filter is on the partition column."""
         return self.table(table).where(F.col("granularity") == granularity)
 
-    def publish(self, table: str, rows: DataFrame) -> None:
+    def publish(self, table: str, rows: DataFrame, buckets: int | None = None) -> None:
         """Replace the slices present in ``rows`` by them, in one write.
 
         ``rows`` may read the table itself. Rebalancing gives even files, whatever one
-        month or id holds.
+        month or id holds. A dimension given another number of ``buckets`` is replaced whole.
         """
-        seq, slices = self._manifest(table)
+        old = self._version(table)
         parts = S.PARTITIONS.get(table)
+        cut = old.buckets if buckets is None else buckets
         if parts is None:
             parts = ["bucket"]
-            rows = rows.withColumn("bucket", bucket_of(S.columns_of(table)[0]))
+            rows = rows.withColumn("bucket", bucket_of(S.columns_of(table)[0], cut))
         out = rows.hint("rebalance", *parts)
         if table in S.FILE_ORDER:
             out = out.sortWithinPartitions(*parts, *S.FILE_ORDER[table])
-        version = f"version={seq + 1:06d}-{uuid.uuid4().hex[:8]}"
-        out.write.partitionBy(*parts).parquet(f"{self.path(table)}/data/{version}")
-        new = self._written(table, version, len(parts))
+        name = f"version={old.seq + 1:06d}-{uuid.uuid4().hex[:8]}"
+        watch = Observation()
+        out.observe(watch, F.count(F.lit(1)).alias("rows")) \
+            .write.partitionBy(*parts).parquet(f"{self.path(table)}/data/{name}")
+        new = self._written(table, name, len(parts))
         if new:
-            self._switch(table, seq + 1, slices | new, "append")
+            kept = old.slices if cut == old.buckets else {}
+            # Buckets are even, so those written tell the size of the whole.
+            size = watch.get["rows"] * cut // len(new) if parts == ["bucket"] else 0
+            self._switch(table, Version(old.seq + 1, cut, size, kept | new))
 
     def _written(self, table: str, version: str, depth: int) -> dict[str, str]:
         """slice -> folder of a version, from the names of its files."""
@@ -130,20 +183,27 @@ class Warehouse:
         ``months`` names them when the caller knows. Dimensions rewrite the buckets in
         which a row is new or differs in a column the policy assigns.
         """
-        p = POLICIES[policy]
-        if p.granularity is None:
-            self._upsert_dimension(p, incoming)
-            return
-        existing = self.facts(p.table, p.granularity)
-        if p.granularity in (S.DAY, S.MONTH):
-            months = months_of(incoming) if months is None else months
-            existing = existing.where(F.col("stats_month").isin(months))
-        self.publish(p.table, apply_policy(p, existing, incoming))
+        with self.unit() as unit:
+            p = POLICIES[policy]
+            if p.granularity is None:
+                unit._upsert_dimension(p, incoming)
+                return
+            existing = unit.facts(p.table, p.granularity)
+            if p.granularity in (S.DAY, S.MONTH):
+                months = months_of(incoming) if months is None else months
+                existing = existing.where(F.col("stats_month").isin(months))
+            unit.publish(p.table, apply_policy(p, existing, incoming))
 
     def _upsert_dimension(self, p: UpsertPolicy, incoming: DataFrame) -> None:
-        incoming = staged(incoming, "incoming")
-        existing = self._read(p.table, self._manifest(p.table)[1], "bucket")
-        cut = bucket_of(S.columns_of(p.table)[0])
+        old, key = self._version(p.table), S.columns_of(p.table)[0]
+        buckets = old.buckets
+        while old.rows > buckets * BUCKET_ROWS:
+            buckets *= 2
+        existing = self._read(p.table, old.slices, "bucket")
+        if not old.slices or buckets != old.buckets:  # nothing to spare
+            self.publish(p.table, apply_policy(p, existing.drop("bucket"), incoming), buckets)
+            return
+        incoming, cut = staged(incoming, "incoming"), bucket_of(key, buckets)
         touched = [r.bucket for r in changed_rows(p, existing, incoming)
                    .select(cut.alias("bucket")).distinct().collect()]
         if touched:

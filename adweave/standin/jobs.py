@@ -16,11 +16,14 @@ from adweave.operators import attach as A
 from adweave.plans import extracts, loads
 from adweave.session import fresh_path
 from adweave.sources import extract as E
+from adweave.sources.bucketed import BucketedDimension
 from adweave.sources.warehouse import Warehouse, account_rows, account_seed
 from adweave.standin import frames as T
 from adweave.standin import payloads, upserts
 from adweave.standin.catalog import query
-from adweave.streaming.dayload import archived, load_new_extracts
+from adweave.streaming.dayload import archive_report, archived, ledger_of, load_new_extracts
+from adweave.streaming.landed import ads_outer_stats, watch_landing
+from adweave.streaming.ordered import load_in_version_order
 
 RUN = upserts.RUN
 
@@ -402,19 +405,21 @@ def trial_load(spark, sf):
 
 
 @query("account_seed_rows", """
-select cast(r_regionkey as string) as ad_account_id, r_name as ad_account_name,
-       case when r_regionkey < 3 then 'client' end as ad_account_client,
-       case when r_regionkey < 3 then 'brand' end as ad_account_brand, 'YES' as ad_account_include_ind,
+select cast(c_custkey as string) as ad_account_id, c_name as ad_account_name,
+       case when c_nationkey < 12 then 'client ' || c_mktsegment end as ad_account_client,
+       case when c_nationkey < 12 then 'brand' end as ad_account_brand, 'YES' as ad_account_include_ind,
        date '2020-05-17' as created_on
-from region
+from customer
 """)
 def account_seed_rows(spark, sf):
-    """A static seed, some accounts with client and brand, some with a name only."""
-    names = {str(r.r_regionkey): r.r_name for r in
-             T.frame(spark, sf, "select r_regionkey, r_name from region").collect()}  # a few rows
-    seed = account_seed(spark, {k: [n, "client", "brand"] if int(k) < 3 else n
-                                for k, n in names.items()})
-    return account_rows(seed, F.lit(RUN)).select(
+    """A seed file of accounts, some with client and brand, some with a name only."""
+    path = fresh_path(spark, "seed")
+    T.frame(spark, sf, """
+        select cast(c_custkey as string) as ad_account_id, c_name as ad_account_name,
+               case when c_nationkey < 12 then 'client ' || c_mktsegment end as ad_account_client,
+               case when c_nationkey < 12 then 'brand' end as ad_account_brand
+        from customer""").write.json(path)
+    return account_rows(account_seed(spark, path), F.lit(RUN)).select(
         "ad_account_id", "ad_account_name", "ad_account_client", "ad_account_brand",
         "ad_account_include_ind", "created_on")
 
@@ -492,6 +497,75 @@ def touched_months_load(spark, sf):
     return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
 
 
+# Some ads are restated, some of them without swipes; August comes new.
+_IS_RESTATED = "(cast(ad_id as bigint) % 2 = 0 or month(stats_date) = 8)"
+_IN_STEP_NEW = upserts.month_sql(f"""
+select * replace (case when {_IS_RESTATED} then spend + 3 else spend end as spend,
+                  case when not ({_IS_RESTATED} and cast(ad_id as bigint) % 5 = 0) then swipes end as swipes)
+from ({T.DAY_GATED}) e where {_TOUCHED_DAYS}""", "date '1999-09-02'")
+
+
+@query("month_from_changes", upserts.month_check(f"""
+select * from ({upserts.merge_sql('month_refresh', _TOUCHED_OLD,
+    f"select * from ({_IN_STEP_NEW}) n where stats_month < '1999-08'")}) r
+union all by name
+select * exclude (refreshed_on) from ({_IN_STEP_NEW}) f where stats_month = '1999-08' and {T.ACTIVE}
+"""))
+def month_from_changes(spark, sf):
+    """Restated days whose MONTH rows follow by what changed: sums, lost values, a new month."""
+    wh = _warehouse(spark)
+    day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity()) \
+        .where(F.col("stats_date").between(dt.date(1999, 6, 1), dt.date(1999, 8, 31)))
+    wh.publish("ad_stats", day.where(F.month("stats_date") < 8))
+    loads.month_history_load(wh, dt.date(1999, 6, 1), dt.date(1999, 7, 31))
+    restated = day.where(F.expr(_IS_RESTATED)).withColumns({
+        "spend": F.col("spend") + 3,
+        "swipes": F.when(F.col("ad_id").cast("bigint") % 5 != 0, F.col("swipes"))})
+    loads.restate_days(wh, restated, dt.date(1999, 9, 2))
+    return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
+
+
+# --- files that cannot be read as a whole, buckets ----------------------------------------------
+
+@query("extract_rejects", """
+select case when o_orderkey % 7 in (3, 5) then 'rejected' else 'loaded' end as kind,
+       cast(o_orderkey as string) as ad_id,
+       case when o_orderkey % 7 not in (3, 5) then o_custkey end as spend
+from orders
+""")
+def extract_rejects(spark, sf):
+    """Lines with too few or too many fields are told apart from the rows that are loaded."""
+    folder, rejects = fresh_path(spark, "torn"), fresh_path(spark, "rejects")
+    fields = [{"ad_id": "cast(o_orderkey as string)", "spend": "cast(o_custkey as string)"}.get(c, "''")
+              for c in S.WIDE_DAY_COLUMNS]
+    line = f"""case o_orderkey % 7 when 3 then concat_ws(',', {', '.join(fields[:10])})
+               when 5 then concat_ws(',', {', '.join(fields)}, 'one', 'too many')
+               else concat_ws(',', {', '.join(fields)}) end"""
+    lines = T.frame(spark, sf, f"select {line} as line from orders")
+    head = spark.range(1).select(F.lit(",".join(S.WIDE_DAY_COLUMNS)).alias("line"))
+    # Every file needs its header: one a task, before the task's lines.
+    named = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(4)))
+    heads = head.select("line", F.explode(F.array(*map(F.lit, range(4)))).alias("part"))
+    named.withColumn("place", F.lit(1)).unionByName(heads.withColumn("place", F.lit(0))) \
+        .repartition(4, "part").sortWithinPartitions("part", "place").select("part", "line") \
+        .write.partitionBy("part").text(folder)
+    good = E.split_extract(spark, folder, rejects)
+    lost = spark.read.parquet(rejects).select(
+        F.lit("rejected").alias("kind"), F.split("line", ",")[S.WIDE_DAY_COLUMNS.index("ad_id")].alias("ad_id"),
+        F.lit(None).cast("bigint").alias("spend"))
+    return good.select(F.lit("loaded").alias("kind"), "ad_id", F.col("spend").cast("bigint").alias("spend")) \
+        .unionByName(lost)
+
+
+@query("upsert_bucketed", upserts.merge_sql("ad_full", upserts._old("ad"), upserts._CHANGED["ad"]))
+def upsert_bucketed(spark, sf):
+    """A full load of ads into a dimension that lies in buckets."""
+    ads = BucketedDimension(spark, fresh_path(spark, "bucketed"), "ad")
+    ads.publish(T.frame(spark, sf, upserts._old("ad")), 4)
+    ads.upsert("ad_full", E.entity_rows(upserts._extract_text(spark, sf, "ad"), "ad", F.lit(RUN)))
+    return ads.read()
+
+
 # --- incremental stream ---------------------------------------------------------------------
 
 @query("stream_day_load", T.doubles_sql(f"""
@@ -547,3 +621,90 @@ def stream_restatement(spark, sf):
         E.write_extract(rows, f"{inbox}/drop={n}")
         load_new_extracts(wh, inbox, state, RUN)
     return T.readable(wh.facts("ad_stats", S.DAY))
+
+
+# A row counts by its newest version with activity, whichever drop arrives first.
+_ACTIVE_TEXT = f"select * from ({T.DAY_RAW}) r where {T.ACTIVE}"
+_NEWER = T.day_sql(f"select * from ({_RESTATED}) r where {T.ACTIVE}")
+_NEWEST = f"""
+select * from ({_NEWER}) n
+union all by name
+select * from ({T.day_sql(_ACTIVE_TEXT)}) o where not exists (
+  select 1 from ({_NEWER}) n where n.ad_id = o.ad_id and n.stats_date = o.stats_date)
+"""
+
+
+@query("stream_version_order", T.doubles_sql(f"""
+select v.*, arrival from ({_NEWEST}) v, (select unnest(['in order', 'reversed']) as arrival) a
+"""))
+def stream_version_order(spark, sf):
+    """Two drops, the newer one arriving last and first: the same table."""
+    text = T.frame(spark, sf, T.DAY_TEXT)
+    again = text.where(X.iso_day(F.col("adstats_date")) >= dt.date(1998, 12, 1)).withColumns({
+        "swipes": F.lit(""), "impressions": F.when(
+            F.col("impressions") != "", (F.col("impressions").try_cast("double") + 100)
+            .cast("string")).otherwise("")})
+    drops, out = [text, again], []
+    for arrival, order in (("in order", (0, 1)), ("reversed", (1, 0))):
+        wh, inbox, state = _warehouse(spark), fresh_path(spark, "inbox"), fresh_path(spark, "state")
+        for n in order:
+            E.write_extract(drops[n], f"{inbox}/drop={n}")
+            load_in_version_order(wh, inbox, state, RUN)
+        out.append(T.readable(wh.facts("ad_stats", S.DAY)).withColumn("arrival", F.lit(arrival)))
+    return out[0].unionByName(out[1])
+
+
+@query("archive_report", """
+select distinct strftime(cast(l_shipdate as date), '%Y-%m') || '-01' as window_start,
+       date '2020-05-17' as loaded, 'moved' as outcome, true as in_archive
+from lineitem
+""")
+def archive_report_rows(spark, sf):
+    """What became of every loaded file, and whether it is where the report says."""
+    wh, inbox, state, archive = _warehouse(spark), *(
+        fresh_path(spark, name) for name in ("inbox", "state", "archive"))
+    rows = T.frame(spark, sf, T.DAY_TEXT)
+    month = F.trunc(X.iso_day(F.col("adstats_date")), "month").cast("string")
+    E.write_extract(rows.withColumn("window_start", month), f"{inbox}/drop=1", by_window="window_start")
+    load_new_extracts(wh, inbox, state, RUN, archive=archive)
+    moves = archive_report(spark, ledger_of(state)).select(
+        "loaded", "outcome", F.regexp_extract("target", "/(drop=1/.*)$", 1).alias("name"))
+    there = archived(spark, archive).select("name", F.lit(True).alias("there"))
+    return moves.join(there, "name", "left").select(
+        F.regexp_extract("name", "window_start=([^/]*)/", 1).alias("window_start"), "loaded", "outcome",
+        F.coalesce("there", F.lit(False)).alias("in_archive")).distinct()
+
+
+# Stats land when they were shipped, ads when they were ordered; stats of more than 60 days
+# later come too late for their ad.
+_ADS_LANDED = f"""
+select *, cast(substr(body, position('"created_at":"' in body) + 14, 10) as timestamp) as landed_at
+from ({payloads.AD_LANDING}) l
+"""
+
+
+@query("stream_ads_outer_stats", f"""
+select a.ad_id, a.ad_name, s.stats_date, cast(s.impressions as string) as impressions,
+       cast(s.spend as string) as spend
+from ({T.AD}) a left join ({payloads.carried_sql(_AD_ID)}) s
+  on a.ad_id = s.ad_id and s.window_start between a.ad_created_at and a.ad_created_at + 60
+""")
+def stream_ads_outer_stats(spark, sf):
+    """Ads and stats as they land; a later pair of responses lets the watermark pass."""
+    path = {n: fresh_path(spark, n) for n in ("ads", "stats", "out", "state")}
+    ads = T.frame(spark, sf, _ADS_LANDED)
+    stats = T.frame(spark, sf, payloads.day_landing(_AD_ID)).withColumn(
+        "landed_at", F.col("window_start").cast("timestamp"))
+    later = F.lit("2030-01-01").cast("timestamp")
+    drops = [(ads, stats), tuple(
+        f.limit(1).withColumns({"landed_at": later, "body": F.lit(body)}) for f, body in (
+            (ads, '{"ads":[{"ad":{"id":"later"}}]}'), (stats, payloads.EMPTY_SERIES)))]
+    for a, s in drops:
+        a.write.mode("append").parquet(path["ads"])
+        s.write.mode("append").parquet(path["stats"])
+        joined = ads_outer_stats(watch_landing(spark, path["ads"]), watch_landing(spark, path["stats"]),
+                                 "60 days", "1 day")
+        joined.writeStream.option("checkpointLocation", path["state"]).trigger(availableNow=True) \
+            .start(path["out"]).awaitTermination()
+    return spark.read.parquet(path["out"]).select(
+        "ad_id", "ad_name", X.iso_day(F.col("adstats_date")).alias("stats_date"), "impressions", "spend")

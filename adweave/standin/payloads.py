@@ -131,6 +131,8 @@ from lineitem
 
 
 DAY_LANDING = day_landing(_LINE)
+EMPTY_SERIES = ('{"timeseries_stats":[{"timeseries_stat":{"timeseries":['
+                '{"start_time":"2030-01-01T00:00:00.000-05:00","stats":{}}]}}]}')
 
 
 def _day_sql(ad_id: str, n: int, spend: str, swipes: str, shares: str) -> str:
