@@ -25,18 +25,20 @@ import functools
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from adweave.llm import textbatch as T
 
 PATH, WORDS, MEASURES, HIDDEN = 256, 16, 5, 24
 WIDTH = PATH + WORDS + MEASURES
-PAGES = 400  # pages read by the labeller at a time
+PAGES, PAGE_BYTES = 400, 4_000_000  # pages read by the labeller at a time, and their bytes
 PIECE = 1_000_000  # bytes of block text hashed at a time
 
 # Fixed values of HTML: tags without content, tags inside a line, content that is not shown,
@@ -64,7 +66,7 @@ ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: np.ndarray  # the sum of the vectors of all names on the way, shared by neighbours
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -83,7 +85,9 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page with text, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, list[str], np.ndarray]] = []  # tag, names new on the way, path to it
+    names: set[str] = set()
+    opened: Counter[str] = Counter()
     now: Block | None = None
     hidden = ""
     at = 0
@@ -94,13 +98,26 @@ def blocks(page: str) -> list[Block]:
         if not raw:
             return
         if now is None:
-            now = Block(tuple(x for _, names in stack for x in names))
+            now = Block(stack[-1][2] if stack else _NOWHERE)
             out.append(now)
         decoded = html.unescape(raw) if "&" in raw else raw
         now.parts.append(decoded)
-        if any(tag == "a" for tag, _ in stack):
+        if opened["a"]:
             now.linked += len(decoded)
 
+    def enter(tag: str, attributes: str) -> None:
+        new = [x for x in dict.fromkeys(_names(tag, attributes)) if x not in names]
+        names.update(new)
+        path = stack[-1][2] if stack else _NOWHERE
+        stack.append((tag, new, sum((_sign(x) for x in new), path)))
+        opened[tag] += 1
+
+    def leave(k: int) -> None:
+        for tag, new, _ in stack[k:]:
+            names.difference_update(new)
+            opened[tag] -= 1
+        del stack[k:]
+
     while m := TOKEN.search(page, at):
         if not hidden:
             text(page[at:m.start()])
@@ -137,18 +154,16 @@ def blocks(page: str) -> list[Block]:
                 hidden = "" if closed else tag
                 continue
             ends = ENDS.get(tag, set()) | ({"p"} if tag in P_ENDS_AT else set())
-            while ends:
+            while any(opened[x] for x in ends):
                 k = next((i for i in range(len(stack) - 1, -1, -1)
                           if stack[i][0] in ends or stack[i][0] in HOLDS), -1)
                 if k < 0 or stack[k][0] not in ends:
                     break
-                del stack[k:]
+                leave(k)
             if not closed:
-                stack.append((tag, _names(tag, m[3] or "")))
-        else:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if k >= 0:
-                del stack[k:]
+                enter(tag, m[3] or "")
+        elif opened[tag]:
+            leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
     if not hidden:
         text(page[at:])
     return [b for b in out if b.parts and "".join(b.parts).strip()]
@@ -161,9 +176,12 @@ def _sign(name: str) -> np.ndarray:
     return rng.choice([-1.0, 1.0], PATH).astype(np.float32) / np.sqrt(PATH)
 
 
+_NOWHERE = np.zeros(PATH, np.float32)
+
+
 @functools.cache
 def _path(names: tuple[str, ...]) -> np.ndarray:
-    return sum((_sign(x) for x in dict.fromkeys(names)), np.zeros(PATH, np.float32))
+    return sum((_sign(x) for x in dict.fromkeys(names)), _NOWHERE)
 
 
 def _word_table() -> np.ndarray:
@@ -184,11 +202,12 @@ def word_vectors(texts: list[str]) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def vectors(paths: list[tuple[str, ...]], texts: list[str], linked: list[int],
+def vectors(paths: list[np.ndarray], texts: list[str], linked: list[int],
             place: np.ndarray) -> np.ndarray:
     size = np.array([len(t) for t in texts], np.float32)
     x = np.empty((len(texts), WIDTH), np.float32)
-    x[:, :PATH] = [_path(p) for p in paths] if paths else np.zeros((0, PATH))
+    for i, path in enumerate(paths):
+        x[i, :PATH] = path
     x[:, PATH:PATH + WORDS] = word_vectors(texts)
     x[:, PATH + WORDS:] = np.stack([
         np.log1p(size) / 5, np.minimum(size, 200) / 200,
@@ -211,8 +230,12 @@ def _sig(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _walk(w: np.ndarray, c: np.ndarray, x: np.ndarray, mask: np.ndarray) -> tuple:
-    """One direction over pages x blocks x WIDTH; masked blocks keep the state."""
+def _walk(w: np.ndarray, c: np.ndarray, x: np.ndarray, mask: np.ndarray,
+          training: bool = False) -> tuple:
+    """One direction over pages x blocks x WIDTH; masked blocks keep the state.
+
+    Only training needs what every step has seen.
+    """
     n, steps, _ = x.shape
     h = np.zeros((n, HIDDEN), x.dtype)
     s = np.zeros((n, HIDDEN), x.dtype)
@@ -224,7 +247,8 @@ def _walk(w: np.ndarray, c: np.ndarray, x: np.ndarray, mask: np.ndarray) -> tupl
         g = np.tanh(z[:, 3 * HIDDEN:])
         new = f * s + i * g
         m = mask[:, t, None]
-        seen.append((h, s, i, f, o, g, new, m))
+        if training:
+            seen.append((h, s, i, f, o, g, new, m))
         s = np.where(m, new, s)
         h = np.where(m, o * np.tanh(new), h)
         states[:, t] = h
@@ -258,8 +282,8 @@ def label(w: dict[str, np.ndarray], x: np.ndarray, mask: np.ndarray) -> np.ndarr
 
 
 def _gradients(w: dict[str, np.ndarray], x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict:
-    ahead, seen_f = _walk(w["wf"], w["cf"], x, mask)
-    behind, seen_b = _walk(w["wb"], w["cb"], x[:, ::-1], mask[:, ::-1])
+    ahead, seen_f = _walk(w["wf"], w["cf"], x, mask, True)
+    behind, seen_b = _walk(w["wb"], w["cb"], x[:, ::-1], mask[:, ::-1], True)
     both = np.concatenate([ahead, behind[:, ::-1]], axis=2)
     d = (_sig(both @ w["out"] + w["bias"]) - y) * mask / float(mask.sum())
     up = d[..., None] * w["out"]
@@ -287,7 +311,7 @@ def train(pages: int = 2500, rounds: int = 12, seed: int = 3) -> dict[str, np.nd
     made.sort(key=len)
     flat = [b for p in made for b in p]
     place = np.concatenate([np.linspace(0, 1, len(p)) for p in made])
-    x = vectors([b[0] for b in flat], [b[1] for b in flat], [b[2] for b in flat], place)
+    x = vectors([_path(b[0]) for b in flat], [b[1] for b in flat], [b[2] for b in flat], place)
     x = x.astype(np.float32)
     y = np.array([b[3] for b in flat], np.float32)
     cut = np.concatenate([[0], np.cumsum([len(p) for p in made])])
@@ -325,8 +349,11 @@ def main_texts(w: dict[str, np.ndarray], pages: list[str]) -> list[str]:
     order = np.argsort(sizes, kind="stable")
     order = order[sizes[order] > 0]
     for rows in _budget(order, sizes):
-        take = np.concatenate([np.arange(cut[r], cut[r + 1]) for r in rows])
-        xs, mask = pad(x[take], sizes[rows])
+        if len(rows) == 1:  # a page of its own is not copied
+            xs, mask = x[None, cut[rows[0]]:cut[rows[0] + 1]], np.ones((1, sizes[rows[0]]), bool)
+        else:
+            take = np.concatenate([np.arange(cut[r], cut[r + 1]) for r in rows])
+            xs, mask = pad(x[take], sizes[rows])
         for r, p, m in zip(rows, label(w, xs, mask), mask):
             keep = cut[r] + np.flatnonzero(p[m] >= 0.5)
             out[r] = "\n".join(texts[i] for i in keep)
@@ -345,6 +372,19 @@ def _budget(order: np.ndarray, sizes: np.ndarray, most: int = 40_000) -> Iterato
         yield np.array(group)
 
 
+def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Pages of at most ``PAGE_BYTES`` together (or one page), ``PAGES`` at most."""
+    size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy()
+    first = total = 0
+    for i, n in enumerate(size.tolist()):
+        if i > first and (total + n > PAGE_BYTES or i - first == PAGES):
+            yield batch.slice(first, i - first)
+            first, total = i, 0
+        total += n
+    if batch.num_rows:
+        yield batch.slice(first)
+
+
 def extract(pages: DataFrame, text: str = "html", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns, text and n_chars (its code points)."""
     keep = [c for c in (["page_id", "url"] if keep is None else keep) if c not in ("text", "n_chars")]
@@ -355,8 +395,7 @@ def extract(pages: DataFrame, text: str = "html", keep: list[str] | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, PAGES):
-                part = batch.slice(at, PAGES)
+            for part in _parts(batch, len(keep)):
                 found = main_texts(weights, [x or "" for x in part.column(len(keep)).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(keep))]
