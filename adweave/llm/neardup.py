@@ -154,7 +154,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, items): the full sets of the classes in ``wanted`` (cls, mark of one row).
 
-    Texts are read again rather than shuffled: a bit table of fixed size lets the wanted
+    Texts are read again rather than shuffled: a bit table of bounded size lets the wanted
     rows and a few others through, which the join drops.
     """
     marks = docs.sparkSession.sparkContext.broadcast(

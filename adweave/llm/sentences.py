@@ -4,12 +4,13 @@ A sentence ends after ``.``, ``!``, ``?`` or a line feed. Every two consecutive
 text are a span, however short, so a repeated run of any length is covered from its first
 sentence to its last: where a run stands again, so do all its pairs, in the same order of
 places. The fewest sentences from every start that hold ``LEAST_WORDS`` words are a span too;
-they also match where lines are broken elsewhere. Spans with the same words (ASCII letters in
+they also match where lines are broken elsewhere (runs of equal words but other sentences are
+found from that many words on, not below). Spans with the same words (ASCII letters in
 lower case, any white space between) are the same wherever they lie. Of equal spans the first
 by doc_id, then text, then place stays; the sentences of all others are removed.
 
 Spans are named by 128 bits. Names are counted with a combine before the shuffle; the texts
-are read again for those that occur twice (a bit table of fixed size filters inside the scan),
+are read again for those that occur twice (a bit table of bounded size filters inside the scan),
 so neither unique spans nor unique texts are joined. A span that very many texts share is a
 hot key only of joins that adaptive execution splits.
 
@@ -183,8 +184,10 @@ def removals(docs: DataFrame, kept: bool = False) -> DataFrame:
         .withColumn("key", F.xxhash64("text")).withColumn("mark", F.xxhash64("doc_id", "key"))
     wanted = staged(_counted(docs), "span-names")
     places = staged(_places(docs, wanted), "span-places")
+    # A stage of its own: what follows a join in its partitioning would keep a hot span whole.
     found = staged(places.where("h is not null").join(wanted, ["h", "g"], "left_semi")
-                   .select("h", "g", "doc_id", "key", "i", "j").distinct(), "span-found")
+                   .select("h", "g", "doc_id", "key", "i", "j"), "span-wanted")
+    found = staged(found.distinct(), "span-found")  # repeated rows are one document
     first = staged(found.groupBy("h", "g").agg(F.min(F.struct("doc_id", "key", "i")).alias("first")),
                    "span-first")
     later = found.join(first, ["h", "g"]) \

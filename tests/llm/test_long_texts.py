@@ -1,10 +1,12 @@
-"""A text's length alone makes it neither toxic nor unfit for training."""
+"""Long texts and pages: fair scores, bounded memory."""
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from adweave.llm import toxicity
+from adweave.llm import bittable, htmltext, toxicity
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -43,3 +45,24 @@ def test_long_texts_are_in_the_sample(spark, said):
     df = spark.createDataFrame(said, SCHEMA + ", toxic int")
     got = {(r.toxic, len(r.text)) for r in toxicity.sample(df, df, "doc_id >= 1000").collect()}
     assert got == {(0, toxicity.CLEAN_CHARS), (1, len(said[-2][1]))}
+
+
+def test_a_page_of_open_tags_and_one_of_many_blocks():
+    w = htmltext.train()
+    deep = "<div class='a b'>x " * 100_000
+    assert sum(map(len, htmltext.main_texts(w, [deep]))) >= 0
+    found = htmltext.blocks(deep)
+    assert len(found) == 100_000 and found[5].path is found[99_999].path  # paths are shared
+    many = "".join(f"<p>word {i} of the page goes on.</p>" for i in range(30_000))
+    article = "<html><body><article><p>" + "A sentence of the text. " * 20 + "</p></article></body></html>"
+    alone = htmltext.main_texts(w, [article])
+    assert htmltext.main_texts(w, [many, article, "</b>" * 50_000])[1:] == [*alone, ""]
+
+
+def test_bit_tables_follow_the_names(spark):
+    assert [bittable.bits_for(n) for n in (0, 1 << 17, 1 << 30)] == [1 << 20, 1 << 21, 1 << 27]
+    names = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    want = bittable.Wanted(bittable.bit_table(names))
+    held = np.array([r.h for r in names.limit(5000).collect()]).view(np.uint64)
+    other = np.random.default_rng(1).integers(0, 2**63, 5000, dtype=np.uint64)
+    assert want(held).all() and want(other).mean() < 0.12
