@@ -141,7 +141,7 @@ def test_touched_months_and_empty_month(spark, wh):
 
 
 def slices(wh, table):
-    return wh._manifest(table)[1]
+    return wh._version(table).slices
 
 
 def test_load_of_far_apart_days_rewrites_only_their_months(spark, wh):
