@@ -51,16 +51,29 @@ def test_carry_rows_with_one_hot_key(spark, moments):
     assert rows(got, "id", *metrics) == brute_carry(items, metrics)
 
 
-def test_no_window_spans_a_whole_key(spark):
-    df = spark.createDataFrame([("k", 1, {"a": 1.0})], "key string, at long, stats map<string,double>")
+def test_only_large_keys_are_cut(spark, monkeypatch):
+    """Pieces follow the rows of large keys; a null key is a key."""
+    items = [(k, i, i, {"a": float(i)} if i % 3 == 0 else {}) for k, n in (("hot", 50), (None, 40), ("x", 5), ("y", 1))
+             for i in range(n)]
+    df = spark.createDataFrame(items, "key string, at long, id long, stats map<string,double>")
+    cut, real = [], K.cut_rows
+
+    def counted(rows, *args):
+        cut.append(rows.groupBy("key").count().collect())
+        return real(rows, *args)
+
+    monkeypatch.setattr(K, "cut_rows", counted)
+    got = K.carry_rows(df, ["key"], ["at"], "stats", ["a"], 10)
+    assert sorted(map(tuple, got.select("key", "at", "a").collect()), key=repr) == sorted(
+        ((k, i, float(i - i % 3)) for k, i, _, _ in items), key=repr)
+    assert sorted((r["key"], r["count"]) for r in cut[0] if r["key"]) == [("hot", 50)] and len(cut[0]) == 2
+    K.carry_rows(df, ["key"], ["at"], "stats", ["a"], 50)
+    assert len(cut) == 1  # no key is larger than a piece
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        K.carry_rows(df, ["key"], ["at"], "stats", ["a"]).explain()
-    by_key = [w for w in re.findall(r"Window \[.*\], \[(\S+(?:, \S+)*)\], \[", out.getvalue())
-              if "piece" not in w]
-    assert len(by_key) == 1  # the one over summaries
-    assert "_i_a" in next(line for line in out.getvalue().splitlines() if "Window [" in line
-                          and f"[{by_key[0]}]" in line)
+        got.explain()
+    whole = [w for w in re.findall(r"Window \[(.*?)\], \[(?:\S+(?:, \S+)*)\], \[", out.getvalue())]
+    assert whole and "LeftAnti" in out.getvalue()
 
 
 def test_latest_per_key_is_deterministic(spark):
