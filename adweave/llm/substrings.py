@@ -67,13 +67,27 @@ def smallest(rank: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return np.flatnonzero(sliding(np.concatenate([pad, low, pad]), width, np.maximum) == rank)
 
 
+SEEDS = (T.U64(0x2545F4914F6CDD1D), T.U64(0xD1342543DE82EF95))
+
+
+def first_ranks(buf: np.ndarray, which: int = 0) -> np.ndarray:
+    """Ranks of all FIRST-byte strings: eight bytes are a number, longer ones pairs of ranks."""
+    words = np.ndarray((len(buf) - 7,), "<u8", np.ascontiguousarray(buf), strides=(1,)) ^ SEEDS[which]
+    return _grown(T.mix(words), 8, FIRST)
+
+
 def ranks(buf: np.ndarray, which: int) -> np.ndarray:
     """Ranks of all LENGTH-byte strings from pairs of ranks at doubled offsets."""
-    length, rank = FIRST, T.Hashes(buf, which).every(FIRST)
-    while length < LENGTH:
-        step = min(length, LENGTH - length)
+    return _grown(first_ranks(buf, which), FIRST, LENGTH)
+
+
+def _grown(rank: np.ndarray, length: int, wanted: int) -> np.ndarray:
+    while length < wanted:
+        step = min(length, wanted - length)
         n = len(rank) - step
-        rank = T.mix(rank[:n] * T.U64(0x9E3779B97F4A7C15) + rank[step:])
+        pair = rank[:n] * T.U64(0x9E3779B97F4A7C15)
+        pair += rank[step:]
+        rank = T.mix(pair)
         length += step
     return rank
 
@@ -87,7 +101,7 @@ def _first_ranks(docs: DataFrame, wanted: bytes | None) -> DataFrame:
         for p in T.pieces(batches, limit=PACK):
             if len(p.buf) < LENGTH:
                 continue
-            rank = T.Hashes(p.buf).every(FIRST)
+            rank = first_ranks(p.buf)
             at = smallest(rank, windows(p.start, p.end, len(p.buf)))
             if want:
                 at = at[want(rank[at])]
@@ -127,7 +141,7 @@ def _pack(texts: DataFrame) -> DataFrame:
         for p in T.pieces(batches, limit=PACK):
             if len(p.buf) < LENGTH:
                 continue
-            rank = T.Hashes(p.buf).every(FIRST)
+            rank = first_ranks(p.buf)
             inside = windows(p.start, p.end, len(p.buf))
             places = p.column("places")
             row = np.repeat(np.arange(p.n), np.diff(places.offsets.to_numpy()))

@@ -79,6 +79,16 @@ def test_held_out_accuracy(spark, sf_dir, con):
     assert sum(p for t, p in held if not t) <= 0.03 * len(held)
 
 
+def test_toxic_texts_are_found(spark):
+    """Recall and false alarms on held-out rows, on tables large enough to learn from."""
+    folder = "/root/testdata/sf0.1"
+    toxic = dict(duck(folder).execute("select doc_id, toxic from labels").fetchall())
+    got = rows(spark, folder, "op6_toxicity", "doc_id", "held_out", "predicted")
+    held = [(toxic[i], p) for i, h, p in got if h and i in toxic]
+    assert sum(p for t, p in held if t) >= 0.75 * sum(t for t, _ in held) > 50
+    assert sum(p for t, p in held if not t) <= 0.01 * len(held)
+
+
 def test_pages(spark, sf_dir, con):
     """The text of every page is that of its article, white space aside."""
     raw = dict(con.execute("select page_id, html from pages").fetchall())
