@@ -244,7 +244,7 @@ def test_labeller_on_unseen_layouts():
     pages = [p for p in (layouts.page(rng) for _ in range(200)) if p]
     flat = [b for p in pages for b in p]
     place = np.concatenate([np.linspace(0, 1, len(p)) for p in pages])
-    x, mask = htmltext.pad(htmltext.vectors([b[0] for b in flat], [b[1] for b in flat],
+    x, mask = htmltext.pad(htmltext.vectors([htmltext._path(b[0]) for b in flat], [b[1] for b in flat],
                                             [b[2] for b in flat], place),
                            np.array([len(p) for p in pages]))
     said = htmltext.label(htmltext.train(), x, mask)[mask] >= 0.5
