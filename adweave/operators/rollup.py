@@ -12,8 +12,14 @@ from adweave.functions.calendar import month_first
 
 def month_sums(day: DataFrame) -> DataFrame:
     """Every (ad, month) in one pass; partial sums combine before the shuffle."""
-    return day.groupBy("ad_id", month_first(F.col("stats_date")).alias("month_start")).agg(
-        *[F.sum(m).alias(m) for m in S.ROLLUP_METRICS])
+    return _month_sums(day).drop("stats_month")
+
+
+def _month_sums(day: DataFrame) -> DataFrame:
+    """Grouped by the key of every MONTH merge, so that a merge does not shuffle the sums again."""
+    start = month_first(F.col("stats_date"))
+    return day.groupBy("ad_id", X.month_text(start).alias("stats_month")).agg(
+        F.min(start).alias("month_start"), *[F.sum(m).alias(m) for m in S.ROLLUP_METRICS])
 
 
 def month_rows(day: DataFrame, refreshed_on: Column | None = None) -> DataFrame:
@@ -22,7 +28,7 @@ def month_rows(day: DataFrame, refreshed_on: Column | None = None) -> DataFrame:
     ``refreshed_on`` is the stats_date a refresh assigns to a known row; it is kept
     inside the month so that a refresh never moves a row to another partition.
     """
-    sums = month_sums(day)
+    sums = _month_sums(day)
     types = {f.name: f.dataType for f in S.table_schema("ad_stats").fields}
     metrics = [(F.col(m) if m in S.ROLLUP_METRICS else F.lit(None)).cast(types[m]).alias(m)
                for m in S.STATS_METRICS]
@@ -30,7 +36,7 @@ def month_rows(day: DataFrame, refreshed_on: Column | None = None) -> DataFrame:
     rows = sums.select(
         X.stats_key(F.col("ad_id"), start, S.MONTH).alias("ad_id_date_granul"),
         "ad_id", start.alias("stats_date"), *metrics, F.lit(S.MONTH).alias("granularity"),
-        X.month_text(start).alias("stats_month"))
+        "stats_month")
     if refreshed_on is None:
         return rows
     return rows.withColumn("refreshed_on", F.greatest(
