@@ -59,9 +59,7 @@ def entity_day(c: Column) -> Column:
 
 def extract_day_text(d: Column) -> Column:
     """Date as the extract renders it: ``MM/DD/YYYY 0:00``."""
-    text = d.cast("date").cast("string")
-    return F.concat(F.substring(text, 6, 2), F.lit("/"), F.substring(text, 9, 2), F.lit("/"),
-                    F.substring(text, 1, 4), F.lit(" 0:00"))
+    return F.date_format(d.cast("date"), "MM/dd/yyyy' 0:00'")
 
 
 def has_activity(columns: list[str] | None = None) -> Column:

@@ -31,10 +31,17 @@ def escaped(c: Column) -> Column:
     return F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
 
 
+def _special(c: Column) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(x)) for x in "\\\n\r"])
+
+
 def _one_line(texts: Column) -> Column:
-    """``escaped`` for an array of texts; those without a special character stay as they are."""
-    special = lambda c: reduce(lambda a, b: a | b, [F.contains(c, F.lit(x)) for x in "\\\n\r"])
-    return F.transform(texts, lambda c: F.when(special(c), escaped(c)).otherwise(c))
+    """``escaped`` for an array of texts; those without a special character stay as they are.
+
+    Most rows have no such text, so all texts of a row are looked through together first.
+    """
+    each = F.transform(texts, lambda c: F.when(_special(c), escaped(c)).otherwise(c))
+    return F.when(_special(F.array_join(texts, "")), each).otherwise(texts)
 
 
 def unescaped(c: Column) -> Column:
