@@ -14,10 +14,10 @@ from adweave import schemas as S
 from adweave.functions import scalars as X
 from adweave.operators import attach as A
 from adweave.plans import extracts, loads
-from adweave.session import fresh_path, state_on_disk
+from adweave.session import fresh_path, staged, state_on_disk
 from adweave.sources import extract as E
 from adweave.sources.bucketed import BucketedDimension
-from adweave.sources.warehouse import Warehouse, account_rows, account_seed
+from adweave.sources.warehouse import Warehouse, account_rows, account_seed, months_of
 from adweave.standin import frames as T
 from adweave.standin import payloads, upserts
 from adweave.standin.catalog import query
@@ -349,6 +349,11 @@ def daily_load(spark, sf):
     return _stacked(wh, ["campaign", "ad_squad", "ad", "ad_stats"])
 
 
+def _lifetime(spark, sf):
+    """Lifetime totals, written once as the extract jobs do: an outer join reads its facts twice."""
+    return staged(upserts._lifetime_text(spark, sf).drop("last_day"), "lifetime-stats")
+
+
 _LIFETIME_NEW = f"select * from ({upserts._lifetime_sql(upserts._RUN, upserts._METRICS)}) n " \
                 f"where {T.ACTIVE}"
 
@@ -364,7 +369,7 @@ def lifetime_load(spark, sf):
     wh = _warehouse(spark)
     wh.publish("ad_account", T.frame(spark, sf, T.ACCOUNT))
     _store_old(wh, spark, sf)
-    wide = _wide_text(spark, sf, upserts._lifetime_text(spark, sf).drop("last_day"))
+    wide = _wide_text(spark, sf, _lifetime(spark, sf))
     raw = E.as_extract(wide, S.WIDE_LIFETIME_COLUMNS)
     loads.lifetime_load(wh, raw, RUN, T.frame(spark, sf, upserts._SEED), dimensions=True)
     return _stacked(wh, ["ad_account", "campaign", "ad_squad", "ad", "ad_stats"])
@@ -398,7 +403,7 @@ def trial_load(spark, sf):
     wh = _warehouse(spark)
     wh.publish("ad_account", T.frame(spark, sf, T.ACCOUNT))
     _store_old(wh, spark, sf)
-    wide = _wide_text(spark, sf, upserts._lifetime_text(spark, sf).drop("last_day"))
+    wide = _wide_text(spark, sf, _lifetime(spark, sf))
     loads.trial_load(wh, E.as_extract(wide, S.WIDE_LIFETIME_COLUMNS), RUN,
                      T.frame(spark, sf, upserts._SEED), geo=False)
     return _stacked(wh, ["ad_account", "ad", "ad_stats"])
@@ -451,10 +456,11 @@ _JULY_NEW = upserts.month_sql(f"select * from ({T.DAY_GATED}) e where {_JULY}",
 def monthly_load(spark, sf):
     """The current month, first on the 19th and again on the 25th with all its days."""
     wh = _warehouse(spark)
-    day = E.day_rows(T.frame(spark, sf, T.DAY_TEXT)).where(X.has_activity())
+    text = T.frame(spark, sf, T.DAY_TEXT)
+    day = E.day_rows(text).where(X.has_activity())
     wh.publish("ad_stats", day.where(F.dayofmonth("stats_date") < 20))
     loads.monthly_load(wh, dt.date(1999, 7, 19))
-    wh.upsert("day_stats", day)
+    wh.upsert("day_stats", day, months_of(E.days_of(text)))
     loads.monthly_load(wh, dt.date(1999, 7, 25))
     return T.readable(wh.facts("ad_stats", S.MONTH), {"frequency": 4})
 
