@@ -1,16 +1,21 @@
 """What keeps shuffles and memory in step with the input."""
 
 import datetime as dt
+from unittest.mock import patch
 
 from pyspark.sql import functions as F
 
 from adweave import schemas as S
 from adweave.operators.merge import apply_policy
 from adweave.operators.rollup import month_rows
+from adweave.plans import loads
 from adweave.sources import extract as E
-from adweave.sources.warehouse import empty_table
+from adweave.sources.warehouse import Warehouse, empty_table
+from adweave.streaming import dayload
 from adweave.streaming.dayload import FILE, RANK, VERSION, _ranked
 
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().explainString(
@@ -60,3 +65,52 @@ def test_texts_of_a_row_are_escaped_one_by_one(spark):
     rows = E._as_text(wide, cols, cols[:3]).collect()
     assert [tuple(r) for r in rows] == [(*r, "02/09/0999 0:00") for r in [
         ("a\\nb", "plain", None), ("x", "y", "z"), (None, "c\\\\d", "\\r"), ("", None, None)]]
+
+
+def test_stream_stages_typed_facts_in_small_splits(spark, tmp_path):
+    """Text is converted once, a row names its file only, and tasks get smaller parts of files."""
+    inbox, seen = str(tmp_path / "inbox"), []
+    rows = [("1", "2020-05-01T00:00:00.000-05:00", "3.9", "0.25"), ("1", "2020-05-02T00", "", "x"),
+            ("2", " ", "5", ""), (" ", "2020-05-03", "5", ""), ("3", "no day", "5", "")]
+    raw = spark.createDataFrame(rows, "ad_id string, adstats_date string, spend string, frequency string")
+    E.write_extract(raw, f"{inbox}/drop=1")
+    wh = Warehouse(spark, str(tmp_path / "warehouse")).create()
+
+    def load(wh, raw, *args, **kwargs):
+        seen.append((dict(raw.dtypes), spark.conf.get(SPLIT), raw.sparkSession.conf.get(SPLIT)))
+        return loads.daily_load(wh, raw, *args, **kwargs)
+
+    before = spark.conf.get(SPLIT)
+    with patch.object(dayload, "daily_load", load):
+        dayload.load_new_extracts(wh, inbox, str(tmp_path / "state"), dt.date(2020, 5, 17))
+    (types, *splits), = seen
+    assert (types["spend"], types["frequency"], types["stats_date"]) == ("bigint", "float", "date")
+    assert types[RANK] == "int" and not {FILE, *VERSION} & set(types)
+    assert splits == ["32m", "32m"] and spark.conf.get(SPLIT) == before
+    assert [(r.ad_id, str(r.stats_date), r.spend, r.frequency) for r in wh.facts("ad_stats", S.DAY).collect()] == [
+        ("1", "2020-05-01", 3, 0.25)]
+
+
+def test_files_are_ranked_by_their_extract(spark):
+    """Part files of a folder are one extract; single files are newer than those, by their time."""
+    early, late = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
+    files = [("file:/in/b%20x/part-1.csv", late), ("file:/in/b%20x/part-2.csv", early), ("file:/in/a/part-1.csv", late),
+             ("file:/in/z.csv", early), ("file:/in/a.csv", late), ("file:/in/a.csv", late)]
+    rows = spark.createDataFrame(files, f"{FILE} string, {dayload.MODIFIED} timestamp")
+    got = dayload._file_ranks(rows).collect()
+    assert sorted((r[RANK], r[FILE].removeprefix("file:/in/")) for r in got) == [
+        (1, "a/part-1.csv"), (2, "b%20x/part-1.csv"), (2, "b%20x/part-2.csv"), (3, "z.csv"), (4, "a.csv")]
+
+
+def test_typed_days_are_the_days_of_the_text(spark):
+    """Odd days, ids and numbers end the same whether text or typed rows are loaded."""
+    days = ["2020-05-01", "2020-05-01T10:00:00Z", "\t2020-05-01", " ", "", None, "05/01/2020 0:00", "2020-13-01"]
+    numbers = ["1.9", "-3.9", "", None, "NaN", "1e30", " 7 ", "abc", "9007199254740993", "Infinity"]
+    rows = [(i, d, n) for i in ("a", " ", "", None) for d in days for n in numbers]
+    text = spark.createDataFrame(rows, "ad_id string, adstats_date string, n string") \
+        .select("ad_id", "adstats_date", *[F.col("n").alias(m) for m in S.STATS_METRICS])
+    parts = text.withColumn(RANK, F.length("spend"))
+    for raw, version in ((text, None), (parts, [RANK])):
+        want, got = E.day_rows(raw, version), E.typed_day_rows(E.with_day_values(raw), version)
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
