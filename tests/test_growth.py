@@ -6,6 +6,8 @@ from unittest.mock import patch
 from pyspark.sql import functions as F
 
 from adweave import schemas as S
+from adweave import session
+from adweave.operators import attach
 from adweave.operators.merge import apply_policy
 from adweave.operators.rollup import month_rows
 from adweave.plans import loads
@@ -114,3 +116,15 @@ def test_typed_days_are_the_days_of_the_text(spark):
         want, got = E.day_rows(raw, version), E.typed_day_rows(E.with_day_values(raw), version)
         assert got.schema == want.schema
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark, monkeypatch):
+    """Files of repeated values are small on disk, what a driver would collect of them is not."""
+    monkeypatch.setattr(session, "FEW_ROWS", 50)
+    facts = session.staged(spark.range(200).selectExpr("string(id % 90) ad_id", "'x' region"), "few-bytes")
+    totals = session.staged(spark.range(100).selectExpr("string(id) ad_id", "'y' spend"), "few-bytes")
+    few = session.staged(spark.range(40).selectExpr("string(id) ad_id", "'y' spend"), "few-rows")
+    for rows, left in ((attach.geo_with_lifetime(facts, totals), 210), (attach.attach_facts(facts, totals), 210)):
+        assert "BroadcastHashJoin" not in _plan(rows) and rows.count() == left
+    text = _plan(attach.attach_facts(facts, few))
+    assert "BroadcastHashJoin" in text and text.count("BroadcastHashJoin") == 1, text
