@@ -8,7 +8,7 @@ from test_loads import day, wide
 
 from adweave.functions.calendar import starts_tile, window_tiles
 from adweave.plans import extracts
-from adweave.session import STATE_ON_DISK, fresh_path, state_on_disk
+from adweave.session import STATE, STATE_ON_DISK, fresh_path, state_on_disk
 from adweave.sources import extract as E
 from adweave.sources import payloads as P
 from adweave.streaming.landed import ads_outer_stats, watch_landing
@@ -106,3 +106,20 @@ def test_state_lies_on_disk_in_any_session(spark):
     other.conf.set(name, "mine")
     with state_on_disk(other):
         assert other.conf.get(name) == "mine"
+
+
+def test_state_of_a_join_holds_texts_in_one_store(spark):
+    """Stats wait for their ad as text of what was sent; stores take no disk in advance."""
+    folder = fresh_path(spark, "landed-text")
+    spark.createDataFrame([], f"{LANDING}, landed_at timestamp").write.parquet(folder)
+    joined = ads_outer_stats(watch_landing(spark, folder), watch_landing(spark, folder))
+    text = joined._jdf.queryExecution().analyzed().toString()
+    assert text.index("from_json") < text.index("Join LeftOuter") < text.index("to_json(series")
+    other, join = spark.newSession(), "spark.sql.streaming.join.stateFormatVersion"
+    for k in STATE_ON_DISK:
+        other.conf.unset(k)
+    with state_on_disk(other):
+        assert other.conf.get(join) == "3" and other.conf.get(f"{STATE}.rocksdb.allowFAllocate") == "false"
+    other.conf.set(f"{STATE}.providerClass", "mine")
+    with state_on_disk(other):
+        assert other.conf.get(join) == "2"
