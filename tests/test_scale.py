@@ -123,3 +123,7 @@ def test_state_of_a_join_holds_texts_in_one_store(spark):
     other.conf.set(f"{STATE}.providerClass", "mine")
     with state_on_disk(other):
         assert other.conf.get(join) == "2"
+
+
+def test_the_text_of_a_value_is_made_once(spark):
+    assert str(P.value_text(F.col("v"))).count("to_json") == 1
