@@ -1,6 +1,7 @@
 """What keeps shuffles and memory in step with the input."""
 
 import datetime as dt
+import re
 from unittest.mock import patch
 
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from adweave.sources import extract as E
 from adweave.sources.warehouse import Warehouse, empty_table
 from adweave.streaming import dayload
 from adweave.streaming.dayload import FILE, RANK, VERSION, _ranked
+from adweave.streaming.ordered import newest_versions
 
 SPLIT = "spark.sql.files.maxPartitionBytes"
 
@@ -128,3 +130,11 @@ def test_many_rows_in_small_files_are_not_broadcast(spark, monkeypatch):
         assert "BroadcastHashJoin" not in _plan(rows) and rows.count() == left
     text = _plan(attach.attach_facts(facts, few))
     assert "BroadcastHashJoin" in text and text.count("BroadcastHashJoin") == 1, text
+
+
+def test_parts_of_a_row_carry_their_own_values_only(spark):
+    """Every part of every row is sorted by key, so none holds what the other parts say."""
+    raw = spark.createDataFrame([], S.text_schema(S.WIDE_DAY_COLUMNS)).withColumns(
+        {VERSION[0]: F.current_timestamp(), VERSION[1]: F.lit("x")})
+    text = newest_versions(raw)._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"Project \[k#\d+\]\n", text), text
