@@ -8,7 +8,7 @@ from test_loads import day, wide
 
 from adweave.functions.calendar import starts_tile, window_tiles
 from adweave.plans import extracts
-from adweave.session import STATE, STATE_ON_DISK, fresh_path, staged, state_on_disk
+from adweave.session import STATE, STATE_ON_DISK, fresh_path, packed, state_on_disk
 from adweave.sources import extract as E
 from adweave.sources import payloads as P
 from adweave.streaming.landed import ads_outer_stats, watch_landing
@@ -131,5 +131,5 @@ def test_the_text_of_a_value_is_made_once(spark):
 
 def test_staged_tables_are_packed_tightly(spark):
     rows = spark.range(20000).selectExpr("concat_ws('-', id, hash(id), 'name') name").coalesce(1)
-    got = staged(rows, "packed")
+    got = packed(rows, "packed")
     assert all(f.endswith(".zstd.parquet") for f in got.inputFiles()) and got.count() == 20000
